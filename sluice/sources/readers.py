@@ -133,3 +133,13 @@ def backfill_then_stream(history: DataFrame, live: DataFrame, cut_ms: int, time:
     """Split work at a cut: rows before it come from the table, rows from it on
     come from the stream, so no row is read twice or missed."""
     return history.where(F.col(time) < cut_ms), live.where(F.col(time) >= cut_ms)
+
+
+def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet table (folder or single file) as a stream. The file source wants
+    a folder or a pattern, so the last letter is written as a pattern."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    clean = path.rstrip("/")
+    return reader.parquet(f"{clean[:-1]}[{clean[-1]}]")
