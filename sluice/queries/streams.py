@@ -1 +1,145 @@
-"""Placeholder until the next commit."""
+"""Continuous versions, run over what is there (``availableNow``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..config import AnomalyRule
+from ..operators.verdict import ANOMALY, FAILURES, LIVE
+from ..plans.adapters import SCAN_SQL, TELEMETRY_SQL, scan_events_of, table, telemetry_of
+from ..session import scratch_path
+from ..sources.readers import EVENT_TS, stream_table, with_event_time
+from ..streaming.jobs import baselines_stream, recommend_stream, run_available, snapshots_stream
+from ..streaming.operators import dedup_stream, detect_anomalies_stream
+from . import query
+from .quality import chain_cte
+from .recommendations import CATALOG_LATEST_SQL, TOP_SQL, _MATCHED, flat_top, products
+from .scans import FLAT_SQL, LONG_TIMEOUT_MS, TIMED_SQL, flat
+
+LAG_SECONDS = 30
+MAX_FILES = 1000  # micro-batches stay bounded when a table has very many files
+
+
+def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return stream_table(spark, f"{sf_dir}/events.parquet", schema, MAX_FILES)
+
+
+def live_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = telemetry_of(live_events(spark, sf_dir)).withColumn("seq", F.col("eventId").cast("bigint"))
+    return with_event_time(events.select("seq", "customerId", "eventTime", "value"), lag_seconds=LAG_SECONDS)
+
+
+def live_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_event_time(scan_events_of(live_events(spark, sf_dir)), lag_seconds=LAG_SECONDS)
+
+
+@query(
+    "q_dedup_ttl_stream",
+    f"""WITH RECURSIVE {TELEMETRY_SQL}, {chain_cte('telemetry', 'customerId', 86_400_000)}
+    SELECT event_id AS seq, accepted AS live, CASE WHEN NOT accepted THEN 'DUPLICATE_EVENT' END AS reason FROM chain""",
+)
+def q_dedup_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = dedup_stream(live_telemetry(spark, sf_dir), ["customerId"], 24, position="seq")
+    reason = F.get(F.col(FAILURES), 0)["reason"].alias("reason")
+    return run_available(marked.select("seq", F.col(LIVE).alias("live"), reason), "dedup")
+
+
+@query(
+    "q_anomaly_stddev_stream",
+    f"""WITH {TELEMETRY_SQL}, s AS (
+      SELECT event_id, value, count(value) OVER w AS n, avg(value) OVER w AS m, stddev_samp(value) OVER w AS sd FROM telemetry
+      WINDOW w AS (PARTITION BY customerId ORDER BY eventTime, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT event_id AS seq, coalesce(n >= 5 AND sd > 0 AND abs(value - m) > 3.0 * sd, FALSE) AS anomaly FROM s""",
+)
+def q_anomaly_stddev_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = detect_anomalies_stream(live_telemetry(spark, sf_dir), [AnomalyRule("value", threshold=3.0)], "telemetry", position="seq")
+    return run_available(marked.select("seq", F.col(ANOMALY).alias("anomaly")), "anomaly")
+
+
+# A snapshot that only a timer closes is out once the watermark has passed it.
+CLOSED_SQL = f"""closed AS (
+      SELECT * FROM snaps WHERE complete OR firstEventMs + {LONG_TIMEOUT_MS} <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}
+             OR EXISTS (SELECT 1 FROM snaps later WHERE later.scanId = snaps.scanId AND later.firstEventMs > snaps.firstEventMs))"""
+
+
+@query("scan_snapshots_stream", f"WITH RECURSIVE {TIMED_SQL}, {CLOSED_SQL} SELECT {FLAT_SQL} FROM closed")
+def scan_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(run_available(snapshots_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS), "snapshots"))
+
+
+_COMPLETED_LONG_SQL = " UNION ALL ".join(
+    f"SELECT customerId, eventTimeMs, '{name}' AS dimension, {name} AS score FROM snaps WHERE complete AND {name} IS NOT NULL"
+    for name in ("hydration", "texture", "wrinkle", "radiance", "overall")
+)
+
+
+@query(
+    "scan_baseline_stream",
+    f"""WITH RECURSIVE {TIMED_SQL}, long AS ({_COMPLETED_LONG_SQL})
+    SELECT CAST(customerId AS BIGINT) AS customer_no, eventTimeMs // 1800000 * 1800000 AS window_start_ms, dimension,
+           round(avg(score), 6) AS mean, count(*) AS snapshots
+    FROM long GROUP BY 1, 2, 3
+    HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",
+)
+def scan_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = baselines_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS)
+    return run_available(found, "baselines").select(
+        F.col("customerId").cast("bigint").alias("customer_no"), F.col("windowStartMs").alias("window_start_ms"),
+        "dimension", F.round("mean", 6).alias("mean"), "snapshots",
+    )
+
+
+@query(
+    "late_data_stream",
+    f"""WITH {SCAN_SQL}, first_wave AS (
+      SELECT max(eventTime) AS newest FROM scan_dim WHERE streamKey IN ('scan-hydration', 'scan-texture')),
+    kept AS (
+      SELECT customerId, eventTime, score FROM scan_dim WHERE streamKey <> 'scan-overall'
+      UNION ALL
+      SELECT customerId, eventTime, score FROM scan_dim WHERE streamKey = 'scan-overall'
+             AND eventTime // 1800000 * 1800000 + 1800000 > (SELECT newest FROM first_wave) - {LAG_SECONDS * 1000})
+    SELECT CAST(customerId AS BIGINT) AS customer_no, eventTime // 1800000 * 1800000 AS window_start_ms, count(*) AS events,
+           round(sum(score), 4) AS total FROM kept GROUP BY 1, 2
+    HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",
+)
+def late_data_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three waves of files. A micro-batch drops what was late before it began,
+    by the watermark of the wave before the last one: the third wave loses the
+    rows whose window the first wave had closed."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "late-input")
+    waves = (("click", "view"), ("error", "signup"), ("purchase",))
+    for number, kinds in enumerate(waves):
+        events.where(F.col("event_type").isin(*kinds)).coalesce(1).write.parquet(f"{path}/wave={number}")
+    live = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/wave=*")
+    score = F.least("value", F.lit(100.0)).alias("score")
+    rows = live.select(F.col("user_id").alias("customer_no"), F.col("ts").cast("timestamp").alias(EVENT_TS), score)
+    windows = (
+        rows.withWatermark(EVENT_TS, f"{LAG_SECONDS} seconds")
+        .groupBy("customer_no", F.window(EVENT_TS, "30 minutes").alias("_w"))
+        .agg(F.count(F.lit(1)).alias("events"), F.sum("score").alias("total"))
+        .select("customer_no", F.unix_millis(F.col("_w.start")).alias("window_start_ms"), "events", "total")
+    )
+    return run_available(windows, "late").withColumn("total", F.round("total", 4))
+
+
+@query(
+    "rec_stream",
+    f"""WITH RECURSIVE {TIMED_SQL}, {CLOSED_SQL}, s AS (SELECT *, row_number() OVER () AS sid FROM closed), {CATALOG_LATEST_SQL}, scored AS (
+      SELECT s.*, p.productId, greatest(0.0::DOUBLE, {_MATCHED}) AS points FROM s CROSS JOIN products p),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY sid ORDER BY points DESC, productId) AS rank FROM scored QUALIFY rank <= 5) {TOP_SQL}""",
+)
+def rec_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "recommendations")
+    snaps = snapshots_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS)
+    query_handle = recommend_stream(
+        snaps,
+        lambda: products(spark, sf_dir),
+        lambda found, batch_id: found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"),
+        scratch_path(spark, "recommendations-checkpoint"),
+        available_now=True,
+    )
+    query_handle.awaitTermination()
+    return flat_top(spark.read.parquet(path))
