@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import AnomalyRule
 from ..functions.numbers import as_double, field_or_null
 from ..session import cut_lineage
-from .dedup import POSITION, with_position
+from .dedup import with_position
 from .ordered import CHUNK, HOT_ROWS, Split, before_chunk, hot_only, split_hot_keys
-from .verdict import ANOMALY, FAILURES, LIVE, append_failure, failure, with_verdict
+from .verdict import ANOMALY, FAILURES, LIVE, POSITION, append_failure, failure, with_verdict
 
 DETECTOR = "AnomalyDetector"
 MINIMUM_SAMPLES = 5
@@ -141,15 +141,20 @@ def detect_anomalies(
     time: str = "eventTime",
     position: str | None = None,
     hot_rows: int = HOT_ROWS,
+    sizing: DataFrame | None = None,
 ) -> DataFrame:
     """Flag, dead-letter or drop outliers. Rows of a key count in (time,
-    position) order; ``position`` must be unique per row."""
+    position) order; ``position`` must be unique per row. Key sizes are taken
+    from ``sizing`` where given: the rows before dedup serve, at less cost."""
     df = with_verdict(df)
     if not rules:
         return df
+    own = [] if position else [POSITION]
     df, position = with_position(df, position)
     keyed = df.withColumn(KEY, anomaly_key(df, key, stream_key))
-    split = split_hot_keys(keyed, KEY, [time, position], hot_rows)
+    if sizing is not None:
+        sizing = sizing.select(anomaly_key(sizing, key, stream_key).alias(KEY), time, position)
+    split = split_hot_keys(keyed, KEY, [time, position], hot_rows, sizing)
     if split.hot:
         # Rows and carried statistics are read separately; both must see the
         # same rows, and what lies before (dedup joins) should run once.
@@ -159,7 +164,7 @@ def detect_anomalies(
         split = split.with_rows(split.rows.withColumn(_VALUE, value))
         split = _rolling(split, rule) if rule.rows else _cumulative(split)
         split = split.with_rows(_apply_verdict(split.rows.withColumn(_FLAG, _outside(rule)), rule))
-    return split.rows.drop(KEY, CHUNK, *([POSITION] if position == POSITION else []))
+    return split.rows.drop(KEY, CHUNK, *own)
 
 
 def _apply_verdict(rows: DataFrame, rule: AnomalyRule) -> DataFrame:

@@ -7,12 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.numbers import field_or_null
 from ..session import cut_lineage
 from .ttl import FOLD_ROWS, ROWS_PER_PHASE_GROUP, accepted_rows
-from .verdict import FAILURES, LIVE, append_failure, failure, with_verdict
+from .verdict import FAILURES, LIVE, POSITION, append_failure, failure, with_verdict
 
 DEDUP = "DeduplicationOperator"
 KEY_SEPARATOR = "\u0001"
 _KEY, _TIME, _FIRST = "_dedup_key", "_dedup_time", "_accepted"
-POSITION = "_position"
 
 
 def key_text(df: DataFrame, keys: list[str]) -> Column:
@@ -41,8 +40,8 @@ def dedup(
     """Dead-letter and suppress repeats of a key within the limit. The first row
     in (time, position) order wins and repeats do not extend the limit. Only
     live rows take part. ``position`` must be unique per row."""
-    df = with_verdict(df)
-    df, position = with_position(df, position)
+    own = [] if position else [POSITION]
+    df, position = with_position(with_verdict(df), position)
     event_time = F.coalesce(field_or_null(df, time).try_cast("bigint"), F.lit(0).cast("bigint"))
     rows = df.withColumns({_KEY: key_text(df, keys), _TIME: event_time})
     ttl_ms = int(ttl_hours * 3_600_000)
@@ -56,4 +55,4 @@ def dedup(
             FAILURES: append_failure(repeated, failure(DEDUP, "DUPLICATE_EVENT", message)),
             LIVE: F.col(LIVE) & F.col(_FIRST).isNotNull(),
         }
-    ).drop(_KEY, _TIME, _FIRST, *([POSITION] if position == POSITION else []))
+    ).drop(_KEY, _TIME, _FIRST, *own)

@@ -52,19 +52,33 @@ def concern_weights(scores: Column, higher_is_worse: tuple[str, ...] = ()) -> Co
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
 
-def _weight_of(weights: Column, concern: Column) -> Column:
-    return F.coalesce(F.element_at(weights, F.lower(concern)), F.lit(0.0))
+def _score(matched: Column, types: Column, skin_type: Column, owned: bool | Column) -> Column:
+    no_effect = skin_type.isNull() | (F.coalesce(F.size(types), F.lit(0)) <= 0)
+    effect = F.when(no_effect, F.lit(0.0)).when(F.array_contains(types, skin_type), TYPE_BONUS).otherwise(TYPE_PENALTY)
+    factor = F.when(F.lit(owned) if isinstance(owned, bool) else owned, F.lit(OWNED_FACTOR)).otherwise(F.lit(1.0))
+    return F.greatest(F.lit(0.0), (matched + effect) * factor)
 
 
-def product_score(weights: Column, concerns: Column, types: Column, skin_type: Column, owned: Column) -> Column:
+def product_score(weights: Column, concerns: Column, types: Column, skin_type: Column, owned: bool | Column) -> Column:
     """The score of one product: matched weights (a concern listed twice counts
     twice), skin type effect, owned factor, never below zero. An empty type list
     has no effect."""
-    matched = F.aggregate(concerns, F.lit(0.0), lambda total, c: total + _weight_of(weights, c))
-    no_effect = skin_type.isNull() | (F.coalesce(F.size(types), F.lit(0)) <= 0)
-    effect = F.when(no_effect, F.lit(0.0)).when(F.array_contains(types, skin_type), TYPE_BONUS).otherwise(TYPE_PENALTY)
-    factor = F.when(owned, F.lit(OWNED_FACTOR)).otherwise(F.lit(1.0))
-    return F.greatest(F.lit(0.0), (matched + effect) * factor)
+    matched = F.aggregate(
+        concerns, F.lit(0.0), lambda total, c: total + F.coalesce(F.element_at(weights, F.lower(c)), F.lit(0.0))
+    )
+    return _score(matched, types, skin_type, owned)
+
+
+def _places(concerns: Column) -> Column:
+    """The known ones of a product's concerns, as positions in ``CONCERNS``."""
+    names = F.array(*[F.lit(name) for name, _ in CONCERNS])
+    return F.filter(F.transform(concerns, lambda c: F.array_position(names, F.lower(c))), lambda i: i > 0)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Compute ``value`` once per row and use it in ``body``. Without this the
+    optimizer copies the expression into every lambda that mentions it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def purchases(orders: DataFrame, as_of_ms: int, lookback_days: int = PURCHASE_LOOKBACK_DAYS, time: str = "eventTime") -> DataFrame:
@@ -125,15 +139,18 @@ def profiles(catalog: DataFrame) -> DataFrame:
 def _pack(catalog_part: DataFrame) -> DataFrame:
     """The profiles of a catalogue part as one row. The part's size is checked
     before, see ``_catalog_parts``."""
-    return profiles(catalog_part).agg(
-        F.sort_array(F.collect_list(F.struct(F.element_at("products", 1).alias("head"), "concerns", "types", "products"))).alias("p")
+    entry = F.struct(
+        _places(F.col("concerns")).alias("places"), F.get("products", 0).alias("first"), "concerns", "types", "products"
     )
+    return profiles(catalog_part).agg(F.collect_list(entry).alias("p"))
 
 
 def _catalog_parts(catalog: DataFrame, part_size: int) -> list[DataFrame]:
     active = catalog.where(F.col("isActive"))
     count = active.count()
-    parts = max(1, -(-count // part_size))
+    if count == 0:
+        return []
+    parts = -(-count // part_size)
     if parts == 1:
         return [catalog]
     # Spread by hash; twice the parts keeps each well below the checked size.
@@ -141,39 +158,50 @@ def _catalog_parts(catalog: DataFrame, part_size: int) -> list[DataFrame]:
     return [active.where(F.pmod(F.xxhash64("productId"), F.lit(parts)) == i) for i in range(parts)]
 
 
-def _ranked_first(left: Column, right: Column) -> Column:
-    return (
-        F.when(left["score"] > right["score"], -1)
-        .when(left["score"] < right["score"], 1)
-        .when(left["productId"] < right["productId"], -1)
-        .when(left["productId"] > right["productId"], 1)
-        .otherwise(0)
-    )
+def _leading(candidates: Column, top_n: int) -> Column:
+    """The first ``top_n``: structs sort by their fields, score negated first."""
+    return F.slice(F.sort_array(candidates), 1, top_n)
 
 
-def _leading(candidates: Column, top_n: int) -> Column:
-    return F.slice(F.array_sort(candidates, _ranked_first), 1, top_n)
+def _candidate(score: Column, product: Column, concerns: Column) -> Column:
+    return F.struct((-score).alias("less"), product.alias("productId"), concerns.alias("concerns"))
 
 
-def _candidates(packed: Column, weights: Column, skin_type: Column, owned: Column, top_n: int) -> Column:
-    """Per profile, its first ``top_n`` products the customer does not own."""
+def _matched(weights: Column, places: Column) -> Column:
+    return F.aggregate(places, F.lit(0.0), lambda total, i: total + F.element_at(weights, i.cast("int")))
 
-    def of_profile(p: Column) -> Column:
-        score = product_score(weights, p["concerns"], p["types"], skin_type, F.lit(False))
-        ids = F.when(F.size(owned) == 0, F.slice(p["products"], 1, top_n)).otherwise(
-            F.slice(F.array_except(F.slice(p["products"], F.lit(1), F.size(owned) + top_n), owned), 1, top_n)
-        )
-        return F.struct(score.alias("score"), F.get(ids, 0).alias("productId"), ids.alias("ids"), p["concerns"].alias("concerns"))
-
-    heads = F.filter(F.transform(packed, of_profile), lambda h: h["productId"].isNotNull())
-    # A profile behind ``top_n`` other heads cannot reach the result.
-    spread = F.transform(
-        _leading(heads, top_n),
-        lambda h: F.transform(
-            h["ids"], lambda i: F.struct(h["score"].alias("score"), i.alias("productId"), h["concerns"].alias("concerns"))
-        ),
-    )
-    return F.flatten(spread)
+
+def _free(products: Column, owned: Column, top_n: int) -> Column:
+    """The first ``top_n`` of the products that are not owned."""
+    beyond = F.slice(products, F.lit(1), F.size(owned) + top_n)
+    return F.when(F.size(owned) == 0, F.slice(products, 1, top_n)).otherwise(F.slice(F.array_except(beyond, owned), 1, top_n))
+
+
+def _candidates(row: Column, top_n: int) -> Column:
+    """Per profile its first ``top_n`` products that the customer does not own,
+    and of these only the profiles that can reach the result: one behind
+    ``top_n`` other profiles' first products cannot."""
+
+    def head(p: Column, place: Column) -> Column:
+        score = _score(_matched(row["weights"], p["places"]), p["types"], row["skin"], False)
+        first = F.when(F.size(row["owned_ids"]) == 0, p["first"]).otherwise(F.get(_free(p["products"], row["owned_ids"], 1), 0))
+        return F.struct((-score).alias("less"), first.alias("productId"), place.alias("place"))
+
+    heads = F.filter(F.transform(row["profiles"], head), lambda h: h["productId"].isNotNull())
+
+    def spread(h: Column) -> Column:
+        profile = F.get(row["profiles"], h["place"])
+        return F.transform(_free(profile["products"], row["owned_ids"], top_n), lambda i: _candidate(-h["less"], i, profile["concerns"]))
+
+    return F.flatten(F.transform(_leading(heads, top_n), spread))
+
+
+def ranked_rows(recommendations: DataFrame) -> DataFrame:
+    """One row per recommended product instead of the ``products`` array."""
+    # The arrays are never empty. ``explode_outer`` keeps the optimizer from
+    # testing that first, which would score every snapshot twice.
+    flat = recommendations.withColumn("_p", F.explode_outer("products"))
+    return flat.select(*[c for c in recommendations.columns if c != "products"], "_p.*")
 
 
 def recommend(
@@ -211,37 +239,44 @@ def recommend(
         weighted = weighted.join(owned, "customerId", "left")
     else:
         weighted = weighted.withColumn("_owned", F.lit(None).cast(f"array<{entry}>"))
-    weighted = weighted.withColumn("_owned", F.coalesce(F.col("_owned"), F.array().cast(f"array<{entry}>")))
-    owned_ids = F.transform(F.col("_owned"), lambda o: o["productId"])
-    skin, weights = F.col("_skin"), F.col("weights")
-    owned_scored = F.transform(
-        F.col("_owned"),
-        lambda o: F.struct(
-            product_score(weights, o["concerns"], o["types"], skin, F.lit(True)).alias("score"),
-            o["productId"].alias("productId"),
-            o["concerns"].alias("concerns"),
-        ),
-    )
-    best = weighted.withColumn("_best", _leading(owned_scored, top_n))
-    for part in _catalog_parts(catalog, part_size):
+    owned_list = F.coalesce(F.col("_owned"), F.array().cast(f"array<{entry}>"))
+    by_place = F.array(*[F.coalesce(F.element_at(F.col("weights"), name), F.lit(0.0)) for name, _ in CONCERNS])
+    inputs = [
+        by_place.alias("weights"),
+        F.col("_skin").alias("skin"),
+        owned_list.alias("owned"),
+        F.transform(owned_list, lambda o: o["productId"]).alias("owned_ids"),
+    ]
+
+    def owned_scored(r: Column) -> Column:
+        return F.transform(
+            r["owned"],
+            lambda o: _candidate(_score(_matched(r["weights"], _places(o["concerns"])), o["types"], r["skin"], True), o["productId"], o["concerns"]),
+        )
+
+    best = weighted.withColumn("_best", _let(F.struct(*inputs), lambda r: _leading(owned_scored(r), top_n)))
+    parts = _catalog_parts(catalog, part_size)
+    for part in parts:
         # A scalar subquery: the packed part is computed once and goes to the
         # tasks as a constant, like a broadcast of one row.
-        packed = best.withColumn("_packed", F.coalesce(_pack(part).scalar(), F.array().cast(_PACKED)))
-        found = _candidates(F.col("_packed"), weights, skin, owned_ids, top_n)
-        best = packed.withColumn("_best", _leading(F.concat(F.col("_best"), found), top_n)).drop("_packed")
+        best = best.withColumn("_packed", F.coalesce(_pack(part).scalar(), F.array().cast(_PACKED)))
+        row = F.struct(*inputs, F.col("_packed").alias("profiles"))
+        added = _let(row, lambda r: _candidates(r, top_n))
+        best = best.withColumn("_best", _leading(F.concat(F.col("_best"), added), top_n)).drop("_packed")
     ranked = F.transform(
         F.col("_best"),
         lambda b, i: F.struct(
             b["productId"].alias("productId"),
             (i + 1).alias("rank"),
-            b["score"].alias("score"),
+            (F.lit(0.0) - b["less"]).alias("score"),
             b["concerns"].alias("targetConcerns"),
         ),
     )
-    return best.where(F.size("_best") > 0).select(*snaps.columns, ranked.alias("products"))
+    found = best.select(*snaps.columns, ranked.alias("products"))
+    return found if parts else found.where(F.lit(False))
 
 
-_PACKED = "array<struct<head:string,concerns:array<string>,types:array<string>,products:array<string>>>"
+_PACKED = "array<struct<places:array<bigint>,first:string,concerns:array<string>,types:array<string>,products:array<string>>>"
 
 
 def recommendation_id(customer: Column, scan: Column, time: Column) -> Column:

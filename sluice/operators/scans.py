@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import field_or_null
-from .dedup import KEY_SEPARATOR, POSITION, with_position
-from .ordered import CHUNK, HOT_ROWS, Split, running_count, split_hot_keys
+from .dedup import KEY_SEPARATOR, with_position
+from .ordered import HOT_ROWS, Split, running_count, split_hot_keys
 from .ttl import FOLD_ROWS, accepted_rows
 from .verdict import STREAM_KEY
 

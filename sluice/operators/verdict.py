@@ -17,7 +17,8 @@ ANOMALY = "_anomaly"
 BEFORE = "_before"
 STREAM_KEY = "_stream_key"
 INGEST_TIME = "_ingest_time"
-HIDDEN = (LIVE, FAILURES, ANOMALY, BEFORE)
+POSITION = "_position"
+HIDDEN = (LIVE, FAILURES, ANOMALY, BEFORE, POSITION)
 ENVELOPE = (STREAM_KEY, INGEST_TIME)
 
 _FAILURE_TYPE = "array<struct<operator:string,reason:string,message:string>>"

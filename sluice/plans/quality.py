@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import StreamDefinition
 from ..operators.anomaly import detect_anomalies
-from ..operators.dedup import dedup
+from ..operators.dedup import dedup, with_position
 from ..operators.ordered import HOT_ROWS
 from ..operators.stateless import coerce_types, handle_nulls, required_fields, rewritten_fields, validate_fields
 from ..operators.ttl import FOLD_ROWS
-from ..operators.verdict import ANOMALY, clean_rows, dead_letters, with_verdict
+from ..operators.verdict import ANOMALY, POSITION, clean_rows, dead_letters, with_verdict
 
 
 class QualityResult(NamedTuple):
@@ -42,15 +42,21 @@ def quality_verdicts(
     fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
     """All six steps on a batch frame, as one frame with verdict columns."""
-    df = stateless_verdicts(df, definition)
     quality = definition.quality
     if quality is None:
-        return df
+        return stateless_verdicts(df, definition)
+    stateful = bool(quality.dedup_fields or quality.anomaly_detection)
+    numbered = stateful and position is None
+    if numbered:
+        df, position = with_position(df, None)
+    arrived = df
+    df = stateless_verdicts(df, definition)
     if quality.dedup_fields:
         df = dedup(df, quality.dedup_fields, quality.dedup_ttl_hours, time, position, fold_rows=fold_rows)
-    return detect_anomalies(
-        df, quality.anomaly_detection, definition.key, quality.anomaly_key, time, position, hot_rows
+    df = detect_anomalies(
+        df, quality.anomaly_detection, definition.key, quality.anomaly_key, time, position, hot_rows, arrived
     )
+    return df.drop(POSITION) if numbered else df
 
 
 def split_verdicts(verdicts: DataFrame, definition: StreamDefinition, time: str = "eventTime") -> QualityResult:

@@ -39,14 +39,14 @@ BOUGHT_SQL = f"""{ITEMS_SQL}, bought AS (
 
 
 def flat_top(found: DataFrame) -> DataFrame:
-    return found.withColumn("p", F.explode("products")).select(
+    return rec.ranked_rows(found).select(
         F.col("customerId").cast("bigint").alias("customer_no"),
         F.col("scanId").alias("scan_id"),
         F.col("eventTimeMs").alias("event_time_ms"),
         F.col("firstEventMs").alias("first_event_ms"),
-        F.col("p.rank").cast("bigint").alias("rank"),
-        F.col("p.productId").alias("product_id"),
-        F.round("p.score", 6).alias("score"),
+        F.col("rank").cast("bigint").alias("rank"),
+        F.col("productId").alias("product_id"),
+        F.round("score", 6).alias("score"),
     )
 
 
@@ -147,7 +147,7 @@ def rec_scored_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     weighted = batch_snapshots(spark, sf_dir).withColumn("weights", rec.concern_weights(F.col("scores")))
     owned = bought(spark, sf_dir).join(products(spark, sf_dir).where("isActive"), "productId")
     pairs = weighted.join(preferences(spark, sf_dir), "customerId", "left").join(owned, "customerId")
-    score = rec.product_score(F.col("weights"), F.col("targetSkinConcerns"), F.col("targetSkinTypes"), F.col("skinType"), F.lit(True))
+    score = rec.product_score(F.col("weights"), F.col("targetSkinConcerns"), F.col("targetSkinTypes"), F.col("skinType"), True)
     return pairs.select(
         F.col("customerId").cast("bigint").alias("customer_no"), F.col("scanId").alias("scan_id"),
         F.col("firstEventMs").alias("first_event_ms"), F.col("productId").alias("product_id"), F.round(score, 6).alias("score"),

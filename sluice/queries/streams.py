@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import AnomalyRule
 from ..operators.verdict import ANOMALY, FAILURES, LIVE
@@ -92,8 +92,7 @@ def scan_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "late_data_stream",
-    f"""WITH {SCAN_SQL}, first_wave AS (
-      SELECT max(eventTime) AS newest FROM scan_dim WHERE streamKey IN ('scan-hydration', 'scan-texture')),
+    f"""WITH {SCAN_SQL}, first_wave AS (SELECT max(eventTime) AS newest FROM scan_dim WHERE streamKey <> 'scan-overall'),
     kept AS (
       SELECT customerId, eventTime, score FROM scan_dim WHERE streamKey <> 'scan-overall'
       UNION ALL
@@ -104,24 +103,26 @@ def scan_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",
 )
 def late_data_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three waves of files. A micro-batch drops what was late before it began,
-    by the watermark of the wave before the last one: the third wave loses the
-    rows whose window the first wave had closed."""
+    """Completion events arrive only after all others were processed; those whose
+    window has closed by then are dropped, the rest count."""
     events = table(spark, sf_dir, "events")
-    path = scratch_path(spark, "late-input")
-    waves = (("click", "view"), ("error", "signup"), ("purchase",))
-    for number, kinds in enumerate(waves):
-        events.where(F.col("event_type").isin(*kinds)).coalesce(1).write.parquet(f"{path}/wave={number}")
-    live = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/wave=*")
-    score = F.least("value", F.lit(100.0)).alias("score")
-    rows = live.select(F.col("user_id").alias("customer_no"), F.col("ts").cast("timestamp").alias(EVENT_TS), score)
-    windows = (
-        rows.withWatermark(EVENT_TS, f"{LAG_SECONDS} seconds")
-        .groupBy("customer_no", F.window(EVENT_TS, "30 minutes").alias("_w"))
-        .agg(F.count(F.lit(1)).alias("events"), F.sum("score").alias("total"))
-        .select("customer_no", F.unix_millis(F.col("_w.start")).alias("window_start_ms"), "events", "total")
-    )
-    return run_available(windows, "late").withColumn("total", F.round("total", 4))
+    path = scratch_path(spark, "late")
+
+    def run_wave(number: int, arrived: Column) -> DataFrame:
+        events.where(arrived).write.parquet(f"{path}/input/wave={number}")
+        live = spark.readStream.schema(events.schema).parquet(f"{path}/input")
+        score = F.least("value", F.lit(100.0)).alias("score")
+        rows = live.select(F.col("user_id").alias("customer_no"), F.col("ts").cast("timestamp").alias(EVENT_TS), score)
+        windows = (
+            rows.withWatermark(EVENT_TS, f"{LAG_SECONDS} seconds")
+            .groupBy("customer_no", F.window(EVENT_TS, "30 minutes").alias("_w"))
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("score").alias("total"))
+            .select("customer_no", F.unix_millis(F.col("_w.start")).alias("window_start_ms"), "events", "total")
+        )
+        return run_available(windows, "late", f"{path}/output", f"{path}/checkpoint")
+
+    run_wave(1, F.col("event_type") != "purchase")
+    return run_wave(2, F.col("event_type") == "purchase").withColumn("total", F.round("total", 4))
 
 
 @query(

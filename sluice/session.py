@@ -20,7 +20,13 @@ def build_session(app_name: str = "sluice", master: str | None = None, shuffle_p
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        # One machine: small data, so let small partitions keep all cores busy.
+        builder = (
+            builder.master(master)
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+            .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
