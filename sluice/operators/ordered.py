@@ -74,14 +74,15 @@ def chunk_bounds(df: DataFrame, key: str, order: list[str], sizes: DataFrame, ho
 
 
 def _chunk_of(order: list[str]) -> Column:
-    """Binary search of the row's place among its key's bounds."""
+    """Binary search of the row's place among its key's bounds; null for keys
+    that were not cut."""
     bounds, row = F.col(_BOUNDS), F.struct(*order)
     found = F.aggregate(
         F.array(*[F.lit(step) for step in _SEARCH_STEPS]),
         F.lit(0),
         lambda at, step: F.when(F.get(bounds, at + step - 1) <= row, at + step).otherwise(at),
     )
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(found)
+    return F.when(bounds.isNotNull(), found)
 
 
 def split_hot_keys(df: DataFrame, key: str, order: list[str], hot_rows: int = HOT_ROWS, sizing: DataFrame | None = None) -> Split:
@@ -98,9 +99,8 @@ def split_hot_keys(df: DataFrame, key: str, order: list[str], hot_rows: int = HO
 
 
 def hot_only(split: Split) -> DataFrame:
-    """Rows of keys that have a second chunk anywhere: only they carry over."""
-    cut = split.rows.where(F.col(CHUNK) > 0).select(split.key).distinct()
-    return split.rows.join(F.broadcast(cut), split.key, "left_semi")
+    """Rows of the keys that were cut: only they carry anything over."""
+    return split.rows.where(F.col(CHUNK).isNotNull())
 
 
 def before_chunk(parts: DataFrame, key: str) -> WindowSpec:

@@ -90,6 +90,22 @@ def purchases(orders: DataFrame, as_of_ms: int, lookback_days: int = PURCHASE_LO
     return recent.select("customerId", "productId").distinct()
 
 
+def next_purchases(
+    orders: DataFrame, time: str = "eventTime", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """How many customers bought ``nextProductId`` right after ``productId``,
+    going by each product's first purchase. A collaborative signal that grows
+    with the purchases: counting all pairs a customer bought would grow with
+    their square."""
+    first = orders.groupBy("customerId", "productId").agg(F.min(time).alias("_first"))
+    keyed = first.where(F.col("customerId").isNotNull() & F.col("productId").isNotNull())
+    split = previous_value(split_hot_keys(keyed, "customerId", ["_first", "productId"], hot_rows), "productId", "_before")
+    pairs = split.rows.where(F.col("_before").isNotNull())
+    return pairs.groupBy(F.col("_before").alias("productId"), F.col("productId").alias("nextProductId")).agg(
+        F.count(F.lit(1)).alias("customers")
+    )
+
+
 def latest_skin_type(preferences: DataFrame, time: str = "eventTime") -> DataFrame:
     """The newest stated skin type per customer."""
     return preferences.groupBy("customerId").agg(F.max_by("skinType", F.col(time)).alias("skinType"))
@@ -220,19 +236,21 @@ def recommend(
     ``bought`` (customerId, productId). ``score_fn`` may replace the weights: it
     gets the snapshots and returns them with a ``weights`` map column. An empty
     catalogue gives no rows."""
-    base = snaps
-    weighted = score_fn(base) if score_fn else base.withColumn("weights", concern_weights(F.col("scores")))
+    parts = _catalog_parts(catalog, part_size)
+    weighted = score_fn(snaps) if score_fn else snaps.withColumn("weights", concern_weights(F.col("scores")))
     if preferences is not None:
         weighted = weighted.join(preferences.select("customerId", F.col("skinType").alias("_skin")), "customerId", "left")
     else:
         weighted = weighted.withColumn("_skin", F.lit(None).cast("string"))
     entry = "struct<productId:string,concerns:array<string>,types:array<string>>"
     if bought is not None:
-        # Distinct active products only, so the array is no longer than the catalogue.
+        # Distinct active products only, so the array is no longer than the
+        # catalogue, which is broadcast if it passed the size check in one part.
+        active = F.broadcast(_active(catalog)) if len(parts) == 1 else _active(catalog)
         owned = (
             bought.select("customerId", "productId")
             .distinct()
-            .join(_active(catalog), "productId")
+            .join(active, "productId")
             .groupBy("customerId")
             .agg(F.collect_list(F.struct("productId", "concerns", "types")).alias("_owned"))
         )
@@ -255,7 +273,6 @@ def recommend(
         )
 
     best = weighted.withColumn("_best", _let(F.struct(*inputs), lambda r: _leading(owned_scored(r), top_n)))
-    parts = _catalog_parts(catalog, part_size)
     for part in parts:
         # A scalar subquery: the packed part is computed once and goes to the
         # tasks as a constant, like a broadcast of one row.

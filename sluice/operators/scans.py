@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import field_or_null
+from ..session import cut_lineage
 from .dedup import KEY_SEPARATOR, with_position
 from .ordered import HOT_ROWS, Split, running_count, split_hot_keys
 from .ttl import FOLD_ROWS, accepted_rows
@@ -132,8 +133,12 @@ def _split_at_timeouts(split: Split, time: str, position: str, timeout_ms: int,
     chain accepts a row; counting those starts numbers the sub-runs."""
     run = F.concat_ws(KEY_SEPARATOR, F.col(_KEY), F.col(_SEGMENT).cast("string"))
     rows = split.rows.withColumn("_run", run)
+    if split.hot:
+        rows = cut_lineage(rows)
     starts = accepted_rows(rows, "_run", time, position, timeout_ms, fold_rows)
     marked = rows.join(starts.withColumn(_START, F.lit(True)), ["_run", position], "left").drop("_run")
+    if split.hot:
+        marked = cut_lineage(marked)
     return running_count(split.with_rows(marked), F.col(_START), _TIMED, inclusive=True)
 
 

@@ -198,3 +198,15 @@ def rec_output_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("recommendationId").alias("recommendation_id"), F.col("recommendationSource").alias("source"),
         F.array_join(named, ",").alias("products"), F.round(best.cast("string").cast("double"), 4).alias("best"),
     )
+
+
+@query(
+    "rec_copurchase",
+    f"""WITH {ITEMS_SQL}, f AS (SELECT customerId, productId, min(eventTime) AS t FROM order_items GROUP BY 1, 2),
+    l AS (SELECT lag(productId) OVER (PARTITION BY customerId ORDER BY t, productId) AS before, productId FROM f)
+    SELECT before AS product_id, productId AS next_product_id, count(*) AS customers FROM l WHERE before IS NOT NULL GROUP BY 1, 2""",
+)
+def rec_copurchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rec.next_purchases(order_items(spark, sf_dir)).select(
+        F.col("productId").alias("product_id"), F.col("nextProductId").alias("next_product_id"), "customers"
+    )

@@ -113,3 +113,12 @@ def test_replacement_scoring(spark):
     catalogue = spark.createDataFrame([("p1", 1, "UPSERT", True, ["PORES"], []), ("p0", 1, "UPSERT", True, [], [])], CATALOG_DDL)
     model = lambda df: df.withColumn("weights", F.create_map(F.lit("pores"), F.lit(0.9)))
     assert [p.productId for p in rec.recommend(snaps, catalogue, score_fn=model).first().products] == ["p1", "p0"]
+
+
+@pytest.mark.parametrize("hot_rows", [1000, 5])
+def test_next_purchases(spark, hot_rows):
+    rows = [("c", "a", 1), ("c", "b", 2), ("c", "a", 3), ("c", "d", 4), ("e", "a", 9), ("e", "b", 9), (None, "a", 1)]
+    rows += [("hot", f"p{i:02d}", i) for i in range(30)]
+    found = rec.next_purchases(spark.createDataFrame(rows, "customerId string, productId string, eventTime bigint"), hot_rows=hot_rows)
+    counts = {(r.productId, r.nextProductId): r.customers for r in found.collect()}
+    assert counts[("a", "b")] == 2 and counts[("b", "d")] == 1 and counts[("p07", "p08")] == 1 and len(counts) == 2 + 29
