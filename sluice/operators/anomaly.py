@@ -41,30 +41,45 @@ def _outside(rule: AnomalyRule) -> Column:
     return F.coalesce(enough & hit & ~F.isnan(value), F.lit(False))
 
 
-def _cumulative(split: Split) -> Split:
-    """Count, mean and sample deviation of all earlier values of the key."""
+Moments = tuple[Column, Column, Column]
+
+
+def merge_moments(a: Moments, b: Moments) -> Moments:
+    """Count, mean and squared deviations of two disjoint samples together."""
+    (na, ma, qa), (nb, mb, qb) = [
+        (F.coalesce(n, F.lit(0)), F.coalesce(m, F.lit(0.0)), F.coalesce(q, F.lit(0.0))) for n, m, q in (a, b)
+    ]
+    n, gap = na + nb, mb - ma
+    both = (na > 0) & (nb > 0)
+    mean = F.when(na == 0, mb).when(nb == 0, ma).otherwise(ma + gap * nb / F.when(n > 0, n))
+    return n, mean, F.when(both, qa + qb + gap * gap * na * nb / F.when(n > 0, n)).otherwise(qa + qb)
+
+
+def _cumulative(split: Split, initial: DataFrame | None = None) -> Split:
+    """Count, mean and sample deviation of all earlier values of the key, those
+    of earlier runs (``initial``) included."""
     frame = split.window().rowsBetween(Window.unboundedPreceding, -1)
     value = F.col(_VALUE)
-    if not split.hot:
+    if not split.hot and initial is None:
         stats = {
             _N: F.count(value).over(frame),
             _MEAN: F.avg(value).over(frame),
             _SD: F.stddev_samp(value).over(frame),
         }
         return split.with_rows(split.rows.withColumns(stats))
-    local = split.rows.withColumns(
+    rows = split.rows.withColumns(
         {"_nb": F.count(value).over(frame), "_mb": F.avg(value).over(frame), "_vb": F.var_pop(value).over(frame)}
     )
-    carried = _carried_moments(split)
-    joined = local.join(F.broadcast(carried), [split.key, CHUNK], "left")
-    na, nb = F.coalesce(F.col("_na"), F.lit(0)), F.col("_nb")
-    ma, mb = F.coalesce(F.col("_ma"), F.lit(0.0)), F.coalesce(F.col("_mb"), F.lit(0.0))
-    n, gap = na + nb, mb - ma
-    squares = F.coalesce(F.col("_qa"), F.lit(0.0)) + F.coalesce(F.col("_vb"), F.lit(0.0)) * nb
-    spread = F.when((na > 0) & (nb > 0), squares + gap * gap * na * nb / F.when(n > 0, n)).otherwise(squares)
-    mean = F.when(n > 0, F.when(na == 0, mb).otherwise(ma + gap * nb / n))
-    merged = joined.withColumns({_N: n, _MEAN: mean, _SD: F.when(n > 1, F.sqrt(spread / F.when(n > 1, n - 1)))})
-    return split.with_rows(merged.drop("_na", "_ma", "_qa", "_nb", "_mb", "_vb"))
+    moments = (F.col("_nb"), F.col("_mb"), F.col("_vb") * F.col("_nb"))
+    if split.hot:
+        rows = rows.join(F.broadcast(_carried_moments(split)), [split.key, CHUNK], "left")
+        moments = merge_moments((F.col("_na"), F.col("_ma"), F.col("_qa")), moments)
+    if initial is not None:
+        rows = rows.join(initial.toDF(split.key, "_n0", "_m0", "_q0"), split.key, "left")
+        moments = merge_moments((F.col("_n0"), F.col("_m0"), F.col("_q0")), moments)
+    n, mean, squares = moments
+    merged = rows.withColumns({_N: n, _MEAN: mean, _SD: F.when(n > 1, F.sqrt(squares / F.when(n > 1, n - 1)))})
+    return split.with_rows(merged.drop("_na", "_ma", "_qa", "_nb", "_mb", "_vb", "_n0", "_m0", "_q0"))
 
 
 def _carried_moments(split: Split) -> DataFrame:
@@ -142,10 +157,15 @@ def detect_anomalies(
     position: str | None = None,
     hot_rows: int = HOT_ROWS,
     sizing: DataFrame | None = None,
+    initial: DataFrame | None = None,
+    keep_values: bool = False,
 ) -> DataFrame:
     """Flag, dead-letter or drop outliers. Rows of a key count in (time,
     position) order; ``position`` must be unique per row. Key sizes are taken
-    from ``sizing`` where given: the rows before dedup serve, at less cost."""
+    from ``sizing`` where given: the rows before dedup serve, at less cost.
+    ``initial`` holds (key, rule number, count, mean, squared deviations) of
+    earlier runs; ``keep_values`` keeps what to add to them, see
+    ``moments_after``."""
     df = with_verdict(df)
     if not rules:
         return df
@@ -159,12 +179,34 @@ def detect_anomalies(
         # Rows and carried statistics are read separately; both must see the
         # same rows, and what lies before (dedup joins) should run once.
         split = split.with_rows(cut_lineage(split.rows))
-    for rule in rules:
+    for number, rule in enumerate(rules):
         value = F.when(F.col(LIVE), as_double(split.rows, rule.field))
         split = split.with_rows(split.rows.withColumn(_VALUE, value))
-        split = _rolling(split, rule) if rule.rows else _cumulative(split)
+        if keep_values:
+            split = split.with_rows(split.rows.withColumn(f"{_VALUE}_{number}", F.col(_VALUE)))
+        before = None if initial is None else initial.where(F.col("rule") == number).select("key", "n", "mean", "squares")
+        split = _rolling(split, rule) if rule.rows else _cumulative(split, before)
         split = split.with_rows(_apply_verdict(split.rows.withColumn(_FLAG, _outside(rule)), rule))
-    return split.rows.drop(KEY, CHUNK, *own)
+    return split.rows.drop(CHUNK, *own, *([] if keep_values else [KEY]))
+
+
+MOMENTS_DDL = "key string, rule int, n bigint, mean double, squares double"
+
+
+def moments_after(checked: DataFrame, rules: int, initial: DataFrame) -> DataFrame:
+    """Moments per key and rule after a run of ``detect_anomalies`` that kept
+    its values. Totals combine before the shuffle."""
+    long = checked.select(
+        F.col(KEY).alias("key"), F.posexplode(F.array(*[F.col(f"{_VALUE}_{i}") for i in range(rules)])).alias("rule", "value")
+    ).where(F.col("value").isNotNull())
+    totals = long.groupBy("key", "rule").agg(
+        F.count("value").alias("n1"), F.avg("value").alias("mean1"), (F.var_pop("value") * F.count("value")).alias("squares1")
+    )
+    joined = initial.join(totals, ["key", "rule"], "full")
+    n, mean, squares = merge_moments(
+        (F.col("n"), F.col("mean"), F.col("squares")), (F.col("n1"), F.col("mean1"), F.col("squares1"))
+    )
+    return joined.select("key", "rule", n.alias("n"), mean.alias("mean"), squares.alias("squares"))
 
 
 def _apply_verdict(rows: DataFrame, rule: AnomalyRule) -> DataFrame:

@@ -111,21 +111,31 @@ def snapshots(
     Batch snapshots carry the time of their last event. ``df`` holds the united
     scan streams with the envelope's stream key."""
     df, position = with_position(df, position)
+    rows, groups = run_rows(df, time, position, timeout_ms, hot_rows, fold_rows)
+    return merge_runs(rows, groups, time, position)
+
+
+def run_rows(
+    df: DataFrame, time: str, position: str, timeout_ms: int | None, hot_rows: int = HOT_ROWS, fold_rows: int = FOLD_ROWS
+) -> tuple[DataFrame, list[str]]:
+    """Scan events with the columns that tell their runs apart."""
     events = df.where(F.col(STREAM_KEY).isin(*SCAN_STREAMS)).withColumn(_KEY, scan_key(df))
     split = split_hot_keys(events, _KEY, [time, position], hot_rows)
     split = running_count(split, F.col(STREAM_KEY) == COMPLETION, _SEGMENT, inclusive=False)
-    groups = [_KEY, _SEGMENT]
-    if timeout_ms is not None:
-        split = _split_at_timeouts(split, time, position, timeout_ms, fold_rows)
-        groups.append(_TIMED)
+    if timeout_ms is None:
+        return split.rows, [_KEY, _SEGMENT]
+    return _split_at_timeouts(split, time, position, timeout_ms, fold_rows).rows, [_KEY, _SEGMENT, _TIMED]
+
+
+def merge_runs(rows: DataFrame, groups: list[str], time: str, position: str, keep: tuple[str, ...] = ()) -> DataFrame:
     order = F.struct(time, position)
-    merged = split.rows.groupBy(*groups).agg(
-        *[c.alias(name) for name, c in snapshot_aggregates(split.rows, order).items()],
+    merged = rows.groupBy(*groups).agg(
+        *[c.alias(name) for name, c in snapshot_aggregates(rows, order).items()],
         F.min(time).alias("firstEventMs"),
         F.max(time).alias("eventTimeMs"),
         F.count(F.lit(1)).alias("events"),
     )
-    return _shape(merged, [F.col("eventTimeMs"), F.col("firstEventMs"), F.col("events")])
+    return _shape(merged, [F.col("eventTimeMs"), F.col("firstEventMs"), F.col("events"), *[F.col(c) for c in keep]])
 
 
 def _split_at_timeouts(split: Split, time: str, position: str, timeout_ms: int, fold_rows: int) -> Split:
