@@ -99,7 +99,9 @@ def next_purchases(
     their square."""
     first = orders.groupBy("customerId", "productId").agg(F.min(time).alias("_first"))
     keyed = first.where(F.col("customerId").isNotNull() & F.col("productId").isNotNull())
-    split = previous_value(split_hot_keys(keyed, "customerId", ["_first", "productId"], hot_rows), "productId", "_before")
+    sizing = orders.select("customerId", F.col(time).alias("_first"), "productId").where(F.col("customerId").isNotNull())
+    split = split_hot_keys(keyed, "customerId", ["_first", "productId"], hot_rows, sizing)
+    split = previous_value(split, "productId", "_before")
     pairs = split.rows.where(F.col("_before").isNotNull())
     return pairs.groupBy(F.col("_before").alias("productId"), F.col("productId").alias("nextProductId")).agg(
         F.count(F.lit(1)).alias("customers")

@@ -41,7 +41,7 @@ class DedupProcessor(StatefulProcessor):
         self.last = handle.getValueState("last_accepted", "t bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        stored = self.last.get() if self.last.exists() else None
+        stored = self.last.get()
         last = before = stored[0] if stored else None
         for row in in_order(rows, self.time, self.position):
             accepted = False
@@ -77,8 +77,10 @@ class AnomalyProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         count = len(self.rules)
-        moments = list(self.moments.get()[0]) if self.moments.exists() else [0.0] * (3 * count)
-        recent = [list(r) for r in self.recent.get()[0]] if self.recent.exists() else [[] for _ in self.rules]
+        windowed = any(rule["rows"] for rule in self.rules)
+        stored, kept = self.moments.get(), self.recent.get() if windowed else None
+        moments = list(stored[0]) if stored else [0.0] * (3 * count)
+        recent = [list(r) for r in kept[0]] if kept else [[] for _ in self.rules]
         for row in in_order(rows, self.time, self.position):
             flags, live = [False] * count, row[self.live]
             for i, rule in enumerate(self.rules):
@@ -91,7 +93,7 @@ class AnomalyProcessor(StatefulProcessor):
                     live = False
             yield extended(row, "_flags", flags)
         self.moments.update((moments,))
-        if any(rule["rows"] for rule in self.rules):
+        if windowed:
             self.recent.update((recent,))
 
     @staticmethod
@@ -159,9 +161,10 @@ class SnapshotProcessor(StatefulProcessor):
         self.open = handle.getValueState("snapshot", self.STATE)
 
     def _read(self) -> dict[str, Any] | None:
-        if not self.open.exists():
+        stored = self.open.get()
+        if not stored:
             return None
-        customer, scores, extras, concerns, first, last, events, timer = self.open.get()
+        customer, scores, extras, concerns, first, last, events, timer = stored
         return {
             "customerId": customer, "scores": dict(scores or {}), "extras": dict(extras or {}), "concerns": concerns,
             "first": first, "last": last, "events": events, "timer": timer,
@@ -205,7 +208,8 @@ class SnapshotProcessor(StatefulProcessor):
         if armed is not None and armed != timer:
             self.handle.deleteTimer(armed)
         if state is None:
-            self.open.clear()
+            if armed is not None:
+                self.open.clear()
             return
         self.open.update(tuple(state.values()))
         if armed != timer:
