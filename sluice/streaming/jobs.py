@@ -17,7 +17,7 @@ from ..sinks.deadletter import dlq_path, write_dlq
 from ..sinks.fanout import write_sinks
 from ..sources.readers import with_envelope, with_event_time
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS
-from .operators import SNAPSHOT_DDL, snapshots_stream, stream_verdicts
+from .operators import snapshots_stream, stream_verdicts
 
 # Fixed value: the default distance between checkpoints, here the trigger.
 TRIGGER = "60 seconds"
@@ -111,7 +111,3 @@ def run_available(df: DataFrame, label: str, path: str | None = None, checkpoint
     start(writer, available_now=True).awaitTermination()
     return spark.read.schema(df.schema).parquet(target)
 
-
-__all__ = [
-    "SNAPSHOT_DDL", "baselines_stream", "ingest_stream", "recommend_stream", "run_available", "snapshots_stream", "start",
-]

@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark():
     from sluice.session import build_session
 
-    session = build_session("tests", "local[8]", 4)
+    session = build_session("tests", "local[8]", 2)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -49,7 +49,7 @@ def test_dedup_compound_and_absent_key(spark):
     assert {r.seq for r in dedup(df, ["absent"], 1, position="seq").where(LIVE).collect()} == {1}
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     seed=st.integers(0, 10_000), span=st.sampled_from([30, 400, 5000]), ttl=st.sampled_from([1, 7, 50, 900]),
     groups=st.sampled_from([3, 40, 500]),

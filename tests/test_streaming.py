@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark import Row  # noqa: F401
 from pyspark.sql import functions as F
 
 from sluice.config import AnomalyRule, load_topology, topology_from_dict
