@@ -25,8 +25,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import ship_with_tasks
 from .ordered import key_sizes
 
+ship_with_tasks(__name__)
+
 FOLD_ROWS = 20_000
 ROWS_PER_PHASE_GROUP = 1_000_000
 SALTS = 64

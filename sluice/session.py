@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback_dirs: dict[str, str] = {}
@@ -66,3 +68,9 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def ship_with_tasks(module_name: str) -> None:
+    """Send a module's functions and classes to Python workers by value, so they
+    run on executors that do not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

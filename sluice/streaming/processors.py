@@ -19,6 +19,9 @@ from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.anomaly import MINIMUM_SAMPLES
+from ..session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 
 def in_order(rows: Iterator[Row], time: str, position: str) -> list[Row]:
