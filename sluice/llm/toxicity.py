@@ -43,10 +43,10 @@ from .base import over_texts, ship
 ship(__name__)
 
 SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 128
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 48, 8192, 2048
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 48, 32768, 2048
 #: A word is taken as toxic from this log-likelihood ratio on, and from this share of the best word's.
 LEAST_RATIO, RATIO_SHARE = 45.0, 0.2
-MARGINS = (2, 3, 4, 5, 6, 8)
+MARGINS = (1, 2, 3, 4, 5, 6, 8)
 THRESHOLD = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -67,7 +67,7 @@ def windows(text: str | None, step: int = WINDOW // 2) -> Iterator[bytes]:
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
     how = zstandard.ZstdCompressionParameters.from_level(
-        5, source_size=WINDOW, dict_size=len(content), min_match=4, strategy=zstandard.STRATEGY_GREEDY,
+        13, source_size=WINDOW, dict_size=len(content), min_match=4, search_log=8, strategy=zstandard.STRATEGY_LAZY2,
         write_content_size=0, write_checksum=0, write_dict_id=0,
     )
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
