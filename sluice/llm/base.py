@@ -72,3 +72,29 @@ def over_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Cal
 def crc_mod(id_col: str, of: int) -> Column:
     """crc32 of the id as text, modulo ``of``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % of
+
+
+def filter_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The rows, with all their columns, for which ``make()(texts)`` says true."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = None
+        for piece in pieces(batches, at):
+            function = function or make()
+            yield piece.filter(pa.array(function(piece.column(at).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def change_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The rows with ``make()(texts)`` in place of their texts; other columns stay."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = None
+        for piece in pieces(batches, at):
+            function = function or make()
+            yield piece.set_column(at, piece.schema.field(at), pa.array(function(piece.column(at).to_pylist()), piece.schema.field(at).type))
+
+    return df.mapInArrow(run, df.schema)
