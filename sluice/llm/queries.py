@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, tokens, toxicity
+from . import decontaminate, jaccard, packing, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
