@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard, packing, tokens, toxicity
+from . import decontaminate, jaccard, packing, pii, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_similar(table(spark, sf_dir, "documents"))
 
 
+@query("op3_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find_personal_data(docs, pii.fit(docs)))
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
