@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .base import over_texts, ship
+from .base import filter_rows, over_texts, ship
 
 ship(__name__)
 
@@ -199,3 +199,17 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
     parts = [F.col("features")[k] * F.lit(float(w)) for k, w in enumerate(weights)]
     score = 1 / (1 + F.exp(-(sum(parts[1:], parts[0]) + F.lit(float(intercept)))))
     return features(docs, model, id_col, text_col).select(F.col(id_col), score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all columns, whose score stays below the threshold."""
+    if not model["weights"]:
+        return docs if model["share"] < threshold else docs.limit(0)
+    ordinary, toxic, weights = model["ordinary"], model["toxic"], np.array(model["weights"])
+    least = math.log(threshold / (1 - threshold))
+
+    def make() -> Callable[[list], list]:
+        measure = Margins(ordinary, toxic)
+        return lambda texts: [float(np.dot(weights[:-1], measure(text)) + weights[-1]) < least for text in texts]
+
+    return filter_rows(docs, text_col, make)
