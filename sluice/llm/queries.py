@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard, packing, pii, tokens, toxicity
+from . import decontaminate, jaccard, licences, packing, pii, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(docs, pii.fit(docs)))
 
 
+@query("op4_licence_scan", licences.matches_sql())
+def licence_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find_licences(table(spark, sf_dir, "documents"), licences.known_licences(spark))
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
