@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard, licences, packing, pii, tokens, toxicity
+from . import decontaminate, fertility, jaccard, licences, packing, pii, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,15 @@ def licence_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.find_licences(table(spark, sf_dir, "documents"), licences.known_licences(spark))
 
 
+@query("op5_fertility_rules")
+def fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = fertility.judge(table(spark, sf_dir, "documents"), group_col="lang")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "chars_per_token", "fallback_share", "entropy", "n_tokens", "outside",
+    )
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
