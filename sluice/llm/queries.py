@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, fertility, jaccard, licences, packing, pii, tokens, toxicity
+from . import decontaminate, fertility, jaccard, langid, licences, neighbours, packing, pii, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,20 @@ def fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_language_id")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify_language(docs, langid.fit(docs))
+    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_quality_votes")
+def quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = neighbours.score_quality(docs, neighbours.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op8_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
