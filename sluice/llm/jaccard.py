@@ -46,7 +46,7 @@ HASHES, BAND_ROWS = 80, 4
 STEP, TOLERANCE = 16, 1e-6
 PAIR_BUCKET = 16
 #: Text classes and runs that a block holds, and runs of small cells that share a task.
-BLOCK_TEXTS, BLOCK_RUNS, TASK_RUNS = 512, 400_000, 1_000_000
+BLOCK_TEXTS, BLOCK_RUNS, TASK_RUNS = 256, 400_000, 250_000
 FACTORS = np.random.default_rng(5).integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = np.random.default_rng(7).integers(0, 2**63, HASHES, dtype=np.uint64)
 MIX = np.uint64(0x9E3779B97F4A7C15)
