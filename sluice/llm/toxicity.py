@@ -45,7 +45,7 @@ ship(__name__)
 SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 128
 WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 48, 32768, 2048
 #: A word is taken as toxic from this log-likelihood ratio on, and from this share of the best word's.
-LEAST_RATIO, RATIO_SHARE = 45.0, 0.2
+LEAST_RATIO, RATIO_SHARE = 15.0, 0.2
 MARGINS = (1, 2, 3, 4, 5, 6, 8)
 THRESHOLD = 0.5
 WORD = re.compile(r"[^\W\d_]+")
@@ -158,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     turn = F.pmod(F.xxhash64("key"), F.lit(1_000_000))
     chosen = usable.where(turn < F.when(F.col("label") == 1, 1e6 * sample_docs / toxic).otherwise(1e6 * sample_docs / ordinary))
     narrow = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    sample = cut_lineage(narrow.join(F.broadcast(chosen), "key").withColumn("half", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2))))
+    sample = cut_lineage(narrow.join(F.broadcast(chosen), "key").withColumn("third", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(3))))
 
     def excerpts() -> Callable[[list, list, list], dict]:
         def take(texts: list, *_: list) -> dict:
@@ -167,11 +167,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         return take
 
-    first = sample.where("half = 0").select("label", "text")
+    first = sample.where("third > 0").select("label", "text")
     taken = over_texts(first, "label", "text", excerpts, "near long, parts array<binary>").dropDuplicates(["near"])
     picked = [(r["label"], [bytes(p) for p in r["parts"]]) for r in taken.orderBy("near").collect()]
     model["ordinary"], model["toxic"] = dictionaries(picked)
-    measured = features(sample.where("half = 1"), model, "label", "text").collect()
+    measured = features(sample.where("third = 0"), model, "label", "text").collect()
     y = np.array([r["label"] for r in measured], float)
     if 0 < y.sum() < len(y):
         weights = logistic(np.array([r["features"] for r in measured]), y)
