@@ -28,6 +28,14 @@ def with_position(df: DataFrame, position: str | None) -> tuple[DataFrame, str]:
     return cut_lineage(df.withColumn(POSITION, F.monotonically_increasing_id())), POSITION
 
 
+def limit_ms(ttl_hours: float) -> int:
+    """The limit in milliseconds; one that is shorter than a millisecond is refused."""
+    limit = int(ttl_hours * 3_600_000)
+    if limit < 1:
+        raise ValueError(f"dedupTtlHours must be at least a millisecond, not {ttl_hours}")
+    return limit
+
+
 def dedup(
     df: DataFrame,
     keys: list[str],
@@ -44,7 +52,7 @@ def dedup(
     df, position = with_position(with_verdict(df), position)
     event_time = F.coalesce(field_or_null(df, time).try_cast("bigint"), F.lit(0).cast("bigint"))
     rows = df.withColumns({_KEY: key_text(df, keys), _TIME: event_time})
-    ttl_ms = int(ttl_hours * 3_600_000)
+    ttl_ms = limit_ms(ttl_hours)
     first = accepted_rows(rows.where(F.col(LIVE)), _KEY, _TIME, position, ttl_ms, fold_rows, group_rows)
     # Joining on the unique position as well spreads the copies of one key.
     joined = rows.join(first.withColumn(_FIRST, F.lit(True)), [_KEY, position], "left")

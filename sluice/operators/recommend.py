@@ -109,8 +109,8 @@ def next_purchases(
 
 
 def latest_skin_type(preferences: DataFrame, time: str = "eventTime") -> DataFrame:
-    """The newest stated skin type per customer."""
-    return preferences.groupBy("customerId").agg(F.max_by("skinType", F.col(time)).alias("skinType"))
+    """The newest stated skin type per customer; of equal times the last by name."""
+    return preferences.groupBy("customerId").agg(F.max_by("skinType", F.struct(F.col(time), F.col("skinType"))).alias("skinType"))
 
 
 def recent_scans(snaps: DataFrame, as_of_ms: int, ttl_days: int = SCAN_TTL_DAYS, time: str = "eventTimeMs") -> DataFrame:
@@ -127,11 +127,13 @@ def change_gate(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Snapshots that differ from the customer's previous one by at least the
-    threshold, and first ones. ``tie`` orders snapshots of equal time."""
+    threshold, and first ones. Snapshots of equal time are ordered by ``tie`` and
+    their first event."""
+    order = [time, tie, *(["firstEventMs"] if "firstEventMs" in snaps.columns else [])]
     scored = snaps.withColumns(
         {"_gate_key": F.coalesce(F.col("customerId"), F.lit("")), "_score": F.element_at(F.col("scores"), score)}
     ).where(F.col("_score").isNotNull())
-    split = previous_value(split_hot_keys(scored, "_gate_key", [time, tie], hot_rows), "_score", "previous")
+    split = previous_value(split_hot_keys(scored, "_gate_key", order, hot_rows), "_score", "previous")
     delta = F.col("_score") - F.col("previous")
     kept = split.rows.withColumn("change", delta).where(F.col("previous").isNull() | (F.abs(delta) >= threshold))
     return kept.select(*snaps.columns, "previous", "change")

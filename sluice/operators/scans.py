@@ -152,6 +152,11 @@ def _split_at_timeouts(split: Split, time: str, position: str, timeout_ms: int,
     return running_count(split.with_rows(marked), F.col(_START), _TIMED, inclusive=True)
 
 
+def closing_time(timeout_ms: int) -> Column:
+    """When a snapshot closed: with its completion, else when its time was up."""
+    return F.when(F.col("complete"), F.col("eventTimeMs")).otherwise(F.col("firstEventMs") + timeout_ms)
+
+
 def baselines(snaps: DataFrame, width: str = "30 minutes", time: str = "eventTimeMs") -> DataFrame:
     """Mean of each score per customer and tumbling window, one row per score."""
     exploded = snaps.select(
@@ -182,5 +187,5 @@ def nest_baselines(rows: DataFrame) -> DataFrame:
 def enrich_with_sessions(snaps: DataFrame, sessions: DataFrame, columns: list[str], time: str = "eventTime") -> DataFrame:
     """Snapshots with the newest session metadata of their scan, null where the
     scan has no session event. ``max_by`` keeps one row per scan."""
-    newest = sessions.groupBy("scanId").agg(F.max_by(F.struct(*columns), F.col(time)).alias("_session"))
+    newest = sessions.groupBy("scanId").agg(F.max_by(F.struct(*columns), F.struct(F.col(time), *columns)).alias("_session"))
     return snaps.join(newest, "scanId", "left").select(*snaps.columns, *[F.col(f"_session.{c}").alias(c) for c in columns])

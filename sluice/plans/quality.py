@@ -75,7 +75,7 @@ def attach_quality(
     Streaming frames take steps 1 to 4 here and steps 5 and 6 as stateful
     processors in ``sluice.streaming``."""
     if df.isStreaming:
-        raise ValueError("use sluice.streaming.jobs.stream_quality for streaming frames")
+        raise ValueError("use sluice.streaming.operators.stream_verdicts for streaming frames")
     verdicts = quality_verdicts(df, definition, time, position, hot_rows, fold_rows)
     clean, dlq = split_verdicts(verdicts, definition, time)
     if definition.quality is None:

@@ -9,7 +9,7 @@ from ..plans.adapters import ORDERS_SQL, TELEMETRY_SQL, orders_evt, table
 from ..session import scratch_path
 from ..sinks.deadletter import replay, write_dlq
 from ..sinks.fanout import fan_out
-from ..sinks.lake import erase, upsert, write_lake
+from ..sinks.lake import current_version, erase, upsert_version, write_lake
 from ..sinks.rows import jdbc_rows
 from . import query
 from .quality import CHAIN, CHAIN_SQL, chain, numbered
@@ -56,14 +56,12 @@ def sink_lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sink_partition_counts",
-    f"""WITH {TELEMETRY_SQL} SELECT eventTime // 86400000 AS day_no, count(*) AS events FROM telemetry
-        WHERE eventTime // 86400000 >= 19737 GROUP BY 1""",
+    f"""WITH {TELEMETRY_SQL} SELECT eventTime // 86400000 AS day_no, count(*) AS events FROM telemetry GROUP BY 1""",
 )
 def sink_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "partitions")
     write_lake(numbered(spark, sf_dir), path, ["eventDate"])
-    recent = spark.read.parquet(path).where(F.col("eventDate") >= F.lit("2024-01-15").cast("date"))
-    return recent.groupBy(F.unix_date("eventDate").cast("bigint").alias("day_no")).agg(F.count(F.lit(1)).alias("events"))
+    return spark.read.parquet(path).groupBy(F.unix_date("eventDate").cast("bigint").alias("day_no")).agg(F.count(F.lit(1)).alias("events"))
 
 
 @query(
@@ -74,12 +72,13 @@ def sink_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM r WHERE rn = 1""",
 )
 def sink_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later orders come first, so the second write holds older updates that must lose."""
     orders = orders_evt(spark, sf_dir).withColumn("order_no", F.col("orderId").cast("bigint"))
     path = scratch_path(spark, "upsert")
     keys, order = ["customerId"], ["eventTime", "order_no"]
-    upsert(orders.where(F.col("eventTime") < UPDATES_FROM_MS), keys, order, f"{path}/version=0")
-    upsert(orders.where(F.col("eventTime") >= UPDATES_FROM_MS), keys, order, f"{path}/version=1", f"{path}/version=0")
-    return spark.read.parquet(f"{path}/version=1").select(
+    upsert_version(orders.where(F.col("eventTime") >= UPDATES_FROM_MS), keys, order, path)
+    upsert_version(orders.where(F.col("eventTime") < UPDATES_FROM_MS), keys, order, path)
+    return spark.read.parquet(current_version(spark, path)).select(
         F.col("customerId").cast("bigint").alias("customer_no"), "order_no", F.col("eventTime").alias("event_time"),
         F.round("totalAmount", 6).alias("amount"),
     )

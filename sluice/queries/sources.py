@@ -19,7 +19,7 @@ CUT_MS = 1_705_276_800_000  # 2024-01-15
 
 @query(
     "src_events_scan",
-    "SELECT event_id AS seq, user_id, event_type, round(value, 6) AS value FROM events WHERE value > 100 AND event_type <> 'view'",
+    "SELECT event_id AS seq, user_id, event_type, round(value, 6) AS value FROM events",
 )
 def src_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = StreamDefinition(key="events", source=SourceConfig(type="FILE", format="parquet", path=f"{sf_dir}/events.parquet"))
@@ -29,7 +29,7 @@ def src_events_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
         ]
     )
-    df = read_batch(spark, definition, schema=schema).where((F.col("value") > 100) & (F.col("event_type") != "view"))
+    df = read_batch(spark, definition, schema=schema)
     return df.select(F.col("event_id").alias("seq"), "user_id", "event_type", F.round("value", 6).alias("value"))
 
 

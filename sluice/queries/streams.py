@@ -68,16 +68,16 @@ def scan_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(run_available(snapshots_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS), "snapshots"))
 
 
-_COMPLETED_LONG_SQL = " UNION ALL ".join(
-    f"SELECT customerId, eventTimeMs, '{name}' AS dimension, {name} AS score FROM snaps WHERE complete AND {name} IS NOT NULL"
+_CLOSED_LONG_SQL = " UNION ALL ".join(
+    f"SELECT customerId, CASE WHEN complete THEN eventTimeMs ELSE firstEventMs + {LONG_TIMEOUT_MS} END AS closedMs, '{name}' AS dimension, {name} AS score FROM snaps WHERE {name} IS NOT NULL"
     for name in ("hydration", "texture", "wrinkle", "radiance", "overall")
 )
 
 
 @query(
     "scan_baseline_stream",
-    f"""WITH RECURSIVE {TIMED_SQL}, long AS ({_COMPLETED_LONG_SQL})
-    SELECT CAST(customerId AS BIGINT) AS customer_no, eventTimeMs // 1800000 * 1800000 AS window_start_ms, dimension,
+    f"""WITH RECURSIVE {TIMED_SQL}, long AS ({_CLOSED_LONG_SQL})
+    SELECT CAST(customerId AS BIGINT) AS customer_no, closedMs // 1800000 * 1800000 AS window_start_ms, dimension,
            round(avg(score), 6) AS mean, count(*) AS snapshots
     FROM long GROUP BY 1, 2, 3
     HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",

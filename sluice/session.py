@@ -20,6 +20,7 @@ def build_session(app_name: str = "sluice", master: str | None = None, shuffle_p
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         # One machine: small data, so let small partitions keep all cores busy.
@@ -35,11 +36,14 @@ def build_session(app_name: str = "sluice", master: str | None = None, shuffle_p
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``. Only when
-    the session names none (tests) a temporary folder stands in."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``. Only on a
+    local master without that setting (tests) a temporary folder stands in."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback_dirs:
         _fallback_dirs[app] = tempfile.mkdtemp(prefix="sluice-")

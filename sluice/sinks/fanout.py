@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..config import SinkConfig, StreamDefinition
-from .lake import table_path, upsert, write_lake
+from .lake import ROW_FORMATS, table_path, upsert, upsert_version, write_lake
 from .rows import jdbc_rows, write_jdbc
 
 log = logging.getLogger(__name__)
@@ -22,13 +22,15 @@ def sink_writer(definition: StreamDefinition, sink: SinkConfig, root: str, env:
     folder of that batch and replace it, so a repeated batch leaves no copies."""
     path = table_path(root, sink, env, prefix)
     if sink.type == "ICEBERG" and sink.write_mode == "UPSERT" and sink.upsert_fields:
-        number = batch_id or 0
-        current = f"{path}/version={number - 1}" if number > 0 else None
-        return lambda df: upsert(df, sink.upsert_fields, ["eventTime"], f"{path}/version={number}", current, path, fmt)
+        if fmt in ROW_FORMATS:
+            return lambda df: upsert(df, sink.upsert_fields, ["eventTime"], path, table=path, fmt=fmt)
+        return lambda df: upsert_version(df, sink.upsert_fields, ["eventTime"], path, batch_id)
     if sink.type == "ICEBERG" or (sink.type == "DATABRICKS_DELTA" and sink.mode == "DELTA"):
         target = sink.delta_path or path
         if batch_id is None:
             return lambda df: write_lake(df, target, sink.partition_columns, fmt=fmt)
+        if fmt in ROW_FORMATS:
+            raise ValueError(f"appends of micro-batches to {fmt} tables are not repeatable here; use parquet or an upsert sink")
         return lambda df: write_lake(df, f"{target}/batch_id={batch_id}", sink.partition_columns, fmt=fmt, mode="overwrite")
     if sink.type == "DATABRICKS_DELTA":
         if not sink.jdbc_url or not sink.target_table:

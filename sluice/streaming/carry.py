@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import AnomalyRule, StreamDefinition
 from ..functions.numbers import field_or_null
 from ..operators.anomaly import KEY as ANOMALY_KEY, MOMENTS_DDL, detect_anomalies, moments_after
-from ..operators.dedup import DEDUP, key_text
+from ..operators.dedup import DEDUP, key_text, limit_ms
 from ..operators.ordered import HOT_ROWS
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS, merge_runs, run_rows
 from ..operators.ttl import FOLD_ROWS, accepted_rows
@@ -51,7 +51,7 @@ def dedup_batch(
 ) -> tuple[DataFrame, DataFrame]:
     """Verdicts on a micro-batch and the last accepted time per key after it.
     The carried time takes part as a row that comes first."""
-    ttl_ms = int(ttl_hours * 3_600_000)
+    ttl_ms = limit_ms(ttl_hours)
     event_time = F.coalesce(field_or_null(rows, time).try_cast("bigint"), F.lit(0).cast("bigint"))
     keyed = with_verdict(rows).withColumn("_dedup_key", key_text(rows, keys)).join(last, "_dedup_key", "left")
     place = F.struct(F.lit(1).alias("new"), F.col(position).alias("p"))

@@ -34,7 +34,7 @@ def ingest_stream(
     root: str,
     checkpoint: str,
     env: str = "dev",
-    position: str = "eventId",
+    position: str | None = None,
     data_key: bytes | None = None,
     wrapped_key: bytes = b"",
     encrypt: bool = True,
@@ -84,12 +84,13 @@ def recommend_stream(
 
 
 def baselines_stream(events: DataFrame, width: str = "30 minutes", timeout_ms: int = SNAPSHOT_TIMEOUT_MS, position: str = "seq") -> DataFrame:
-    """Tumbling means over completed snapshots as a streaming frame. The window
-    goes by the completion event's time; late snapshots are dropped."""
-    snaps = snapshots_stream(events, position=position, timeout_ms=timeout_ms, completed_only=True)
-    exploded = snaps.select("customerId", "completedTs", F.explode("scores").alias("dimension", "score"))
+    """Tumbling means over all snapshots as a streaming frame, completed ones and
+    those that the timeout closed. The window goes by the time at which a snapshot
+    closed, as ``operators.scans.closing_time`` gives it in batch."""
+    snaps = snapshots_stream(events, position=position, timeout_ms=timeout_ms, stamped=True)
+    exploded = snaps.select("customerId", "closedTs", F.explode("scores").alias("dimension", "score"))
     return (
-        exploded.groupBy("customerId", F.window("completedTs", width).alias("_w"), "dimension")
+        exploded.groupBy("customerId", F.window("closedTs", width).alias("_w"), "dimension")
         .agg(F.avg("score").alias("mean"), F.count("score").alias("snapshots"))
         .select(
             "customerId",

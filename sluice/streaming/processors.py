@@ -25,7 +25,12 @@ ship_with_tasks(__name__)
 
 
 def in_order(rows: Iterator[Row], time: str, position: str) -> list[Row]:
-    return sorted(rows, key=lambda r: (r[time] is not None, r[time], r[position]))
+    """Nulls come first, in time and in position."""
+    def place(row: Row) -> tuple:
+        at, number = row[time], row[position]
+        return (at is not None, at or 0, number is not None, number) if number is not None else (at is not None, at or 0, False)
+
+    return sorted(rows, key=place)
 
 
 def extended(row: Row, name: str, value: Any) -> Row:
@@ -144,9 +149,10 @@ class SnapshotProcessor(StatefulProcessor):
 
     ``event_time``: the limit counts in event time, and an event at or after it
     starts a new snapshot even if the timer has not fired yet. Otherwise it
-    counts in processing time from the first arrival. ``completed_only`` leaves
-    out what only a timer closed and adds the completion as event time, for a
-    windowed aggregation to follow."""
+    counts in processing time from the first arrival. ``stamped`` adds the time
+    at which a snapshot closed (its completion, or its timer's time, which no
+    watermark has passed when it is emitted) as event time, for a windowed
+    aggregation to follow."""
 
     STATE = (
         "customerId string, scores map<string,double>, extras map<string,string>, concerns array<string>, "
@@ -154,8 +160,8 @@ class SnapshotProcessor(StatefulProcessor):
     )
 
     def __init__(self, time: str, position: str, stream: str, completion: str, scores: list[tuple[str, str]],
-                 timeout_ms: int, event_time: bool = True, completed_only: bool = False) -> None:
-        self.completed_only = completed_only
+                 timeout_ms: int, event_time: bool = True, stamped: bool = False) -> None:
+        self.stamped = stamped
         self.time, self.position, self.stream, self.completion = time, position, stream, completion
         self.scores, self.timeout_ms, self.event_time = scores, timeout_ms, event_time
 
@@ -179,8 +185,7 @@ class SnapshotProcessor(StatefulProcessor):
         for row in in_order(rows, self.time, self.position):
             at = row[self.time] or 0
             if state and self.event_time and at >= state["first"] + self.timeout_ms:
-                if not self.completed_only:
-                    yield self._emit(key, state, complete=False, at=state["timer"])
+                yield self._emit(key, state, complete=False, at=state["timer"])
                 state = None
             if state is None:
                 now = at if self.event_time else timerValues.getCurrentProcessingTimeInMs()
@@ -221,12 +226,11 @@ class SnapshotProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         state = self._read()
         if state is not None:
-            if not self.completed_only:
-                yield self._emit(key, state, complete=False, at=state["timer"])
+            yield self._emit(key, state, complete=False, at=state["timer"])
             self.open.clear()
 
     def _emit(self, key: Any, state: dict[str, Any], complete: bool, at: int) -> Row:
-        stamp = {"completedTs": pd.Timestamp(at, unit="ms", tz="UTC")} if self.completed_only else {}
+        stamp = {"closedTs": pd.Timestamp(at, unit="ms", tz="UTC")} if self.stamped else {}
         return Row(
             customerId=state["customerId"], scanId=key[0], eventTimeMs=state["last"], firstEventMs=state["first"],
             events=state["events"], scores=state["scores"], extras=state["extras"], topConcerns=state["concerns"],

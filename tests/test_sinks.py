@@ -16,7 +16,7 @@ from sluice.schemas import read_schema
 from sluice.session import scratch_path
 from sluice.sinks.deadletter import replay, write_dlq
 from sluice.sinks.fanout import fan_out, sink_writer, write_sinks
-from sluice.sinks.lake import ensure_table, table_path, write_lake
+from sluice.sinks.lake import _versions, current_version, ensure_table, table_path, write_lake
 from sluice.sinks.rows import bus_rows, jdbc_rows
 
 KEY = bytes(range(32))
@@ -90,10 +90,32 @@ def test_upsert_sink_versions_by_batch(spark):
     write_sinks(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("a", 2, "z")], ddl), definition, root, "dev", batch_id=0)
     for _ in range(2):  # a repeated batch changes nothing
         write_sinks(spark.createDataFrame([("b", 5, "new"), ("c", 5, "c")], ddl), definition, root, "dev", batch_id=1)
-    rows = spark.read.parquet(f"{root}/d_dev/t/version=1").collect()
+    rows = spark.read.parquet(current_version(spark, f"{root}/d_dev/t")).collect()
     assert {(r.id, r.v) for r in rows} == {("a", "z"), ("b", "new"), ("c", "c")} and len(rows) == 3
 
 
+def test_batch_upserts_keep_what_is_there(spark):
+    root = scratch_path(spark, "upserts")
+    definition = topology_from_dict(
+        {"streams": [{"key": "k", "sinks": [{"type": "ICEBERG", "database": "d", "table": "t", "writeMode": "UPSERT", "upsertKey": "id"}]}]}
+    ).streams[0]
+    ddl = "id string, eventTime bigint, v string, _stream_key string, _anomaly boolean"
+    waves = [[("a", 1, "x"), ("b", 9, "y"), (None, 1, "n")], [("c", 5, "c"), (None, 2, "m")], [("b", 3, "older"), ("a", 1, "x2")], [("b", 3, "older")]]
+    for wave in waves:
+        write_sinks(spark.createDataFrame([(*r, "k", False) for r in wave], ddl), definition, root, "dev")
+    table = spark.read.parquet(current_version(spark, f"{root}/d_dev/t"))
+    assert {tuple(r) for r in table.collect()} == {("a", 1, "x2"), ("b", 9, "y"), ("c", 5, "c"), (None, 2, "m")}
+    assert table.columns == ["id", "eventTime", "v"]
+    kept = {p.getPath().getName() for p in _versions(spark, f"{root}/d_dev/t")[0].listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/d_dev/t"))}
+    assert kept == {"version=2", "version=3"}
+
+
+def test_micro_batches_are_not_appended_to_row_level_tables(spark):
+    sink = SinkConfig(type="ICEBERG", database="d", table="t")
+    with pytest.raises(ValueError, match="not repeatable"):
+        sink_writer(load_topology().streams[0], sink, "/r", "dev", batch_id=3, fmt="iceberg")
+
+
 def loyalty(spark, rows):
     full = [(c, 1, t, "POINTS_EARNED", d, 10, tier, None, None, {}) for c, t, d, tier in rows]
     return spark.createDataFrame(full, read_schema("customer-loyalty"))

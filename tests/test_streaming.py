@@ -2,17 +2,18 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.config import AnomalyRule, load_topology, topology_from_dict
 from sluice.operators.anomaly import detect_anomalies
 from sluice.operators.dedup import dedup
-from sluice.operators.scans import snapshots
+from sluice.operators.scans import baselines, closing_time, snapshots
 from sluice.operators.verdict import ANOMALY, LIVE
 from sluice.plans.quality import quality_verdicts
 from sluice.session import scratch_path
 from sluice.sources.readers import decode_json, read_batch, read_stream, stream_table, with_event_time
-from sluice.streaming.jobs import ingest_stream, run_available
+from sluice.streaming.jobs import baselines_stream, ingest_stream, run_available
 from sluice.streaming.operators import dedup_stream, detect_anomalies_stream, snapshots_stream, stream_verdicts
 
 DDL = "seq bigint, customerId string, eventTime bigint, v double"
@@ -95,6 +96,40 @@ def test_snapshots_in_waves_equal_batch(spark):
     assert plain(got) == plain(expected)
 
 
+def test_streamed_means_equal_batch_means(spark):
+    rng = random.Random(3)
+    rows = []
+    for i, t in enumerate(sorted(rng.randrange(0, 7_200_000) for _ in range(200))):
+        done = rng.random() < 0.15
+        rows.append(("scan-overall" if done else "scan-hydration", "c", f"s{rng.randrange(6)}", t, i, None if done else float(i), float(i) if done else None))
+    rows.append(("scan-overall", "d", "end", 99_000_000, 999, None, 1.0))
+    snaps = snapshots(spark.createDataFrame(rows, SCAN_DDL), position="seq", timeout_ms=120_000)
+    assert snaps.where(~F.col("complete")).count() > 50
+    expected = baselines(snaps.withColumn("closedMs", closing_time(120_000)), time="closedMs").where("customerId = 'c'").collect()
+    got = run_in_waves(spark, rows, SCAN_DDL, [60, 150], lambda live: baselines_stream(with_event_time(live, lag_seconds=30), timeout_ms=120_000), "means").collect()
+    plain = lambda found: sorted((r.windowStartMs, r.dimension, round(r["mean"], 6), r.snapshots) for r in found)
+    assert plain(got) == plain(expected)
+
+
+def test_null_keys_and_positions_do_not_stop_a_stream(spark):
+    rows = [(None, "a", 5, 1.0), (1, "a", 5, 2.0), (2, "a", 6, 3.0), (None, None, 7, 4.0), (3, None, 7, None), (None, "a", 5, 1.0)]
+    definition = topology_from_dict(
+        {"streams": [{"key": "s", "quality": {"dedupKey": "customerId", "requiredFields": ["seq"], "anomalyDetection": [{"field": "v"}]}}]}
+    ).streams[0]
+    for position in ("seq", None):
+        build = lambda live, p=position: stream_verdicts(with_event_time(live, lag_seconds=30), definition, position=p).select("seq", "v", LIVE)
+        got = run_in_waves(spark, rows, DDL, [3], build, "nulls").collect()
+        assert len(got) == len(rows) and not any(r[LIVE] for r in got if r.seq is None)
+        assert sum(r[LIVE] for r in got) == 2
+
+
+def test_limits_below_a_millisecond_are_refused(spark):
+    frame = spark.createDataFrame(events(5), DDL)
+    for hours in (0, 1e-9):
+        with pytest.raises(ValueError, match="millisecond"):
+            dedup(frame, ["customerId"], hours, position="seq")
+
+
 def test_ingest_stream_and_repeat(spark):
     topology = load_topology()
     definition = topology.stream("customer-loyalty")
