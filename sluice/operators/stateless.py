@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import FieldValidation, TypeCoercion
@@ -81,6 +82,14 @@ def handle_nulls(df: DataFrame, strategy: str, defaults: Mapping[str, str] | Non
     return df.withColumns(fills) if fills else df
 
 
+def check_pattern(df: DataFrame, rule: FieldValidation) -> None:
+    """A pattern that the engine's own dialect refuses stops the job when its plan is built."""
+    try:
+        df.sparkSession._jvm.java.util.regex.Pattern.compile(rule.pattern)
+    except IllegalArgumentException as error:
+        raise ValueError(f"the pattern {rule.pattern!r} of field {rule.field!r} does not compile") from error
+
+
 def passes(df: DataFrame, rule: FieldValidation) -> Column:
     """True or false, never null, for one rule on the field's current value."""
     value = field_or_null(df, rule.field)
@@ -89,6 +98,7 @@ def passes(df: DataFrame, rule: FieldValidation) -> Column:
     if rule.rule == "REGEX":
         if not rule.pattern or not rule.pattern.strip():
             return F.lit(False)
+        check_pattern(df, rule)
         return F.coalesce(text.full_match(value.cast("string"), rule.pattern), F.lit(False))
     if rule.rule == "RANGE":
         number = as_double(df, rule.field)

@@ -10,7 +10,7 @@ from ..config import DeadLetterConfig, StreamDefinition
 from ..functions.crypto import encrypt_fields
 from ..operators import recommend as rec
 from ..operators.scans import baselines, snapshots
-from ..sinks.deadletter import dlq_path, write_dlq
+from ..sinks.deadletter import dlq_path, seal, write_dlq
 from ..sinks.fanout import write_sinks
 from ..sources.catalog import catalog_latest
 from ..sources.readers import union_streams, with_envelope
@@ -36,6 +36,7 @@ def ingest(
         clean, dead = split_verdicts(verdicts, definition)
         sealed = encrypt_fields(clean, definition.sensitive_fields, data_key, wrapped_key, encrypt)
         write_sinks(sealed, definition, root, env)
+        dead = seal(dead, definition.sensitive_fields, data_key, wrapped_key, encrypt)
         write_dlq(dead, dlq, dlq_path(dlq, root, env))
     finally:
         verdicts.unpersist()

@@ -49,8 +49,8 @@ def quality_verdicts(
     numbered = stateful and position is None
     if numbered:
         df, position = with_position(df, None)
-    arrived = df
     df = stateless_verdicts(df, definition)
+    arrived = df  # keys and times as coercion leaves them
     if quality.dedup_fields:
         df = dedup(df, quality.dedup_fields, quality.dedup_ttl_hours, time, position, fold_rows=fold_rows)
     df = detect_anomalies(

@@ -14,7 +14,7 @@ from ..streaming.jobs import run_available
 from . import query
 from .quality import numbered
 
-CUT_MS = 1_705_276_800_000  # 2024-01-15
+CUT_AT = 500  # events are numbered as they arrive
 
 
 @query(
@@ -65,15 +65,16 @@ def src_union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "src_backfill_stream",
-    f"""WITH {TELEMETRY_SQL} SELECT event_id AS seq, CASE WHEN eventTime < {CUT_MS} THEN 'history' ELSE 'stream' END AS origin FROM telemetry""",
+    f"""WITH {TELEMETRY_SQL} SELECT event_id AS seq, CASE WHEN event_id < {CUT_AT} THEN 'history' ELSE 'stream' END AS origin FROM telemetry""",
 )
 def src_backfill_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = telemetry(spark, sf_dir)
     schema = table(spark, sf_dir, "events").schema
     live = telemetry_of(stream_table(spark, f"{sf_dir}/events.parquet", schema))
-    before, after = backfill_then_stream(history, live, CUT_MS)
-    streamed = run_available(after.select(F.col("eventId").cast("bigint").alias("seq")), "backfill")
-    old = before.select(F.col("eventId").cast("bigint").alias("seq"), F.lit("history").alias("origin"))
+    seq = F.col("eventId").cast("bigint").alias("seq")
+    before, after = backfill_then_stream(history.select(seq), live.select(seq), CUT_AT, "seq")
+    streamed = run_available(after, "backfill")
+    old = before.withColumn("origin", F.lit("history"))
     return old.unionByName(streamed.withColumn("origin", F.lit("stream")))
 
 

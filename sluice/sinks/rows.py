@@ -26,7 +26,7 @@ def jdbc_rows(df: DataFrame, stream_key: str, time: str = "eventTime") -> DataFr
 def write_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, writers: int = 8) -> None:
     """Append over JDBC; ``writers`` bounds the number of open connections."""
     options = {"batchsize": str(JDBC_BATCH), **(properties or {})}
-    rows.coalesce(writers).write.jdbc(url, table, mode="append", properties=options)
+    rows.repartition(writers).write.jdbc(url, table, mode="append", properties=options)
 
 
 def bus_rows(df: DataFrame, key: str | None = None) -> DataFrame:

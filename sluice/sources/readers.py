@@ -14,6 +14,7 @@ from ..schemas import align_to_schema, read_schema, schema_defaults
 EVENT_TS = "_event_ts"
 # Declared source type to Spark format, file formats excepted.
 CONNECTORS = {"KAFKA": "kafka", "KINESIS": "kinesis"}
+PAYLOADS = {"KAFKA": "value", "KINESIS": "data"}
 FILE_FORMATS = ("parquet", "json", "orc", "csv", "avro")
 
 
@@ -35,7 +36,21 @@ def _format_and_options(definition: StreamDefinition) -> tuple[str, dict[str, st
         options.setdefault("startingOffsets", "earliest" if source.starting_position == "TRIM_HORIZON" else "latest")
     else:
         options.setdefault("startingPosition", source.starting_position)
-    return source.format or CONNECTORS[source.type], options
+    return CONNECTORS[source.type], options
+
+
+def decode(df: DataFrame, definition: StreamDefinition) -> DataFrame:
+    """The payload of a bus source, as its declared format says: JSON (the default), or
+    Avro with the writer's schema in the option ``avroSchema``."""
+    source, payload = definition.source, PAYLOADS[definition.source.type]
+    declared = (source.format or "json").lower()
+    if declared == "json":
+        return decode_json(df, read_schema(definition.key), payload=payload)
+    if declared == "avro":
+        if "avroSchema" not in source.options:
+            raise ValueError(f"the Avro source of {definition.key!r} needs the option avroSchema")
+        return decode_avro(df, source.options["avroSchema"], payload=payload)
+    raise ValueError(f"payload format {source.format!r} is not json or avro")
 
 
 def read_stream(
@@ -54,7 +69,7 @@ def read_stream(
     if definition.source.type == "FILE":
         df = reader.schema(schema or read_schema(definition.key)).load(path or definition.source.path)
     else:
-        df = decode_json(reader.load(), read_schema(definition.key), payload="value")
+        df = decode(reader.load(), definition)
     return df if schema is not None else align_to_schema(df, read_schema(definition.key), schema_defaults(definition.key))
 
 
@@ -66,7 +81,7 @@ def read_batch(spark: SparkSession, definition: StreamDefinition, path: str | No
         # Files may lag behind the schema: Parquet and JSON fill absent fields with null.
         df = reader.schema(schema or read_schema(definition.key)).load(path or definition.source.path)
     else:
-        df = decode_json(reader.load(), read_schema(definition.key), payload="value")
+        df = decode(reader.load(), definition)
     return df if schema is not None else align_to_schema(df, read_schema(definition.key), schema_defaults(definition.key))
 
 
@@ -129,10 +144,13 @@ def union_streams(*frames: DataFrame) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
-def backfill_then_stream(history: DataFrame, live: DataFrame, cut_ms: int, time: str = "eventTime") -> tuple[DataFrame, DataFrame]:
-    """Split work at a cut: rows before it come from the table, rows from it on
-    come from the stream, so no row is read twice or missed."""
-    return history.where(F.col(time) < cut_ms), live.where(F.col(time) >= cut_ms)
+def backfill_then_stream(history: DataFrame, live: DataFrame, cut: int, arrived: str) -> tuple[DataFrame, DataFrame]:
+    """Split work at a cut: rows before it come from the table, rows from it on come
+    from the stream. ``arrived`` grows with arrival (an offset, a sequence number, the
+    ingest time) and is the same in both; the event time is not, and cutting by it
+    would lose events that arrive late. Rows without it are left to the stream."""
+    place = F.col(arrived)
+    return history.where(place < cut), live.where(place.isNull() | (place >= cut))
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:

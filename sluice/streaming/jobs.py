@@ -13,7 +13,7 @@ from ..functions.crypto import encrypt_fields
 from ..operators import recommend as rec
 from ..plans.quality import split_verdicts
 from ..session import scratch_path
-from ..sinks.deadletter import dlq_path, write_dlq
+from ..sinks.deadletter import dlq_path, seal, write_dlq
 from ..sinks.fanout import write_sinks
 from ..sources.readers import with_envelope, with_event_time
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS
@@ -54,6 +54,7 @@ def ingest_stream(
             sealed = encrypt_fields(clean, definition.sensitive_fields, data_key, wrapped_key, encrypt)
             write_sinks(sealed, definition, root, env, batch_id=batch_id, fmt=fmt)
             folder = f"{dlq_path(dlq, root, env)}/source={definition.key}/batch_id={batch_id}"
+            dead = seal(dead, definition.sensitive_fields, data_key, wrapped_key, encrypt)
             write_dlq(dead, dlq, folder, mode="overwrite")
         finally:
             kept.unpersist()

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from sluice.config import DeadLetterConfig, SinkConfig, load_topology, topology_from_dict
 from sluice.functions.crypto import decrypt_field, encrypt_fields, pseudonymize
 from sluice.plans.jobs import ingest, scan_analytics
+from sluice.plans.quality import quality_verdicts
 from sluice.schemas import read_schema
 from sluice.session import scratch_path
-from sluice.sinks.deadletter import replay, write_dlq
+from sluice.sinks.deadletter import dlq_path, erase_dead_letters, failed_records, replay, write_dlq
 from sluice.sinks.fanout import fan_out, sink_writer, write_sinks
 from sluice.sinks.lake import _versions, current_version, ensure_table, table_path, write_lake
 from sluice.sinks.rows import bus_rows, jdbc_rows
@@ -137,6 +138,31 @@ def test_ingestion_job_and_replay(spark):
     assert [r.pointsDelta for r in again.clean.collect()] == [999_999] and again.dlq.count() == 1
 
 
+def test_sealed_dead_letters(spark):
+    root, key = scratch_path(spark, "sealed"), b"k" * 32
+    definition = topology_from_dict(
+        {"streams": [{"key": "k", "quality": {"requiredFields": ["id"], "sensitiveFields": ["mail"]}}]}
+    ).streams[0]
+    ddl = "id string, customerId string, eventTime bigint, mail string"
+    rows = spark.createDataFrame([(None, "c1", 1, "a@b.cc"), (None, "c2", 2, "d@e.ff"), ("x", "c1", 3, None)], ddl)
+    ingest(rows, definition, DeadLetterConfig(), root, "dev", data_key=key)
+    path = dlq_path(DeadLetterConfig(), root, "dev")
+    dead = spark.read.parquet(path)
+    assert dead.count() == 2 and not any("@" in r.original_json for r in dead.collect())
+    records = failed_records(dead, "k", rows.schema, data_key=key)
+    assert {(r.customerId, r.mail) for r in records.collect()} == {("c1", "a@b.cc"), ("c2", "d@e.ff")}
+    erase_dead_letters(spark, spark.createDataFrame([("c1",)], "customerId string"), path, f"{path}-erased")
+    assert [r.original_customer_id for r in spark.read.parquet(f"{path}-erased").collect()] == ["c2"]
+
+
+def test_bad_patterns_stop_the_plan(spark):
+    definition = topology_from_dict(
+        {"streams": [{"key": "k", "quality": {"fieldValidations": [{"field": "id", "rule": "REGEX", "pattern": "(?P<x>a"}]}}]}
+    ).streams[0]
+    with pytest.raises(ValueError, match="does not compile"):
+        quality_verdicts(spark.createDataFrame([("a",)], "id string"), definition)
+
+
 def test_dead_letters_as_json_lines(spark):
     path = scratch_path(spark, "dlq-json")
     write_dlq(spark.createDataFrame([("s", "r")], "stream_key string, failure_reason string"), DeadLetterConfig(type="S3"), path)
