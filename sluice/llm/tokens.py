@@ -32,7 +32,7 @@ from .base import kept_by_worker, over_texts, ship
 ship(__name__)
 
 #: Units that a task remembers before it starts again from the proven tokens.
-MEMO_UNITS = 300_000
+MEMO_UNITS = 150_000
 #: A text above this many characters is handled in segments of about this length.
 SEGMENT_CHARS = 1_000_000
 LIMIT = 1024
