@@ -11,59 +11,285 @@ from functools import cache
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-_LINE_ITEM = "array<struct<productId:string,sku:string,quantity:int,unitPrice:double,currency:string>>"
-_RETURN_ITEM = "array<struct<productId:string,quantity:int,reason:string>>"
-_RANKED = "array<struct<productId:string,rank:int,score:float,reasons:array<string>,targetConcern:string>>"
-_CUSTOMER = "customerId string!, schemaVersion int!, eventTime bigint!"
-_SCAN = "customerId string!, scanId string!, schemaVersion int!, eventTime bigint!"
-_ZONES = "zoneScores map<string;float>!"
-
-# ``!`` marks fields that are never null. Every record ends with the metadata map.
-_LAYOUTS: dict[str, str] = {
-    "customer-profile": f"{_CUSTOMER}, eventType string!, firstName string, lastName string, email string, phone string, "
-    "dateOfBirth string, gender string, countryCode string!, locale string!, marketId string, distributorId string, "
-    "registrationSource string!",
-    "customer-preferences": f"{_CUSTOMER}, skinType string!, skinConcerns array<string>!, preferredProductLines array<string>!, "
-    "dietaryRestrictions array<string>!, allergies array<string>!, preferredNotificationChannel string!, "
-    "optInMarketing boolean!, languagePreference string!",
-    "customer-consent": f"{_CUSTOMER}, consentId string!, consentType string!, granted boolean!, version string!, "
-    "ipAddress string, userAgent string, countryCode string!, expiresAt bigint",
-    "customer-loyalty": f"{_CUSTOMER}, eventType string!, pointsDelta int!, pointsBalance int!, tier string!, "
-    "sourceOrderId string, sourceScanId string",
-    "customer-sessions": f"{_CUSTOMER}, sessionId string!, eventType string!, platform string!, appVersion string, "
-    "deviceModel string, osVersion string, sessionDurationMs bigint, screenCount int",
-    "scan-session": f"{_CUSTOMER}, scanId string!, sessionId string, deviceId string!, deviceFirmware string, scanType string!, "
-    "status string!, lightingScore float, motionScore float, scanDurationMs bigint, countryCode string!",
-    "scan-facial": f"{_SCAN}, faceConfidence float, faceWidth float, faceHeight float, symmetryScore float, "
-    "skinToneLabel string, skinToneITA float, facialRegionsAnalysed array<string>!, landmarkCount int",
-    "scan-hydration": f"{_SCAN}, overallHydrationScore float, hydrationLabel string!, {_ZONES}, tewlValue float, "
-    "recommendedIntakeGlasses int",
-    "scan-pigmentation": f"{_SCAN}, overallPigmentationScore float, darkSpotsCount int, darkSpotsArea float, uvSpotsCount int, "
-    f"melasmaScore float, {_ZONES}, melaninIndex float",
-    "scan-texture": f"{_SCAN}, overallTextureScore float, poreScore float, poreCount int, poreAvgDiameterMicrons float, "
-    f"roughnessScore float, smoothnessScore float, {_ZONES}",
-    "scan-wrinkles": f"{_SCAN}, overallWrinkleScore float, wrinkleGrade string!, fineLinesCount int, deepLinesCount int, "
-    f"crowsFeetScore float, foreheadLinesScore float, nasolabialScore float, {_ZONES}, estimatedSkinAge int",
-    "scan-radiance": f"{_SCAN}, radianceScore float, clarityScore float, glossScore float, luminosityL float, colorA float, "
-    f"colorB float, {_ZONES}",
-    "scan-overall": f"{_SCAN}, overallSkinScore float, hydrationScore float, pigmentationScore float, textureScore float, "
-    "wrinkleScore float, radianceScore float, skinAgeEstimate int, topConcerns array<string>!, improvementSinceLastScan float",
-    "product-catalog": "productId string!, schemaVersion int!, eventTime bigint!, eventType string!, sku string!, name string!, "
-    "productLine string, category string, targetSkinConcerns array<string>!, targetSkinTypes array<string>!, "
-    "keyIngredients array<string>!, marketIds array<string>!, priceUSD double, imageUrl string, isActive boolean!",
-    "product-recommendations": "customerId string!, scanId string, schemaVersion int!, eventTime bigint!, "
-    f"recommendationId string!, recommendationSource string!, products {_RANKED}!, expiresAt bigint",
-    "product-interactions": f"{_CUSTOMER}, sessionId string, productId string!, interactionType string!, "
-    "recommendationId string, durationMs bigint",
-    "commerce-orders": f"{_CUSTOMER}, orderId string!, eventType string!, channel string!, lineItems {_LINE_ITEM}!, "
-    "totalAmount double!, currency string!, pointsEarned int, couponCode string, scanId string, marketId string",
-    "commerce-returns": f"{_CUSTOMER}, returnId string!, orderId string!, eventType string!, returnedItems {_RETURN_ITEM}!, "
-    "refundAmount double, currency string!",
-    "device-telemetry": "deviceId string!, schemaVersion int!, eventTime bigint!, eventType string!, firmwareVersion string, "
-    "batteryLevel int, storageUsedMb bigint, wifiSignalDbm int, cpuTempCelsius float, cameraStatus string!, "
-    "lightStatus string!, locationId string, associatedCustomerId string, errorCode string, errorMessage string",
+# Every stream's record as Spark DDL.
+STREAM_DDL: dict[str, str] = {
+    "customer-profile": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        eventType string NOT NULL,
+        firstName string,
+        lastName string,
+        email string,
+        phone string,
+        dateOfBirth string,
+        gender string,
+        countryCode string NOT NULL,
+        locale string NOT NULL,
+        marketId string,
+        distributorId string,
+        registrationSource string NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "customer-preferences": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        skinType string NOT NULL,
+        skinConcerns array<string> NOT NULL,
+        preferredProductLines array<string> NOT NULL,
+        dietaryRestrictions array<string> NOT NULL,
+        allergies array<string> NOT NULL,
+        preferredNotificationChannel string NOT NULL,
+        optInMarketing boolean NOT NULL,
+        languagePreference string NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "customer-consent": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        consentId string NOT NULL,
+        consentType string NOT NULL,
+        granted boolean NOT NULL,
+        version string NOT NULL,
+        ipAddress string,
+        userAgent string,
+        countryCode string NOT NULL,
+        expiresAt bigint,
+        metadata map<string,string> NOT NULL
+    """,
+    "customer-loyalty": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        eventType string NOT NULL,
+        pointsDelta int NOT NULL,
+        pointsBalance int NOT NULL,
+        tier string NOT NULL,
+        sourceOrderId string,
+        sourceScanId string,
+        metadata map<string,string> NOT NULL
+    """,
+    "customer-sessions": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        sessionId string NOT NULL,
+        eventType string NOT NULL,
+        platform string NOT NULL,
+        appVersion string,
+        deviceModel string,
+        osVersion string,
+        sessionDurationMs bigint,
+        screenCount int,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-session": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        scanId string NOT NULL,
+        sessionId string,
+        deviceId string NOT NULL,
+        deviceFirmware string,
+        scanType string NOT NULL,
+        status string NOT NULL,
+        lightingScore float,
+        motionScore float,
+        scanDurationMs bigint,
+        countryCode string NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-facial": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        faceConfidence float,
+        faceWidth float,
+        faceHeight float,
+        symmetryScore float,
+        skinToneLabel string,
+        skinToneITA float,
+        facialRegionsAnalysed array<string> NOT NULL,
+        landmarkCount int,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-hydration": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        overallHydrationScore float,
+        hydrationLabel string NOT NULL,
+        zoneScores map<string,float> NOT NULL,
+        tewlValue float,
+        recommendedIntakeGlasses int,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-pigmentation": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        overallPigmentationScore float,
+        darkSpotsCount int,
+        darkSpotsArea float,
+        uvSpotsCount int,
+        melasmaScore float,
+        zoneScores map<string,float> NOT NULL,
+        melaninIndex float,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-texture": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        overallTextureScore float,
+        poreScore float,
+        poreCount int,
+        poreAvgDiameterMicrons float,
+        roughnessScore float,
+        smoothnessScore float,
+        zoneScores map<string,float> NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-wrinkles": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        overallWrinkleScore float,
+        wrinkleGrade string NOT NULL,
+        fineLinesCount int,
+        deepLinesCount int,
+        crowsFeetScore float,
+        foreheadLinesScore float,
+        nasolabialScore float,
+        zoneScores map<string,float> NOT NULL,
+        estimatedSkinAge int,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-radiance": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        radianceScore float,
+        clarityScore float,
+        glossScore float,
+        luminosityL float,
+        colorA float,
+        colorB float,
+        zoneScores map<string,float> NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "scan-overall": """
+        customerId string NOT NULL,
+        scanId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        overallSkinScore float,
+        hydrationScore float,
+        pigmentationScore float,
+        textureScore float,
+        wrinkleScore float,
+        radianceScore float,
+        skinAgeEstimate int,
+        topConcerns array<string> NOT NULL,
+        improvementSinceLastScan float,
+        metadata map<string,string> NOT NULL
+    """,
+    "product-catalog": """
+        productId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        eventType string NOT NULL,
+        sku string NOT NULL,
+        name string NOT NULL,
+        productLine string,
+        category string,
+        targetSkinConcerns array<string> NOT NULL,
+        targetSkinTypes array<string> NOT NULL,
+        keyIngredients array<string> NOT NULL,
+        marketIds array<string> NOT NULL,
+        priceUSD double,
+        imageUrl string,
+        isActive boolean NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "product-recommendations": """
+        customerId string NOT NULL,
+        scanId string,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        recommendationId string NOT NULL,
+        recommendationSource string NOT NULL,
+        products array<struct<productId:string,rank:int,score:float,reasons:array<string>,targetConcern:string>> NOT NULL,
+        expiresAt bigint,
+        metadata map<string,string> NOT NULL
+    """,
+    "product-interactions": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        sessionId string,
+        productId string NOT NULL,
+        interactionType string NOT NULL,
+        recommendationId string,
+        durationMs bigint,
+        metadata map<string,string> NOT NULL
+    """,
+    "commerce-orders": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        orderId string NOT NULL,
+        eventType string NOT NULL,
+        channel string NOT NULL,
+        lineItems array<struct<productId:string,sku:string,quantity:int,unitPrice:double,currency:string>> NOT NULL,
+        totalAmount double NOT NULL,
+        currency string NOT NULL,
+        pointsEarned int,
+        couponCode string,
+        scanId string,
+        marketId string,
+        metadata map<string,string> NOT NULL
+    """,
+    "commerce-returns": """
+        customerId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        returnId string NOT NULL,
+        orderId string NOT NULL,
+        eventType string NOT NULL,
+        returnedItems array<struct<productId:string,quantity:int,reason:string>> NOT NULL,
+        refundAmount double,
+        currency string NOT NULL,
+        metadata map<string,string> NOT NULL
+    """,
+    "device-telemetry": """
+        deviceId string NOT NULL,
+        schemaVersion int NOT NULL,
+        eventTime bigint NOT NULL,
+        eventType string NOT NULL,
+        firmwareVersion string,
+        batteryLevel int,
+        storageUsedMb bigint,
+        wifiSignalDbm int,
+        cpuTempCelsius float,
+        cameraStatus string NOT NULL,
+        lightStatus string NOT NULL,
+        locationId string,
+        associatedCustomerId string,
+        errorCode string,
+        errorMessage string,
+        metadata map<string,string> NOT NULL
+    """,
 }
-STREAM_KEYS = tuple(_LAYOUTS)
+STREAM_KEYS = tuple(STREAM_DDL)
 
 # Defaults that are not the empty array or map and not ``schemaVersion`` = 1.
 SCHEMA_DEFAULTS: dict[str, dict[str, object]] = {
@@ -85,49 +311,64 @@ SCHEMA_DEFAULTS: dict[str, dict[str, object]] = {
     "device-telemetry": {"eventType": "HEARTBEAT", "cameraStatus": "UNKNOWN", "lightStatus": "UNKNOWN"},
 }
 
-_SYMBOLS: dict[str, dict[str, str]] = {
+SCHEMA_ENUMS: dict[str, dict[str, list[str]]] = {
     "customer-profile": {
-        "eventType": "CREATED UPDATED DELETED REACTIVATED ANONYMISED",
-        "registrationSource": "APP WEB IN_STORE DISTRIBUTOR UNKNOWN",
+        "eventType": ["CREATED", "UPDATED", "DELETED", "REACTIVATED", "ANONYMISED"],
+        "registrationSource": ["APP", "WEB", "IN_STORE", "DISTRIBUTOR", "UNKNOWN"],
     },
     "customer-preferences": {
-        "skinType": "NORMAL DRY OILY COMBINATION SENSITIVE UNKNOWN",
-        "preferredNotificationChannel": "EMAIL PUSH SMS IN_APP NONE",
+        "skinType": ["NORMAL", "DRY", "OILY", "COMBINATION", "SENSITIVE", "UNKNOWN"],
+        "preferredNotificationChannel": ["EMAIL", "PUSH", "SMS", "IN_APP", "NONE"],
     },
     "customer-consent": {
-        "consentType": "DATA_PROCESSING MARKETING_EMAIL MARKETING_PUSH DATA_SHARING_PARTNERS BIOMETRIC_SCAN ANALYTICS ALL"
+        "consentType": [
+            "DATA_PROCESSING", "MARKETING_EMAIL", "MARKETING_PUSH", "DATA_SHARING_PARTNERS",
+            "BIOMETRIC_SCAN", "ANALYTICS", "ALL",
+        ],
     },
     "customer-loyalty": {
-        "eventType": "POINTS_EARNED POINTS_REDEEMED TIER_UPGRADED TIER_DOWNGRADED POINTS_EXPIRED ENROLLED",
-        "tier": "BRONZE SILVER GOLD PLATINUM AMBASSADOR",
+        "eventType": ["POINTS_EARNED", "POINTS_REDEEMED", "TIER_UPGRADED", "TIER_DOWNGRADED", "POINTS_EXPIRED", "ENROLLED"],
+        "tier": ["BRONZE", "SILVER", "GOLD", "PLATINUM", "AMBASSADOR"],
+    },
+    "customer-sessions": {
+        "eventType": ["STARTED", "RESUMED", "ENDED", "TIMED_OUT"],
+        "platform": ["IOS", "ANDROID", "WEB", "KIOSK", "UNKNOWN"],
     },
-    "customer-sessions": {"eventType": "STARTED RESUMED ENDED TIMED_OUT", "platform": "IOS ANDROID WEB KIOSK UNKNOWN"},
     "scan-session": {
-        "scanType": "FULL_FACE LEFT_CHEEK RIGHT_CHEEK FOREHEAD UNDER_EYES QUICK CALIBRATION",
-        "status": "INITIATED PROCESSING COMPLETED FAILED CANCELLED",
+        "scanType": ["FULL_FACE", "LEFT_CHEEK", "RIGHT_CHEEK", "FOREHEAD", "UNDER_EYES", "QUICK", "CALIBRATION"],
+        "status": ["INITIATED", "PROCESSING", "COMPLETED", "FAILED", "CANCELLED"],
+    },
+    "scan-hydration": {
+        "hydrationLabel": ["VERY_DRY", "DRY", "NORMAL", "HYDRATED", "VERY_HYDRATED", "UNKNOWN"],
+    },
+    "scan-wrinkles": {
+        "wrinkleGrade": ["NONE", "MILD", "MODERATE", "DEEP", "UNKNOWN"],
+    },
+    "product-catalog": {
+        "eventType": ["UPSERT", "DELETED", "ACTIVATED", "DISCONTINUED"],
     },
-    "scan-hydration": {"hydrationLabel": "VERY_DRY DRY NORMAL HYDRATED VERY_HYDRATED UNKNOWN"},
-    "scan-wrinkles": {"wrinkleGrade": "NONE MILD MODERATE DEEP UNKNOWN"},
-    "product-catalog": {"eventType": "UPSERT DELETED ACTIVATED DISCONTINUED"},
     "product-recommendations": {
-        "recommendationSource": "SCAN_RESULTS PURCHASE_HISTORY COLLABORATIVE_FILTER RULE_BASED MANUAL_OVERRIDE"
+        "recommendationSource": ["SCAN_RESULTS", "PURCHASE_HISTORY", "COLLABORATIVE_FILTER", "RULE_BASED", "MANUAL_OVERRIDE"],
     },
     "product-interactions": {
-        "interactionType": "VIEW DETAIL_VIEW ADD_TO_CART REMOVE_FROM_CART ADD_TO_WISHLIST SHARE RECOMMENDATION_CLICK "
-        "RECOMMENDATION_DISMISS"
+        "interactionType": [
+            "VIEW", "DETAIL_VIEW", "ADD_TO_CART", "REMOVE_FROM_CART",
+            "ADD_TO_WISHLIST", "SHARE", "RECOMMENDATION_CLICK", "RECOMMENDATION_DISMISS",
+        ],
     },
     "commerce-orders": {
-        "eventType": "PLACED CONFIRMED SHIPPED DELIVERED CANCELLED PAYMENT_FAILED REFUNDED",
-        "channel": "APP WEB IN_STORE SUBSCRIPTION DISTRIBUTOR",
+        "eventType": ["PLACED", "CONFIRMED", "SHIPPED", "DELIVERED", "CANCELLED", "PAYMENT_FAILED", "REFUNDED"],
+        "channel": ["APP", "WEB", "IN_STORE", "SUBSCRIPTION", "DISTRIBUTOR"],
+    },
+    "commerce-returns": {
+        "eventType": ["REQUESTED", "APPROVED", "RECEIVED", "REFUNDED", "REJECTED"],
     },
-    "commerce-returns": {"eventType": "REQUESTED APPROVED RECEIVED REFUNDED REJECTED"},
     "device-telemetry": {
-        "eventType": "HEARTBEAT SCAN_STARTED SCAN_COMPLETED SCAN_FAILED FIRMWARE_UPDATE CALIBRATION ERROR SHUTDOWN",
-        "cameraStatus": "OK DIRTY OBSTRUCTED FAILED UNKNOWN",
-        "lightStatus": "OK DEGRADED FAILED UNKNOWN",
+        "eventType": ["HEARTBEAT", "SCAN_STARTED", "SCAN_COMPLETED", "SCAN_FAILED", "FIRMWARE_UPDATE", "CALIBRATION", "ERROR", "SHUTDOWN"],
+        "cameraStatus": ["OK", "DIRTY", "OBSTRUCTED", "FAILED", "UNKNOWN"],
+        "lightStatus": ["OK", "DEGRADED", "FAILED", "UNKNOWN"],
     },
 }
-SCHEMA_ENUMS = {key: {name: symbols.split() for name, symbols in fields.items()} for key, fields in _SYMBOLS.items()}
 
 DEAD_LETTER_DDL = (
     "stream_key string, operator_name string, failure_reason string, message string, failure_time_ms bigint, "
@@ -136,43 +377,10 @@ DEAD_LETTER_DDL = (
 )
 
 
-def _split_fields(layout: str) -> list[str]:
-    """Split at commas outside angle brackets."""
-    parts, depth, start = [], 0, 0
-    for at, char in enumerate(layout):
-        depth += (char == "<") - (char == ">")
-        if char == "," and depth == 0:
-            parts.append(layout[start:at].strip())
-            start = at + 1
-    return [*parts, layout[start:].strip()]
-
-
-_ATOMS = {
-    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "float": T.FloatType(),
-    "double": T.DoubleType(), "boolean": T.BooleanType(),
-}
-
-
-def _parse_type(text: str) -> T.DataType:
-    if text in _ATOMS:
-        return _ATOMS[text]
-    kind, inner = text[:-1].split("<", 1)
-    if kind == "array":
-        return T.ArrayType(_parse_type(inner))
-    if kind == "map":
-        key, value = inner.split(";")
-        return T.MapType(_parse_type(key), _parse_type(value))
-    fields = (part.split(":", 1) for part in _split_fields(inner))
-    return T.StructType([T.StructField(name, _parse_type(kind)) for name, kind in fields])
-
-
 @cache
 def stream_schema(stream_key: str) -> T.StructType:
-    fields = []
-    for part in [*_split_fields(_LAYOUTS[stream_key]), "metadata map<string;string>!"]:
-        name, kind = part.split(" ", 1)
-        fields.append(T.StructField(name, _parse_type(kind.rstrip("!")), nullable=not kind.endswith("!")))
-    return T.StructType(fields)
+    """The record's schema; Spark parses it, so a session must be running."""
+    return T.StructType.fromDDL(STREAM_DDL[stream_key])
 
 
 def read_schema(stream_key: str) -> T.StructType:

@@ -9,6 +9,8 @@ from sluice.config import lint_topology, load_topology, topology_from_dict
 from sluice.plans.quality import attach_quality, stateless_verdicts
 from sluice.schemas import STREAM_KEYS, align_to_schema, read_schema, schema_defaults, stream_schema
 
+pytestmark = pytest.mark.usefixtures("spark")  # Spark parses the schemas
+
 
 def test_shipped_topology():
     topology = load_topology()
