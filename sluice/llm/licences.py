@@ -7,7 +7,8 @@ lines as a text of its own, which finds notices inside other texts. All of it is
 expressions; lines are exploded and joined where they are, without a shuffle of documents.
 
 The known texts are a table (licence, text); it is brought to digests once, equal ones by
-the smallest name, and Spark broadcasts it if its size allows and shuffles it otherwise.
+the smallest name. Up to ``BROADCAST_TEXTS`` digests, which are counted, are broadcast, and
+lines meet them where they are; more are joined by a shuffle.
 
 Defined cases: null and empty texts, and texts of punctuation or copyright lines alone,
 have no canonical form and match nothing; repeated rows give their matches again; a text
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .licence_texts import LICENCES
 
+BROADCAST_TEXTS = 50_000
 #: A line that states a copyright, with what stands before it.
 COPYRIGHT_LINE = r"(^|\n)[^\n\p{L}\p{N}]*(copyright[ \t]*(\(c\)|©|[0-9]{4}|<|\[|\{|:)|\(c\)[ \t]*[0-9<\[]|©)[^\n]*"
 #: Equivalent spellings, applied in this order to words separated by single spaces.
@@ -53,11 +55,12 @@ def find_licences(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     """A row per match: id, unit ("text" or "line"), line number from 1 (0 for the whole
     text), licence and digest."""
     digests = known.select(digest(F.col("text")).alias("digest"), "licence").where("digest IS NOT NULL").groupBy("digest").agg(F.min("licence").alias("licence"))
+    few = digests.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS
     text = F.col(text_col).cast("string")
     forms = F.transform(F.concat(F.array(text), F.split(text, "\n")), canonical)  # the whole text, then its lines
     unit = docs.where(text.isNotNull()).select(F.col(id_col).alias("id"), F.posexplode(forms).alias("line", "form")).where("form != ''")
     unit = unit.select("id", F.when(F.col("line") == 0, "text").otherwise("line").alias("unit"), "line", F.sha2("form", 256).alias("digest"))
-    return unit.join(digests, "digest").select(F.col("id").alias(id_col), "unit", "line", "licence", "digest")
+    return unit.join(F.broadcast(digests) if few else digests, "digest").select(F.col("id").alias(id_col), "unit", "line", "licence", "digest")
 
 
 def quoted(text: str) -> str:
