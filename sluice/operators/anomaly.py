@@ -113,23 +113,24 @@ def _carried_moments(split: Split) -> DataFrame:
 
 
 def _with_halo(split: Split, rows_before: int) -> DataFrame:
-    """Copy to each later chunk the last samples its first rows look back on."""
+    """Copy to each later chunk the last samples its first rows look back on. Only the
+    last ``rows_before`` samples of a chunk can be among them, so only those are
+    compared with the chunks' starts."""
     samples = hot_only(split).where(F.col(_VALUE).isNotNull())
     parts = samples.groupBy(split.key, CHUNK).agg(F.count(F.lit(1)).alias("_c"))
-    starts = (
-        parts.withColumn("_start", F.coalesce(F.sum("_c").over(before_chunk(parts, split.key)), F.lit(0)))
-        .groupBy(split.key)
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(CHUNK).alias("chunk"), F.col("_start").alias("start")))).alias("_starts"))
-    )
-    rank = F.row_number().over(split.window())
-    ranked = samples.withColumn("_rank", rank).join(F.broadcast(starts), split.key)
-    own = F.get(F.filter("_starts", lambda s: s["chunk"] == F.col(CHUNK)), 0)["start"]
-    ranked = ranked.withColumn("_at", own + F.col("_rank"))
+    start = F.coalesce(F.sum("_c").over(before_chunk(parts, split.key)), F.lit(0))
+    chunk = F.struct(F.col(CHUNK).alias("chunk"), F.col("_start").alias("start"), F.col("_c").alias("size"))
+    starts = parts.withColumn("_start", start).groupBy(split.key).agg(F.sort_array(F.collect_list(chunk)).alias("_starts"))
+    from_end = F.row_number().over(Window.partitionBy(*split.groups).orderBy(*[F.desc(c) for c in split.order]))
+    last = samples.withColumn("_from_end", from_end).where(F.col("_from_end") <= rows_before)
+    last = last.join(F.broadcast(starts), split.key)
+    own = F.get(F.filter("_starts", lambda s: s["chunk"] == F.col(CHUNK)), 0)
+    last = last.withColumn("_at", own["start"] + own["size"] - F.col("_from_end") + 1)
     needed = F.filter(
         "_starts", lambda s: (s["chunk"] > F.col(CHUNK)) & (s["start"] <= F.col("_at") + F.lit(rows_before - 1))
     )
-    copies = ranked.withColumn("_to", F.explode(needed)).withColumn(CHUNK, F.col("_to.chunk"))
-    copies = copies.drop("_rank", "_starts", "_at", "_to").withColumn(_HALO, F.lit(True))
+    copies = last.withColumn("_to", F.explode(needed)).withColumn(CHUNK, F.col("_to.chunk"))
+    copies = copies.drop("_from_end", "_starts", "_at", "_to").withColumn(_HALO, F.lit(True))
     return split.rows.withColumn(_HALO, F.lit(False)).unionByName(copies)
 
 
