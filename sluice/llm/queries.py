@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import decontaminate, fertility, jaccard, langid, licences, neighbours, packing, pii, tokens, toxicity
 from .base import crc_mod, table
@@ -23,6 +23,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def held_out(of: int, remainder: int) -> Column:
+    return F.coalesce(crc_mod("doc_id", of) == remainder, F.lit(False)).alias("held_out")
+
+
 @query("op1_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -57,14 +61,14 @@ def fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify_language(docs, langid.fit(docs))
-    return found.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(4, 2), "lang_pred", "score")
 
 
 @query("op7_quality_votes")
 def quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = neighbours.score_quality(docs, neighbours.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(4, 2), "score", "predicted")
 
 
 @query("op8_token_counts")
@@ -77,7 +81,7 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model)
-    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(5, 0), "score", "predicted")
 
 
 @query("op10_packing")
