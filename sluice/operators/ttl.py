@@ -30,7 +30,7 @@ from .ordered import key_sizes
 
 ship_with_tasks(__name__)
 
-FOLD_ROWS = 20_000
+FOLD_ROWS = 5_000  # the fold copies what it has kept for each accepted row
 ROWS_PER_PHASE_GROUP = 1_000_000
 SALTS = 64
 
