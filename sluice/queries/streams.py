@@ -65,7 +65,7 @@ CLOSED_SQL = f"""closed AS (
 
 @query("scan_snapshots_stream", f"WITH RECURSIVE {TIMED_SQL}, {CLOSED_SQL} SELECT {FLAT_SQL} FROM closed")
 def scan_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(run_available(snapshots_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS), "snapshots"))
+    return flat(run_available(snapshots_stream(live_scans(spark, sf_dir), position="seq", timeout_ms=LONG_TIMEOUT_MS), "snapshots"))
 
 
 _CLOSED_LONG_SQL = " UNION ALL ".join(
@@ -83,7 +83,7 @@ _CLOSED_LONG_SQL = " UNION ALL ".join(
     HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",
 )
 def scan_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = baselines_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS)
+    found = baselines_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS, position="seq")
     return run_available(found, "baselines").select(
         F.col("customerId").cast("bigint").alias("customer_no"), F.col("windowStartMs").alias("window_start_ms"),
         "dimension", F.round("mean", 6).alias("mean"), "snapshots",
@@ -134,7 +134,7 @@ def late_data_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rec_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "recommendations")
-    snaps = snapshots_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS)
+    snaps = snapshots_stream(live_scans(spark, sf_dir), position="seq", timeout_ms=LONG_TIMEOUT_MS)
     query_handle = recommend_stream(
         snaps,
         lambda: products(spark, sf_dir),

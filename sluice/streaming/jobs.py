@@ -15,7 +15,7 @@ from ..plans.quality import split_verdicts
 from ..session import scratch_path
 from ..sinks.deadletter import dlq_path, seal, write_dlq
 from ..sinks.fanout import write_sinks
-from ..sources.readers import with_envelope, with_event_time
+from ..sources.readers import union_streams, with_envelope, with_event_time
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS
 from .operators import snapshots_stream, stream_verdicts
 
@@ -84,7 +84,7 @@ def recommend_stream(
     return start(snaps.writeStream.option("checkpointLocation", checkpoint).foreachBatch(score), available_now)
 
 
-def baselines_stream(events: DataFrame, width: str = "30 minutes", timeout_ms: int = SNAPSHOT_TIMEOUT_MS, position: str = "seq") -> DataFrame:
+def baselines_stream(events: DataFrame, width: str = "30 minutes", timeout_ms: int = SNAPSHOT_TIMEOUT_MS, position: str | None = None) -> DataFrame:
     """Tumbling means over all snapshots as a streaming frame, completed ones and
     those that the timeout closed. The window goes by the time at which a snapshot
     closed, as ``operators.scans.closing_time`` gives it in batch."""
@@ -104,6 +104,32 @@ def baselines_stream(events: DataFrame, width: str = "30 minutes", timeout_ms: i
     )
 
 
+def scan_analytics_stream(
+    streams: dict[str, DataFrame],
+    root: str,
+    checkpoint: str,
+    timeout_ms: int = SNAPSHOT_TIMEOUT_MS,
+    lag_seconds: int = 30,
+    position: str | None = None,
+    available_now: bool = False,
+) -> list[StreamingQuery]:
+    """Snapshots and 30-minute means of the scan streams by key, each as a Parquet table
+    under ``root``. Two queries with a checkpoint each, so either can be restarted alone."""
+    united = union_streams(*[with_envelope(df, key) for key, df in streams.items()])
+    events = with_event_time(united, lag_seconds=lag_seconds)
+    found = {
+        "snapshots": snapshots_stream(events, position=position, timeout_ms=timeout_ms),
+        "baselines": baselines_stream(events, timeout_ms=timeout_ms, position=position),
+    }
+    return [
+        start(
+            df.writeStream.format("parquet").option("path", f"{root}/{name}").option("checkpointLocation", f"{checkpoint}/{name}"),
+            available_now,
+        )
+        for name, df in found.items()
+    ]
+
+
 def run_available(df: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process what is there now into a Parquet table and read it back."""
     spark: SparkSession = df.sparkSession

@@ -105,13 +105,14 @@ SNAPSHOT_DDL = (
 
 
 def snapshots_stream(
-    df: DataFrame, time: str = "eventTime", position: str = "seq", timeout_ms: int = SNAPSHOT_TIMEOUT_MS,
+    df: DataFrame, time: str = "eventTime", position: str | None = None, timeout_ms: int = SNAPSHOT_TIMEOUT_MS,
     event_time: bool = True, stamped: bool = False,
 ) -> DataFrame:
     """As ``operators.scans.snapshots`` with a timeout; the input needs a
     watermark when the limit counts in event time. ``stamped`` adds the
     event-time column ``closedTs``: when the snapshot was completed or timed out."""
     use_rocksdb_state(df.sparkSession)
+    df, position, _ = with_order(df, position)
     events = df.where(F.col(STREAM_KEY).isin(*SCAN_STREAMS))
     stream = F.col(STREAM_KEY)
     used = [(name, source, field) for name, source, field in SCORES if field in df.columns]

@@ -13,7 +13,7 @@ from sluice.operators.verdict import ANOMALY, LIVE
 from sluice.plans.quality import quality_verdicts
 from sluice.session import scratch_path
 from sluice.sources.readers import decode_json, read_batch, read_stream, stream_table, with_event_time
-from sluice.streaming.jobs import baselines_stream, ingest_stream, run_available
+from sluice.streaming.jobs import baselines_stream, ingest_stream, run_available, scan_analytics_stream
 from sluice.streaming.operators import dedup_stream, detect_anomalies_stream, snapshots_stream, stream_verdicts
 
 DDL = "seq bigint, customerId string, eventTime bigint, v double"
@@ -90,7 +90,7 @@ def test_snapshots_in_waves_equal_batch(spark):
     rows.append(("scan-overall", "c", "end", 9_000_000, 999, None, 1.0))
     pick = lambda df: df.select("scanId", "firstEventMs", "eventTimeMs", "events", F.to_json("scores").alias("scores"), "complete")
     expected = pick(snapshots(spark.createDataFrame(rows, SCAN_DDL), position="seq", timeout_ms=120_000)).collect()
-    build = lambda live: pick(snapshots_stream(with_event_time(live, lag_seconds=30), timeout_ms=120_000))
+    build = lambda live: pick(snapshots_stream(with_event_time(live, lag_seconds=30), position="seq", timeout_ms=120_000))
     got = run_in_waves(spark, rows, SCAN_DDL, [40, 100], build, "snaps").collect()
     plain = lambda found: sorted((r.scanId, r.firstEventMs, r.eventTimeMs, r.events, sorted(eval(r.scores).items()), r.complete) for r in found)  # noqa: E731, S307
     assert plain(got) == plain(expected)
@@ -106,11 +106,27 @@ def test_streamed_means_equal_batch_means(spark):
     snaps = snapshots(spark.createDataFrame(rows, SCAN_DDL), position="seq", timeout_ms=120_000)
     assert snaps.where(~F.col("complete")).count() > 50
     expected = baselines(snaps.withColumn("closedMs", closing_time(120_000)), time="closedMs").where("customerId = 'c'").collect()
-    got = run_in_waves(spark, rows, SCAN_DDL, [60, 150], lambda live: baselines_stream(with_event_time(live, lag_seconds=30), timeout_ms=120_000), "means").collect()
+    got = run_in_waves(spark, rows, SCAN_DDL, [60, 150], lambda live: baselines_stream(with_event_time(live, lag_seconds=30), timeout_ms=120_000, position="seq"), "means").collect()
     plain = lambda found: sorted((r.windowStartMs, r.dimension, round(r["mean"], 6), r.snapshots) for r in found)
     assert plain(got) == plain(expected)
 
 
+def test_scan_analytics_job_writes_both_tables(spark):
+    path, root = scratch_path(spark, "scan-input"), scratch_path(spark, "scan-tables")
+    ddl = "customerId string, scanId string, eventTime bigint, overallHydrationScore float, overallSkinScore float"
+    spark.createDataFrame([("c", "s", 1000, 40.0, None), ("c", "s", 2000, 60.0, None), ("d", "t", 3000, 10.0, None)], ddl).write.parquet(f"{path}/scan-hydration")
+    spark.createDataFrame([("c", "s", 4000, None, 50.0), ("z", "end", 90_000_000, None, 1.0)], ddl).write.parquet(f"{path}/scan-overall")
+    read = lambda key: spark.readStream.schema(spark.createDataFrame([], ddl).schema).parquet(f"{path}/{key}")
+    for _ in range(2):  # the second run finds nothing new
+        streams = {key: read(key) for key in ("scan-hydration", "scan-overall")}
+        for running in scan_analytics_stream(streams, root, f"{root}-state", timeout_ms=60_000, available_now=True):
+            running.awaitTermination()
+    snaps = {(r.scanId, r.complete, r.events) for r in spark.read.parquet(f"{root}/snapshots").collect()}
+    assert snaps == {("s", True, 3), ("t", False, 1), ("end", True, 1)}
+    means = {(r.customerId, r.dimension, r["mean"]) for r in spark.read.parquet(f"{root}/baselines").collect()}
+    assert means == {("c", "hydration", 60.0), ("c", "overall", 50.0), ("d", "hydration", 10.0)}
+
+
 def test_null_keys_and_positions_do_not_stop_a_stream(spark):
     rows = [(None, "a", 5, 1.0), (1, "a", 5, 2.0), (2, "a", 6, 3.0), (None, None, 7, 4.0), (3, None, 7, None), (None, "a", 5, 1.0)]
     definition = topology_from_dict(
