@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -32,7 +33,7 @@ ship(__name__)
 SAMPLE_DOCS, MODEL_ENTRIES = 1500, 400_000
 LONGEST, DISCOUNT, LEAST_GRAM = 5, 0.4, 3
 SHARPNESS = 8.0
-MEMO_WORDS, TEXT_CHARS = 200_000, 2_000_000
+MEMO_WORDS, TEXT_CHARS = 400_000, 2_000_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -80,20 +81,24 @@ class Identifier:
         self.rows = np.zeros((MEMO_WORDS + 2, len(self.languages)), np.float32)
         self.size = 1
 
-    def word(self, word: str) -> np.ndarray | None:
-        """Log frequency per language; None for a word without letters."""
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log frequencies per language of each word, from the longest known n-grams on."""
+        out = np.zeros((len(words), len(self.languages)), np.float32)
         known, values = self.tables[0]
-        at = known.get(word)
-        if at is not None:
-            return values[at]
-        if not any(map(str.isalpha, word)):
-            return None
+        at = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        out[at >= 0] = values[at[at >= 0]]
+        left = np.flatnonzero(at < 0).tolist()
         for n in range(LONGEST, 0, -1):
             known, values = self.tables[n]
-            found = [known[g] for g in grams(word, n) if g in known]
-            if found:
-                return values[found].mean(axis=0) + (LONGEST + 1 - n) * np.float32(np.log(DISCOUNT))
-        return np.zeros(len(self.languages), np.float32)
+            found = [[k for g in grams(words[w], n) if (k := known.get(g)) is not None] for w in left]
+            hit = [w for w, ks in zip(left, found) if ks]
+            if hit:
+                sizes = np.array([len(ks) for ks in found if ks])
+                flat = values[np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))]
+                sums = np.add.reduceat(flat, np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+                out[hit] = sums / sizes[:, None] + (LONGEST + 1 - n) * np.float32(np.log(DISCOUNT))
+            left = [w for w, ks in zip(left, found) if not ks]
+        return out
 
     def identify(self, text: str | None) -> tuple[str, float]:
         total, count = np.zeros(len(self.languages)), 0
@@ -101,16 +106,16 @@ class Identifier:
             words = WORD.findall(text[at:at + TEXT_CHARS].lower())
             for low in range(0, len(words), MEMO_WORDS // 2):
                 part = words[low:low + MEMO_WORDS // 2]
-                unknown = {w for w in part if w not in self.memo}
+                unknown = list(dict.fromkeys(w for w in part if w not in self.memo))
                 if self.size + len(unknown) > MEMO_WORDS:
                     self.reset()
-                    unknown = set(part)
-                for w in unknown:
-                    scores = self.word(w)
-                    self.memo[w] = 0 if scores is None else self.size
-                    if scores is not None:
-                        self.rows[self.size] = scores
-                        self.size += 1
+                    unknown = list(dict.fromkeys(part))
+                lettered = [w for w in unknown if w.isalpha() or any(map(str.isalpha, w))]
+                self.memo.update(dict.fromkeys(unknown, 0))
+                self.memo.update(zip(lettered, range(self.size, self.size + len(lettered))))
+                if lettered:
+                    self.rows[self.size:self.size + len(lettered)] = self.score(lettered)
+                    self.size += len(lettered)
                 places = np.fromiter(map(self.memo.__getitem__, part), np.int64, len(part))
                 total += self.rows[places].sum(axis=0)
                 count += int((places > 0).sum())
