@@ -9,15 +9,15 @@ not seen.
 
 Labels mark documents, while few of a toxic document's words are toxic. What counts as toxic
 text is therefore the labelled documents' words that are far more frequent, by document,
-among toxic ones (log-likelihood ratio, cut at a share of the best); they and their
-neighbouring bytes are the toxic samples. Both dictionaries share the ordinary training
-result as their nearer part, so that an ordinary window compresses alike with both and its
-margin stays near zero. They are used as raw content: windows are too short for stored
-entropy tables to pay.
+among toxic ones (log-likelihood ratio, tested with a correction for the number of words, so
+a rare word counts whatever the ratios of others are); the toxic dictionary holds all of
+them. Both dictionaries share the ordinary training result as their nearer part, so that an
+ordinary window compresses alike with both and its margin stays near zero. They are used as
+raw content: windows are too short for stored entropy tables to pay.
 
 The fit uses a sample of labelled documents of about ``SAMPLE_DOCS`` per class (chosen by a
 hash of the id) and at most ``SAMPLE_WINDOWS`` windows of each for the dictionaries; copies
-count once. Scoring reads every text whole.
+count once, and a word counts once per label in a group of near copies. Scoring reads every text whole.
 
 Defined cases: null and empty texts have no window and get the score of a text without any
 margin; without labels of both classes the score is the share of toxic labels (0 if there
@@ -43,9 +43,11 @@ from .base import filter_rows, over_texts, ship
 ship(__name__)
 
 SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 128
-WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 48, 32768, 2048
-#: A word is taken as toxic from this log-likelihood ratio on, and from this share of the best word's.
-LEAST_RATIO, RATIO_SHARE = 15.0, 0.2
+WINDOW, ORDINARY_BYTES = 48, 32768
+#: A word is taken as toxic from this log-likelihood ratio on, if chance gives less than so many such words among all that are tested.
+LEAST_RATIO, FALSE_WORDS = 15.0, 0.01
+#: Near copies are found by least hashes of their five-word runs: those that share all values of a band.
+BANDS, BAND_VALUES = 12, 4
 MARGINS = (1, 2, 3, 4, 5, 6, 8)
 THRESHOLD = 0.5
 WORD = re.compile(r"[^\W\d_]+")
@@ -88,13 +90,17 @@ class Margins:
         return [*counts, float(max(0, *seen, 0)), math.log1p(seen.total())]
 
 
-def toxic_words(excerpts: list[tuple[int, list[bytes]]]) -> list[str]:
-    """Words of the excerpts' documents that speak most clearly for the toxic class."""
+def toxic_words(excerpts: list[tuple[int, int, list[bytes]]]) -> list[str]:
+    """Words that speak clearly for the toxic class, from (label, group, parts) of documents;
+    a group's documents count as one per label."""
+    groups: dict[tuple[int, int], set] = {}
+    for label, group, parts in excerpts:
+        groups.setdefault((label, group), set()).update(w for part in parts for w in WORD.findall(part.decode()))
     within: dict[int, Counter] = {0: Counter(), 1: Counter()}
     size = {0: 0, 1: 0}
-    for label, parts in excerpts:
+    for (label, _), words in groups.items():
         size[label] += 1
-        within[label].update({w for part in parts for w in WORD.findall(part.decode())})
+        within[label].update(words)
     if not size[0] or not size[1]:
         return []
     share = size[1] / (size[0] + size[1])
@@ -103,8 +109,9 @@ def toxic_words(excerpts: list[tuple[int, list[bytes]]]) -> list[str]:
         b = within[0][word]
         if a * size[0] > 2 * b * size[1]:
             ratios[word] = 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0))
-    least = max([LEAST_RATIO, *(r * RATIO_SHARE for r in ratios.values())])
-    return sorted((w for w, r in ratios.items() if r >= least), key=lambda w: (ratios[w], w))
+    chance = FALSE_WORDS / max(1, len(within[1]))
+    found = [w for w, r in ratios.items() if r >= LEAST_RATIO and math.erfc(math.sqrt(r / 2)) <= chance]
+    return sorted(found, key=lambda w: (ratios[w], w))
 
 
 def trained(samples: list[bytes], size: int) -> bytes:
@@ -117,14 +124,9 @@ def trained(samples: list[bytes], size: int) -> bytes:
     return learned or b"".join(dict.fromkeys(samples))[-size:]
 
 
-def dictionaries(excerpts: list[tuple[int, list[bytes]]]) -> tuple[bytes, bytes]:
-    ordinary = trained([part for label, parts in excerpts if label == 0 for part in parts], ORDINARY_BYTES)
-    words = toxic_words(excerpts)
-    wanted, found = set(words), []
-    for label, parts in excerpts:
-        found += [f" {m} ".encode() for part in parts if label for m in WORD.findall(part.decode()) if m in wanted]
-    whole = b"".join(f" {w} ".encode() for w in words)
-    return ordinary, (trained(found, TOXIC_BYTES) if len(whole) > TOXIC_BYTES else whole) + ordinary
+def dictionaries(excerpts: list[tuple[int, int, list[bytes]]]) -> tuple[bytes, bytes]:
+    ordinary = trained([part for label, _, parts in excerpts if label == 0 for part in parts], ORDINARY_BYTES)
+    return ordinary, b"".join(f" {w} ".encode() for w in toxic_words(excerpts)) + ordinary
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -146,6 +148,33 @@ def near_copy_key(text: str) -> int:
     return min(crc32(" ".join(words[k:k + 5]).encode()) for k in range(max(1, len(words) - 4)))
 
 
+def bands(text: str) -> list[str]:
+    """Least hashes of the text's five-word runs, in bands; near copies share a band."""
+    words = text.lower().split()
+    runs = np.array([crc32(" ".join(words[k:k + 5]).encode()) for k in range(max(1, len(words) - 4))], np.uint64)
+    dealt = np.random.default_rng(9)
+    least = []
+    for times, plus in dealt.integers(1, 1 << 31, (BANDS * BAND_VALUES, 2), np.uint64):
+        least.append(int(((runs * times + plus) % np.uint64((1 << 31) - 1)).min()))
+    return [f"{k}:{least[k * BAND_VALUES:(k + 1) * BAND_VALUES]}" for k in range(BANDS)]
+
+
+def copy_groups(signatures: list[list[str]]) -> list[int]:
+    """A group number per signature; those that share a band, also by way of others, are in one group."""
+    parent = list(range(len(signatures)))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    first: dict[str, int] = {}
+    for k, signature in enumerate(signatures):
+        for band in signature:
+            parent[root(k)] = root(first.setdefault(band, k))
+    return [root(k) for k in range(len(signatures))]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out_of: int = 5, held_out: int = 0, sample_docs: int = SAMPLE_DOCS) -> dict:
     """The two dictionaries and the calibration, from labelled rows that are not held out."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).where(F.crc32(F.col(id_col).cast("string").cast("binary")) % held_out_of != held_out)
@@ -163,13 +192,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def excerpts() -> Callable[[list, list, list], dict]:
         def take(texts: list, *_: list) -> dict:
             parts = [sorted(windows(text, WINDOW), key=crc32)[:SAMPLE_WINDOWS] for text in texts]
-            return {"near": [near_copy_key(text) for text in texts], "parts": parts}
+            return {"near": [near_copy_key(text) for text in texts], "bands": [bands(text) for text in texts], "parts": parts}
 
         return take
 
     first = sample.where("third > 0").select("label", "text")
-    taken = over_texts(first, "label", "text", excerpts, "near long, parts array<binary>").dropDuplicates(["near"])
-    picked = [(r["label"], [bytes(p) for p in r["parts"]]) for r in taken.orderBy("near").collect()]
+    taken = over_texts(first, "label", "text", excerpts, "near long, bands array<string>, parts array<binary>").dropDuplicates(["near"])
+    rows = taken.orderBy("near").collect()
+    picked = [(r["label"], group, [bytes(p) for p in r["parts"]]) for r, group in zip(rows, copy_groups([r["bands"] for r in rows]))]
     model["ordinary"], model["toxic"] = dictionaries(picked)
     measured = features(sample.where("third = 0"), model, "label", "text").collect()
     y = np.array([r["label"] for r in measured], float)

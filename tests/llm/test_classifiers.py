@@ -30,6 +30,32 @@ def test_toxicity_held_out(spark, tables):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
+def test_toxicity_words_of_uneven_frequency():
+    dealt = random.Random(4)
+    plain = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    name = lambda k: "bad" + "".join(chr(97 + k // 26 ** j % 26) for j in range(8))
+    rare = [name(k) for k in range(250)]
+    has = [{"hot"} for _ in range(300)] + [set() for _ in range(1200)]
+    for word in rare:
+        for k in dealt.sample(range(300), 14):
+            has[k].add(word)
+    excerpts = [(int(k < 300), k, [f" {' '.join([*dealt.sample(plain, 20), *sorted(words)])} ".encode()]) for k, words in enumerate(has)]
+    ordinary, toxic = toxicity.dictionaries(excerpts)
+    assert set(toxicity.toxic_words(excerpts)) == {"hot", *rare}
+    assert all(f" {w} ".encode() in toxic for w in ("hot", *rare)) and toxic.endswith(ordinary)
+
+
+def test_toxicity_near_copies_count_once():
+    dealt = random.Random(5)
+    base = [f"w{dealt.randrange(10**6)}" for _ in range(200)]
+    copies = [" ".join(w if dealt.random() > 0.01 else f"x{dealt.randrange(10**6)}" for w in base) for _ in range(40)]
+    others = [" ".join(f"w{dealt.randrange(10**6)}" for _ in range(200)) for _ in range(40)]
+    groups = toxicity.copy_groups([toxicity.bands(text) for text in copies + others])
+    assert len(set(groups[:40])) == 1 and len(set(groups[40:])) == 40
+    excerpts = [(1, g, [b" copied word "]) for g in groups[:40]] + [(0, 1000 + k, [b" other word "]) for k in range(200)]
+    assert toxicity.toxic_words(excerpts) == []
+
+
 def test_windows_cover_all_words():
     dealt = random.Random(2)
     for n in (0, 1, 5, 60, 500):
