@@ -9,7 +9,9 @@ blocks, and its ``NEIGHBOURS`` nearest vote with weights that grow with their si
 Votes are scaled by class so that the score follows the labels' own shares.
 
 The fit uses about ``SAMPLE_DOCS`` labelled documents per class, chosen by a hash of the id,
-which bounds what is broadcast; scoring reads every text whole.
+which bounds what is broadcast; scoring reads every text whole. A token of more than
+``PIECE_CHARS`` characters counts as several, its consecutive pieces of that length; a shape
+of more than ``SHAPE_RUNS`` runs gives a term for each so many of them.
 
 Defined cases: null counts as empty; a text whose terms no labelled document has gets the
 share of label 1; so do all without labels of both classes (0.5 without any); equal
@@ -36,13 +38,22 @@ WORD_BUCKETS, SHAPE_BUCKETS, OTHER_BUCKETS = 2048, 1024, 128
 SHAPE_WEIGHT, SIMILARITY_POWER = 2.0, 8.0
 THRESHOLD = 0.7
 MEMO_TOKENS = 200_000
+PIECE_CHARS, SHAPE_RUNS = 64, 8
 LETTERS = re.compile(r"[^\W\d_]+")
 RUNS = re.compile(r"(.)\1+", re.S)
 
 
-def shape(token: str) -> str:
-    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdecimal() else c for c in token[:64])
-    return RUNS.sub(r"\1", kinds)[:8]
+def split(text: str) -> list[str]:
+    """The text's tokens, long ones in pieces."""
+    tokens = text.split()
+    if not tokens or max(map(len, tokens)) <= PIECE_CHARS:
+        return tokens
+    return [token[k:k + PIECE_CHARS] for token in tokens for k in range(0, len(token), PIECE_CHARS)]
+
+
+def shapes(token: str) -> list[str]:
+    kinds = RUNS.sub(r"\1", "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdecimal() else c for c in token))
+    return [kinds[k:k + SHAPE_RUNS] for k in range(0, len(kinds), SHAPE_RUNS)]
 
 
 class Terms:
@@ -50,27 +61,32 @@ class Terms:
 
     def __init__(self) -> None:
         self.memo: dict[str, int] = {}
+        self.more: dict[str, list[int]] = {}  # shape buckets behind the first
 
     def token(self, token: str) -> int:
-        core = "".join(LETTERS.findall(token.lower()[:256]))
+        core = "".join(LETTERS.findall(token.lower()))
         word = crc32(core.encode()) % WORD_BUCKETS
-        return word * SHAPE_BUCKETS + crc32(shape(token).encode()) % SHAPE_BUCKETS
+        first, *more = (crc32(part.encode()) % SHAPE_BUCKETS for part in shapes(token))
+        if more:
+            self.more[token] = more
+        return word * SHAPE_BUCKETS + first
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        tokens = (text or "").split()
+        tokens = split(text or "")
         unknown = {t for t in tokens if t not in self.memo}
         if len(self.memo) + len(unknown) > MEMO_TOKENS:
-            self.memo, unknown = {}, set(tokens)
+            self.memo, self.more, unknown = {}, {}, set(tokens)
         for t in unknown:
             self.memo[t] = self.token(t)
         codes = np.fromiter(map(self.memo.__getitem__, tokens), np.int64, len(tokens))
+        more = [bucket for t in tokens if t in self.more for bucket in self.more[t]] if self.more else []
         lines = [line for line in (text or "").split("\n") if line.strip()]
         same = float((codes[1:] == codes[:-1]).mean()) if len(codes) > 1 else 0.0
         again = 1 - len(set(lines)) / len(lines) if lines else 0.0
         varied = len(unknown | set(tokens)) / len(tokens) if tokens else 0.0
         base = WORD_BUCKETS + SHAPE_BUCKETS
         other = [base + len(tokens).bit_length(), base + 40 + int(10 * same), base + 60 + int(10 * again), base + 80 + int(10 * varied)]
-        buckets, counts = np.unique(np.concatenate([codes // SHAPE_BUCKETS, WORD_BUCKETS + codes % SHAPE_BUCKETS, np.array(other)]), return_counts=True)
+        buckets, counts = np.unique(np.concatenate([codes // SHAPE_BUCKETS, WORD_BUCKETS + codes % SHAPE_BUCKETS, WORD_BUCKETS + np.array(more, np.int64), np.array(other)]), return_counts=True)
         weights = 1 + np.log(counts)
         weights[buckets >= WORD_BUCKETS] *= SHAPE_WEIGHT
         weights[buckets >= base] *= np.sqrt(1 + len(codes)) / 4  # as heavy as a share of the words

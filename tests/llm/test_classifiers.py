@@ -90,6 +90,20 @@ def test_quality_odd_rows(spark, odd, none):
         assert neighbours.score_quality(none, model).count() == 0
 
 
+def test_quality_reads_long_tokens_whole():
+    terms = neighbours.Terms()
+    found = lambda text: {k: v for k, v in zip(*(x.tolist() for x in terms(text)))}
+    words = lambda text: {k for k in found(text) if k < neighbours.WORD_BUCKETS}
+    shapes = lambda text: {k for k in found(text) if neighbours.WORD_BUCKETS <= k < neighbours.WORD_BUCKETS + neighbours.SHAPE_BUCKETS}
+    start = "ab" * 5_000
+    assert words(start + "kiwi") != words(start + "plum") and shapes(start + "kiwi") != shapes(start + "4-5-6")
+    assert len(words(start + "kiwi") & words(start + "plum")) == 1
+    for at in (8, 20, 63, 300):  # a shape of many runs
+        base = "a1" * at
+        assert shapes(base + "--") != shapes(base + "++")
+    assert len(words("some plain words")) == 3 and len(shapes("some plain words")) == 1
+
+
 def test_language_held_out(spark, tables):
     documents, _ = tables
     rows = queries.QUERIES["op6_language_id"](spark, SF).collect()
