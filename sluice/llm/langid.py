@@ -6,8 +6,14 @@ step down at a discount. A text's score per language is the mean over its words;
 language wins, and the score is its share after a softmax.
 
 Words, n-grams and languages are learned from about ``SAMPLE_DOCS`` documents per language,
-chosen by a hash of the id, and read whole; counting runs in Spark. What is sent to the tasks
-is at most ``MODEL_ENTRIES`` words and n-grams, the most frequent ones.
+chosen by a hash of the id, and read whole; words and the n-grams of all words are counted in
+Spark. What is sent to the tasks is at most ``MODEL_ENTRIES`` words and n-grams. Words and
+each length of n-grams have a sixth of the places each; what a table leaves free goes to the
+larger ones. Within a table, entries are kept by their rank within a language, so that every
+language has at least its equal part of the places, however long its documents are, and
+places that a language leaves free go to the others. Words seen once and n-grams seen less
+than ``LEAST_GRAM`` times in all languages together are not kept. An entry that a language
+lacks counts as half seen in a language of mean size, in proportion in others.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0; without
 training rows all texts are ``und``; of equal languages the first by name wins; rows with a
@@ -18,20 +24,23 @@ ignored; long texts are read whole, in bounded pieces.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut_lineage
 from .base import over_texts, ship
 from .samples import per_class
 
 ship(__name__)
 
 SAMPLE_DOCS, MODEL_ENTRIES = 1500, 400_000
-LONGEST, DISCOUNT, LEAST_GRAM = 5, 0.4, 3
+LONGEST, DISCOUNT, LEAST_GRAM, LEAST_WORD = 5, 0.4, 3, 2
+#: Ranks are counted in steps of this size when places are dealt.
+RANK_STEP = 16
 SHARPNESS = 8.0
 MEMO_WORDS, TEXT_CHARS = 400_000, 2_000_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -44,29 +53,99 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[k:k + n] for k in range(len(padded) - n + 1)]
 
 
+def dealt_places(sizes: list[int], entries: int) -> list[int]:
+    """Places per table: equal parts, and what small tables leave free goes to larger ones."""
+    places, left = [0] * len(sizes), entries
+    for done, k in enumerate(sorted(range(len(sizes)), key=lambda k: sizes[k])):
+        places[k] = min(sizes[k], left // (len(sizes) - done))
+        left -= places[k]
+    return places
+
+
+def model_of(languages: list[str], found: list[tuple[list[str], np.ndarray]], sums: list[np.ndarray]) -> dict:
+    """Log frequencies from kept entries and their counts per language, and each table's sums of counts."""
+    tables = []
+    for (kept, counts), total in zip(found, sums):
+        order = sorted(range(len(kept)), key=kept.__getitem__)
+        least = 0.5 * np.maximum(total, 1) / max(1.0, total.mean() if len(total) else 0)
+        values = counts[order] + least
+        tables.append(([kept[k] for k in order], np.log(values / (total + least * len(kept) + 1)).astype(np.float32)))
+    return {"languages": languages, "tables": tables}
+
+
 def build(counts: list[tuple[str, str, int]], entries: int = MODEL_ENTRIES) -> dict:
-    """Model from (language, word, count): languages, and log frequencies per word and n-gram."""
+    """Model from few (language, word, count), without Spark; of equal counts the first entry by name is kept."""
     languages = sorted({lang for lang, _, _ in counts})
     place = {lang: k for k, lang in enumerate(languages)}
-    tables: list[dict[str, Counter]] = [{} for _ in range(LONGEST + 1)]  # 0: words, n: n-grams
+    tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]  # 0: words, n: n-grams
     for lang, word, n in counts:
-        tables[0].setdefault(word, Counter())[place[lang]] += n
-        for size in range(1, LONGEST + 1):
-            for gram in grams(word, size):
-                tables[size].setdefault(gram, Counter())[place[lang]] += n
-    model = {"languages": languages, "tables": []}
-    share = entries // (LONGEST + 1)
-    for size, found in enumerate(tables):
-        if size:
-            found = {g: c for g, c in found.items() if c.total() >= LEAST_GRAM}
-        kept = sorted(found, key=lambda g: (-found[g].total(), g))[:share]
-        values = np.full((len(kept), len(languages)), 0.5)
-        for row, gram in enumerate(kept):
-            for k, n in found[gram].items():
-                values[row, k] += n
-        totals = values.sum(axis=0) + 1
-        model["tables"].append((kept, np.log(values / totals).astype(np.float32)))
-    return model
+        for size in range(LONGEST + 1):
+            for gram in grams(word, size) if size else [word]:
+                tables[size].setdefault(gram, np.zeros(len(languages)))[place[lang]] += n
+    tables = [{g: c for g, c in found.items() if c.sum() >= (LEAST_GRAM if size else LEAST_WORD)} for size, found in enumerate(tables)]
+    kept = []
+    for found, places in zip(tables, dealt_places(list(map(len, tables)), entries)):
+        best: dict[str, int] = {}
+        for k in range(len(languages)):
+            for rank, gram in enumerate(sorted((g for g in found if found[g][k]), key=lambda g: (-found[g][k], g))):
+                best[gram] = min(rank, best.get(gram, rank))
+        chosen = sorted(best, key=lambda g: (best[g], g))[:places]
+        kept.append((chosen, np.array([found[g] for g in chosen]).reshape(len(chosen), len(languages))))
+    return model_of(languages, kept, [sum(found.values(), np.zeros(len(languages))) for found in tables])
+
+
+def build_from(words: DataFrame, entries: int = MODEL_ENTRIES) -> dict:
+    """The same from rows of lang, word, n, counted and ranked in Spark; of equal counts a hash decides."""
+    rows = words.select(F.lit(0).alias("size"), "lang", F.col("word").alias("gram"), "n")
+    for size in range(1, LONGEST + 1):
+        padded = F.concat(F.lit("\x02"), "word", F.lit("\x03")) if size > 1 else F.col("word")
+        long_enough = words.select("lang", "n", padded.alias("word")).where(F.length("word") >= size)
+        starts = F.sequence(F.lit(1), F.length("word") - (size - 1))
+        cut = F.explode(F.transform(starts, lambda k: F.substring("word", k, F.lit(size))))
+        rows = rows.unionByName(long_enough.select(F.lit(size).alias("size"), "lang", cut.alias("gram"), "n"))
+    rows = rows.groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
+    grouped = rows.groupBy("size", "gram").agg(F.collect_list(F.struct("lang", "n")).alias("counts"), F.sum("n").alias("total"))
+    grouped = cut_lineage(grouped.where(F.col("total") >= F.when(F.col("size") == 0, LEAST_WORD).otherwise(LEAST_GRAM)).drop("total"))
+    flat = grouped.select("size", "gram", F.inline("counts"))
+    classes = defaultdict(list)
+    for r in flat.groupBy("size", "lang", "n").agg(F.count("*").alias("ties")).collect():
+        classes[r["size"], r["lang"]].append((r["n"], r["ties"]))
+    languages = sorted({lang for _, lang in classes})
+    sums, above = np.zeros((LONGEST + 1, len(languages))), []
+    for (size, lang), found in classes.items():
+        sums[size, languages.index(lang)] = sum(n * ties for n, ties in found)
+        higher = 0
+        for n, ties in sorted(found, reverse=True):
+            above.append((size, lang, n, higher, ties))
+            higher += ties
+    above = words.sparkSession.createDataFrame(above, "size int, lang string, n long, higher long, ties long")
+    rank = F.floor((F.col("higher") + F.pmod(F.xxhash64("gram"), F.lit(1_000_000)) / 1e6 * F.col("ties")) / RANK_STEP)
+    ranked = flat.join(F.broadcast(above), ["size", "lang", "n"]).groupBy("size", "gram").agg(F.min(rank).alias("rank"), F.collect_list(F.struct("lang", "n")).alias("counts"))
+    ranked = cut_lineage(ranked)
+    steps: list[dict[int, int]] = [{} for _ in range(LONGEST + 1)]
+    for r in ranked.groupBy("size", "rank").agg(F.count("*").alias("entries")).collect():
+        steps[r["size"]][r["rank"]] = r["entries"]
+    places, ends = dealt_places([sum(found.values()) for found in steps], entries), []
+    for found, left in zip(steps, places):  # the first rank that does not fit as a whole
+        end = 0
+        for end in sorted(found):
+            left -= found[end]
+            if left < 0:
+                break
+        ends.append(end)
+    if not languages:
+        return model_of([], [([], np.zeros((0, 0)))] * (LONGEST + 1), list(sums))
+    last = F.create_map(*(F.lit(x) for pair in enumerate(ends) for x in pair))
+    by_lang = F.map_from_entries("counts")
+    wanted = ranked.where(F.col("rank") <= last[F.col("size")]).select("size", "rank", "gram", F.array(*(F.coalesce(by_lang[F.lit(lang)], F.lit(0)) for lang in languages)).alias("counts"))
+    got = wanted.toArrow().combine_chunks()
+    size, rank, names = got["size"].to_numpy(), got["rank"].to_numpy(), got["gram"].to_pylist()
+    counts = got["counts"].combine_chunks().flatten().to_numpy().reshape(len(names), len(languages)).astype(float)
+    kept = []
+    for k in range(LONGEST + 1):
+        chosen = sorted(np.flatnonzero(size == k).tolist(), key=lambda at: (rank[at], names[at]))[:places[k]]
+        kept.append(([names[at] for at in chosen], counts[chosen]))
+    return model_of(languages, kept, list(sums))
 
 
 class Identifier:
@@ -142,8 +221,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     words = over_texts(sample.select("lang", "text"), "lang", "text", make, "words array<string>, counts array<long>")
     words = words.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("word")).agg(F.sum("w.counts").alias("n"))
-    frequent = words.where("n > 1").orderBy(F.desc("n"), "lang", "word").limit(MODEL_ENTRIES)
-    return build([(r["lang"], r["word"], r["n"]) for r in frequent.collect()])
+    return build_from(cut_lineage(words))
 
 
 def identify_language(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

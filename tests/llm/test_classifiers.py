@@ -118,6 +118,29 @@ def test_language_backs_off_to_n_grams():
     assert identifier.identify("12 ?!") == ("und", 0.0) and identifier.identify(None) == ("und", 0.0)
 
 
+def test_language_counts_in_spark_as_without(spark):
+    dealt = random.Random(6)
+    counts = sorted({(lang, "".join(dealt.choices("abcdeéß漢", k=dealt.randint(1, 9)))): dealt.randint(1, 9) for lang in ("aa", "bb", "cc") for _ in range(300)}.items())
+    counts = [(*key, n) for key, n in counts]
+    plain, found = langid.build(counts), langid.build_from(spark.createDataFrame(counts, "lang string, word string, n long"))
+    assert plain["languages"] == found["languages"]
+    for (names, values), (others, same) in zip(plain["tables"], found["tables"], strict=True):
+        assert names == others and abs(values - same).max() < 1e-5
+    for entries in (60, 600, 3000):
+        tables = langid.build_from(spark.createDataFrame(counts, "lang string, word string, n long"), entries)["tables"]
+        assert sum(len(names) for names, _ in tables) == min(entries, sum(len(names) for names, _ in plain["tables"]))
+
+
+def test_language_with_far_longer_documents_leaves_places(spark):
+    counts = [("long", f"long{k}", 5_000) for k in range(600)] + [("short", f"short{k}", 3) for k in range(150)]
+    for model in (langid.build(counts, 1200), langid.build_from(spark.createDataFrame(counts, "lang string, word string, n long"), 1200)):
+        known = set(model["tables"][0][0])
+        assert sum(w.startswith("short") for w in known) >= 60 and len(known) >= 200
+        assert sum(len(names) for names, _ in model["tables"]) == 1200
+        identifier = langid.Identifier(model)
+        assert identifier.identify("short7 short19")[0] == "short" and identifier.identify("long7 long19")[0] == "long"
+
+
 def test_language_odd_rows(odd, none):
     for model in (langid.fit(odd), langid.fit(none)):
         rows = langid.identify_language(odd, model).collect()
