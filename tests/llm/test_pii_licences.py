@@ -109,3 +109,12 @@ def test_every_known_text_has_its_own_digest(spark):
     for r in rows:
         names.setdefault(r["digest"], set()).add(r["licence"])
     assert None not in names and all(len(n) == 1 for n in names.values())
+
+
+def test_every_disguise_alone_is_proposed():
+    ats = [f"{s}{a}{w}{at}{w}{b}{s}" for a, b in ("[]", "()", "{}") for at in ("at", "AT", "@") for w in ("", " ") for s in ("", " ")] + ["@", " @ "]
+    dots = [f"{s}{a}{w}{dot}{w}{b}{s}" for a, b in ("[]", "()", "{}") for dot in ("dot", "DOT", ".") for w in ("", " ") for s in ("", " ")] + [" dot ", "."]
+    texts = [f"write to jane.doe{at}example{dot}org" for at in ats for dot in dots] + [f"write to jane.doe at example{dot}org" for dot in dots[:-1]]
+    for text in texts:
+        assert [kind for kind, *_ in pii.proposals(text)] == ["email"], text
+    assert pii.proposals("we met at noon. then home") == [] and pii.proposals("see you at example.org") == []
