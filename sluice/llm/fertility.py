@@ -93,9 +93,11 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
 
 
 def script_of(text: str) -> str:
-    """The script that most of up to 64 letters, spread over the text, are named after."""
-    step = max(1, len(text) // 256)
-    names = Counter(unicodedata.name(c, "?").split()[0] for c in text[::step] if c.isalpha())
+    """The script that most of the text's letters are named after."""
+    names: Counter = Counter()
+    for c, n in Counter(text).items():
+        if c.isalpha():
+            names[unicodedata.name(c, "?").split()[0]] += n
     return names.most_common(1)[0][0] if names else "NONE"
 
 

@@ -178,3 +178,9 @@ def test_fertility_odd_rows(odd, none):
     assert sorted(tuple(r[n] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) for r in rows) == sorted(plain_counts(r["text"] or "") for r in odd.collect())
     assert fertility.judge(none).count() == 0
     assert fertility.script_of("abc") == "LATIN" and fertility.script_of("12") == "NONE"
+
+
+def test_script_counts_the_whole_text():
+    assert fertility.script_of(" abcd" * 2_560) == "LATIN"  # every 50th character is a space
+    assert fertility.script_of(("я" + "a" * 9) * 256) == "LATIN"
+    assert fertility.script_of("12 " * 1_000 + "漢") == "CJK"
