@@ -55,6 +55,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a path of ``scratch_path`` that no plan reads any more."""
+    if "/sluice/" not in path:
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that several readers see the very same rows and
     a lost executor costs no recomputation of what lies before."""
