@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontaminate, fertility, jaccard, langid, licences, neighbours, packing, pii, tokens, toxicity
+from ..session import cut_lineage, remove_path, scratch_path
+from . import bitpacking, centroids, decontaminate, fertility, jaccard, langid, licences, neighbours, packing, pii, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,17 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op11_bit_packing")
+def packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "packed-ids")
+    bitpacking.write_packed(table(spark, sf_dir, "documents"), path)
+    found = cut_lineage(bitpacking.read_digests(spark, path))
+    remove_path(spark, path)
+    return found
+
+
+@query("op13_pca_clustering", centroids.clusters_sql())
+def vector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
