@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage, remove_path, scratch_path
-from . import bitpacking, centroids, decontaminate, fertility, jaccard, langid, licences, neighbours, packing, pii, tokens, toxicity
+from . import bitpacking, centroids, decontaminate, fertility, jaccard, langid, lexical, licences, neighbours, packing, pii, tokens, toxicity
 from .base import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,11 @@ def packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+@query("op12_lexical_search", lexical.ranks_sql())
+def lexical_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_pca_clustering", centroids.clusters_sql())
 def vector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
