@@ -95,3 +95,37 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {n: r for n, r in root.items() if n in got} and all(root[n] == n and list(root.values()).count(n) == 1 for n in set(root) - set(got))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("block_texts", [4, 7])
+def test_classes_of_large_cells_without_all_links(make, block_texts):
+    """Chains and families over many blocks: members outside the largest class meet all others."""
+    dealt = random.Random(block_texts)
+    chain, found = [f"c{dealt.randint(0, 300)}" for _ in range(80)], texts(7, 3, 14)
+    for k in range(40):  # each is near the one before, far from most
+        chain[(3 * k) % 80] = f"x{k}"
+        found.append(" ".join(chain))
+    found += [found[5]] * 6
+    want = {row[0]: row[1] for row in brute(list(enumerate(found, 1)))}
+    kept = jaccard.keep_one_of_each(make(found), block_texts=block_texts)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_relative_forms_count_common_runs():
+    found = texts(9, 2, 12) + ["short", "word " * 30]
+    import numpy as np
+    import pandas as pd
+    held, added = jaccard.relative(found, found[0])
+    frame = pd.DataFrame({"held": held, "added": added})
+    sets = [jaccard.runs(t) for t in found]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert jaccard.common_runs(frame, frame).astype(int).tolist() == want
+    assert len(added[0]) == 0
+
+
+def test_any_column_names(spark, make):
+    found = texts(3, 4, 5)
+    docs = make(found).selectExpr("doc_id AS id", "text AS own_key", "lang AS chosen_id", "n AS `row.a`", "n AS blank")
+    kept = jaccard.keep_one_of_each(docs, "id", "own_key")
+    want = {row[0]: row[1] for row in brute(list(enumerate(found, 1)))}
+    assert kept.columns == docs.columns and sorted(r["id"] for r in kept.collect()) == sorted(set(want.values()))
