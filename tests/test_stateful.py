@@ -10,6 +10,7 @@ from sluice.config import AnomalyRule
 from sluice.operators.anomaly import detect_anomalies
 from sluice.operators.dedup import dedup
 from sluice.operators.ordered import previous_value, running_count, split_hot_keys
+from sluice.operators import ttl
 from sluice.operators.ttl import accepted_rows
 from sluice.operators.verdict import ANOMALY, FAILURES, LIVE
 from pyspark.sql import functions as F
@@ -64,6 +65,27 @@ def test_chain_of_hot_keys_equals_brute_force(spark, seed, span, ttl, groups):
         assert sorted(r["p"] for r in got) == sorted(expected)
 
 
+def test_chain_of_a_hot_key_over_many_blocks(spark):
+    """A limit of one minute and 10^5 blocks: ranges of 300 rows and three levels of jump maps."""
+    rng, minute = random.Random(8), 60_000
+    rows = [("hot", rng.randrange(100_000) * minute + rng.choice([0, 5, 30_000, rng.randrange(minute)]), i) for i in range(120_000)]
+    rows += [("hot", k * minute, 200_000 + k) for k in range(3_000, 9_000)] + [("cold", k * 31_000, 300_000 + k) for k in range(200)]
+    df = spark.createDataFrame(rows, "k string, t bigint, p bigint").repartition(4)
+    got = accepted_rows(df, "k", "t", "p", minute, fold_rows=1_000, group_rows=300).collect()
+    assert sorted(r["p"] for r in got) == sorted(chain(rows, minute))
+
+
+def test_maps_of_ranges_compose():
+    import pandas as pd
+    ranges = [pd.DataFrame({"_k": "k", "_range": n, "_u": u, "_length": 20}) for n, u in ((0, [0, 4, 9, 15]), (1, [1, 8]), (3, [19]))]
+    maps = pd.concat([ttl._map_of_range(r, 10) for r in ranges])
+    both = ttl._compose(maps)
+    assert both["_range"].tolist() == [0] and both["_leaves"].tolist() == [0]  # ranges 4 to 7 have no row
+    entries = ttl._thresholds(maps, pd.DataFrame({"_entry": [0]}))
+    # 0 and 15 are accepted in the first range; 25 becomes 5 in the second, and accepts 8
+    assert list(zip(entries["_range"], entries["_entry"])) == [(0, 0), (1, 5), (3, 0)]
+
+
 def brute_flags(rows, rule, k):
     seen, out = {}, {}
     for key, time, position, value in sorted(rows, key=lambda r: (r[1], r[2])):
