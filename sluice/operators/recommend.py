@@ -1,10 +1,8 @@
 """Product recommendations from scan snapshots.
 
-Every active product has a score for every snapshot, but products that target
-the same concerns and skin types always score the same. So products are grouped
-by target profile, a snapshot scores the profiles, and only the leading products
-of the leading profiles become candidates. The result equals scoring the whole
-catalogue, with no product-by-snapshot pairs and no shuffle for the top N.
+Every active product has a score for every snapshot; ``topn`` finds the leading
+ones by way of target profiles. The result equals scoring the whole catalogue,
+with no product-by-snapshot pairs and no shuffle for the top N.
 """
 
 from __future__ import annotations
@@ -13,7 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from .ordered import HOT_ROWS, previous_value, split_hot_keys
+from .topn import LISTED, PART_PROFILES, PRODUCTS, Factors, Profiles, improve, owned_lists, placed
 
 # Which snapshot score sets the weight of which concern.
 CONCERNS = (
@@ -35,9 +35,6 @@ MIN_SCORE_CHANGE = 3.0
 SCAN_TTL_DAYS = 90
 PURCHASE_LOOKBACK_DAYS = 365
 DAY_MS = 86_400_000
-# Products whose profiles travel to every task at once. A larger catalogue is
-# scored in several passes over the snapshots, each with a part this size.
-CATALOG_PART = 100_000
 
 
 def concern_weights(scores: Column, higher_is_worse: tuple[str, ...] = ()) -> Column:
@@ -75,12 +72,6 @@ def _places(concerns: Column) -> Column:
     return F.filter(F.transform(concerns, lambda c: F.array_position(names, F.lower(c))), lambda i: i > 0)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Compute ``value`` once per row and use it in ``body``. Without this the
-    optimizer copies the expression into every lambda that mentions it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def purchases(orders: DataFrame, as_of_ms: int, lookback_days: int = PURCHASE_LOOKBACK_DAYS, time: str = "eventTime") -> DataFrame:
     """(customerId, productId) bought within the lookback. Accepts order events
     with ``lineItems`` or rows that already name a product."""
@@ -147,79 +138,16 @@ def _active(catalog: DataFrame) -> DataFrame:
     )
 
 
-def profiles(catalog: DataFrame) -> DataFrame:
-    """One row per (concerns, types) with its active products in id order."""
-    return (
-        _active(catalog)
-        .groupBy("concerns", "types")
-        .agg(F.sort_array(F.collect_list("productId")).alias("products"))
-    )
-
-
-def _pack(catalog_part: DataFrame) -> DataFrame:
-    """The profiles of a catalogue part as one row. The part's size is checked
-    before, see ``_catalog_parts``."""
-    entry = F.struct(
-        _places(F.col("concerns")).alias("places"), F.get("products", 0).alias("first"), "concerns", "types", "products"
-    )
-    return profiles(catalog_part).agg(F.collect_list(entry).alias("p"))
-
-
-def _catalog_parts(catalog: DataFrame, part_size: int) -> list[DataFrame]:
-    active = catalog.where(F.col("isActive"))
-    count = active.count()
-    if count == 0:
-        return []
-    parts = -(-count // part_size)
-    if parts == 1:
-        return [catalog]
-    # Spread by hash; twice the parts keeps each well below the checked size.
-    parts *= 2
-    return [active.where(F.pmod(F.xxhash64("productId"), F.lit(parts)) == i) for i in range(parts)]
-
-
-def _leading(candidates: Column, top_n: int) -> Column:
-    """The first ``top_n``: structs sort by their fields, score negated first."""
-    return F.slice(F.sort_array(candidates), 1, top_n)
-
-
-def _candidate(score: Column, product: Column, concerns: Column) -> Column:
-    return F.struct((-score).alias("less"), product.alias("productId"), concerns.alias("concerns"))
-
-
-def _matched(weights: Column, places: Column) -> Column:
-    return F.aggregate(places, F.lit(0.0), lambda total, i: total + F.element_at(weights, i.cast("int")))
-
-
-def _free(products: Column, owned: Column, top_n: int) -> Column:
-    """The first ``top_n`` of the products that are not owned."""
-    beyond = F.slice(products, F.lit(1), F.size(owned) + top_n)
-    return F.when(F.size(owned) == 0, F.slice(products, 1, top_n)).otherwise(F.slice(F.array_except(beyond, owned), 1, top_n))
-
-
-def _candidates(row: Column, top_n: int) -> Column:
-    """Per profile its first ``top_n`` products that the customer does not own,
-    and of these only the profiles that can reach the result: one behind
-    ``top_n`` other profiles' first products cannot."""
-
-    def head(p: Column, place: Column) -> Column:
-        score = _score(_matched(row["weights"], p["places"]), p["types"], row["skin"], False)
-        first = F.when(F.size(row["owned_ids"]) == 0, p["first"]).otherwise(F.get(_free(p["products"], row["owned_ids"], 1), 0))
-        return F.struct((-score).alias("less"), first.alias("productId"), place.alias("place"))
-
-    heads = F.filter(F.transform(row["profiles"], head), lambda h: h["productId"].isNotNull())
-
-    def spread(h: Column) -> Column:
-        profile = F.get(row["profiles"], h["place"])
-        return F.transform(_free(profile["products"], row["owned_ids"], top_n), lambda i: _candidate(-h["less"], i, profile["concerns"]))
-
-    return F.flatten(F.transform(_leading(heads, top_n), spread))
+def _profiled(catalog: DataFrame) -> DataFrame:
+    """Active products with what decides their score; ``profile`` is its name."""
+    named = _active(catalog).withColumn("places", _places(F.col("concerns")))
+    return named.withColumn("profile", F.to_json(F.struct("places", "types")))
 
 
 def ranked_rows(recommendations: DataFrame) -> DataFrame:
     """One row per recommended product instead of the ``products`` array."""
     # The arrays are never empty. ``explode_outer`` keeps the optimizer from
-    # testing that first, which would score every snapshot twice.
+    # adding a test of that.
     flat = recommendations.withColumn("_p", F.explode_outer("products"))
     return flat.select(*[c for c in recommendations.columns if c != "products"], "_p.*")
 
@@ -231,7 +159,8 @@ def recommend(
     bought: DataFrame | None = None,
     top_n: int = TOP_N,
     score_fn: Callable[[DataFrame], DataFrame] | None = None,
-    part_size: int = CATALOG_PART,
+    part_profiles: int = PART_PROFILES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each snapshot with its ``top_n`` products, best first and ties by product
     id, in ``products``: array of (productId, rank, score, targetConcerns).
@@ -240,64 +169,27 @@ def recommend(
     ``bought`` (customerId, productId). ``score_fn`` may replace the weights: it
     gets the snapshots and returns them with a ``weights`` map column. An empty
     catalogue gives no rows."""
-    parts = _catalog_parts(catalog, part_size)
     weighted = score_fn(snaps) if score_fn else snaps.withColumn("weights", concern_weights(F.col("scores")))
+    columns = [F.col(f"`{c}`") for c in snaps.columns]
+    by_place = F.array(*[F.coalesce(F.element_at(F.col("weights"), name), F.lit(0.0)) for name, _ in CONCERNS])
+    rows = weighted.select(F.struct(*columns).alias("row"), F.col("customerId").alias("_customer"), by_place.alias("weights"))
     if preferences is not None:
-        weighted = weighted.join(preferences.select("customerId", F.col("skinType").alias("_skin")), "customerId", "left")
+        rows = rows.join(preferences.select(F.col("customerId").alias("_customer"), F.col("skinType").alias("skin")), "_customer", "left")
     else:
-        weighted = weighted.withColumn("_skin", F.lit(None).cast("string"))
-    entry = "struct<productId:string,concerns:array<string>,types:array<string>>"
+        rows = rows.withColumn("skin", F.lit(None).cast("string"))
+    products = cut_lineage(placed(_profiled(catalog), hot_rows))
     if bought is not None:
-        # Distinct active products only, so the array is no longer than the
-        # catalogue, which is broadcast if it passed the size check in one part.
-        active = F.broadcast(_active(catalog)) if len(parts) == 1 else _active(catalog)
-        owned = (
-            bought.select("customerId", "productId")
-            .distinct()
-            .join(active, "productId")
-            .groupBy("customerId")
-            .agg(F.collect_list(F.struct("productId", "concerns", "types")).alias("_owned"))
-        )
-        weighted = weighted.join(owned, "customerId", "left")
+        rows = rows.join(owned_lists(bought, products, top_n, hot_rows).withColumnRenamed("customerId", "_customer"), "_customer", "left")
     else:
-        weighted = weighted.withColumn("_owned", F.lit(None).cast(f"array<{entry}>"))
-    owned_list = F.coalesce(F.col("_owned"), F.array().cast(f"array<{entry}>"))
-    by_place = F.array(*[F.coalesce(F.element_at(F.col("weights"), name), F.lit(0.0)) for name, _ in CONCERNS])
-    inputs = [
-        by_place.alias("weights"),
-        F.col("_skin").alias("skin"),
-        owned_list.alias("owned"),
-        F.transform(owned_list, lambda o: o["productId"]).alias("owned_ids"),
-    ]
-
-    def owned_scored(r: Column) -> Column:
-        return F.transform(
-            r["owned"],
-            lambda o: _candidate(_score(_matched(r["weights"], _places(o["concerns"])), o["types"], r["skin"], True), o["productId"], o["concerns"]),
-        )
-
-    best = weighted.withColumn("_best", _let(F.struct(*inputs), lambda r: _leading(owned_scored(r), top_n)))
-    for part in parts:
-        # A scalar subquery: the packed part is computed once and goes to the
-        # tasks as a constant, like a broadcast of one row.
-        best = best.withColumn("_packed", F.coalesce(_pack(part).scalar(), F.array().cast(_PACKED)))
-        row = F.struct(*inputs, F.col("_packed").alias("profiles"))
-        added = _let(row, lambda r: _candidates(r, top_n))
-        best = best.withColumn("_best", _leading(F.concat(F.col("_best"), added), top_n)).drop("_packed")
-    ranked = F.transform(
-        F.col("_best"),
-        lambda b, i: F.struct(
-            b["productId"].alias("productId"),
-            (i + 1).alias("rank"),
-            (F.lit(0.0) - b["less"]).alias("score"),
-            b["concerns"].alias("targetConcerns"),
-        ),
-    )
-    found = best.select(*snaps.columns, ranked.alias("products"))
-    return found if parts else found.where(F.lit(False))
-
-
-_PACKED = "array<struct<places:array<bigint>,first:string,concerns:array<string>,types:array<string>,products:array<string>>>"
+        rows = rows.withColumn("own", F.lit(None).cast(f"array<struct<profile:string,changed:boolean,free:{LISTED},owned:{LISTED}>>"))
+    rows = rows.select("row", "weights", "skin", "own", F.lit(None).cast(PRODUCTS).alias("products"))
+    heads = products.where(F.col("place") <= top_n)
+    parts = -(-heads.where("place = 1").count() // part_profiles)
+    factors = Factors(TYPE_BONUS, TYPE_PENALTY, OWNED_FACTOR)
+    for number in range(parts):
+        own = heads.where(F.pmod(F.xxhash64("profile"), F.lit(parts)) == number).collect()
+        rows = improve(rows, Profiles(own, len(CONCERNS), factors), top_n) if own else rows
+    return rows.select("row.*", "products") if parts else rows.select("row.*", "products").where(F.lit(False))
 
 
 def recommendation_id(customer: Column, scan: Column, time: Column) -> Column:

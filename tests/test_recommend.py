@@ -40,9 +40,9 @@ def test_weight_and_score_cases(spark):
     assert worse["hydration"] == 0.4
 
 
-@pytest.mark.parametrize("part_size", [1000, 11])
+@pytest.mark.parametrize("part_profiles,hot_rows", [(1000, 1000), (7, 3)])
 @pytest.mark.parametrize("with_customer", [False, True])
-def test_top_n_equals_all_pairs(spark, part_size, with_customer):
+def test_top_n_equals_all_pairs(spark, part_profiles, hot_rows, with_customer):
     rng = random.Random(2)
     names = [c.upper() for c, _ in rec.CONCERNS] + ["OTHER"]
     products = [
@@ -59,7 +59,7 @@ def test_top_n_equals_all_pairs(spark, part_size, with_customer):
         spark.createDataFrame(products, CATALOG_DDL),
         spark.createDataFrame(list(skins.items()), "customerId string, skinType string") if with_customer else None,
         spark.createDataFrame(list(owned), "customerId string, productId string") if with_customer else None,
-        part_size=part_size,
+        part_profiles=part_profiles, hot_rows=hot_rows,
     )
     got = {r.scanId: [(p.productId, p["rank"], round(p.score, 9), p.targetConcerns) for p in r.products] for r in found.collect()}
     for customer, scan, _, scores in snaps:
@@ -71,6 +71,25 @@ def test_top_n_equals_all_pairs(spark, part_size, with_customer):
         assert got[scan] == [(pid, i + 1, round(0.0 - s, 9), con) for i, (s, pid, con) in enumerate(all_pairs[:5])]
 
 
+def test_a_large_catalogue_and_a_customer_who_owns_its_best(spark):
+    """250,000 products; the plan has no single partition, no literal and no list of the catalogue."""
+    concerns = F.expr("array(element_at(array('HYDRATION','PORES','TEXTURE','OTHER'), cast(id % 4 + 1 as int)), element_at(array('WRINKLES','CLARITY','x'), cast(id % 3 + 1 as int)))")
+    catalogue = spark.range(250_000).select(
+        F.format_string("p%06d", "id").alias("productId"), F.lit(1).cast("bigint").alias("eventTime"), F.lit("UPSERT").alias("eventType"),
+        F.lit(True).alias("isActive"), concerns.alias("targetSkinConcerns"), F.array(F.lit("DRY")).alias("targetSkinTypes"))
+    snaps = spark.createDataFrame([("a", "s1", 1, {"hydration": 10.0, "wrinkle": 20.0}), ("b", "s2", 2, {"hydration": 10.0, "wrinkle": 20.0})], SNAP_DDL)
+    best = [k for k in range(250_000) if k % 12 == 0]  # hydration and wrinkles: 0.9 + 0.8
+    owned = [("b", f"p{k:06d}") for k in best if k not in (24, 36, 120_000, 240_000)] + [("b", "p000001")]
+    bought = spark.createDataFrame(owned, "customerId string, productId string")
+    found = rec.recommend(snaps, catalogue, bought=bought)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "p000012" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    got = {r.scanId: [(p.productId, round(p.score, 6)) for p in r.products] for r in found.collect()}
+    assert got["s1"] == [(f"p{12 * k:06d}", 1.7) for k in range(5)]
+    # four of the best are free, then hydration with clarity (0.9): ids that are 4 or 8 modulo 12
+    assert got["s2"] == [("p000024", 1.7), ("p000036", 1.7), ("p120000", 1.7), ("p240000", 1.7), ("p000004", 0.9)]
+
+
 def test_empty_and_inactive_catalogue(spark):
     snaps = spark.createDataFrame([("c", "s", 1, {"hydration": 1.0})], SNAP_DDL)
     off = spark.createDataFrame([("p", 1, "UPSERT", False, ["HYDRATION"], [])], CATALOG_DDL)
