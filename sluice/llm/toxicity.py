@@ -8,16 +8,20 @@ go through a logistic calibration fitted on labelled documents that the dictiona
 not seen.
 
 Labels mark documents, while few of a toxic document's words are toxic. What counts as toxic
-text is therefore the labelled documents' words that are far more frequent, by document,
-among toxic ones (log-likelihood ratio, tested with a correction for the number of words, so
-a rare word counts whatever the ratios of others are); the toxic dictionary holds all of
-them. Both dictionaries share the ordinary training result as their nearer part, so that an
-ordinary window compresses alike with both and its margin stays near zero. They are used as
-raw content: windows are too short for stored entropy tables to pay.
+text is therefore what the labelled documents say in words that are far more frequent, by
+document, among toxic ones (log-likelihood ratio, tested with a correction for the number of
+words, so a rare word counts whatever the ratios of others are). The words of all windows of
+all sampled documents are counted in Spark. The toxic dictionary is trained on the toxic
+documents' *toxic excerpts*, those words in the order in which a document first has them; the
+ordinary one on windows of ordinary documents. Both share the ordinary training result as
+their nearer part, so that an ordinary window compresses alike with both and its margin stays
+near zero. They are used as raw content: windows are too short for stored entropy tables to
+pay.
 
 The fit uses a sample of labelled documents of about ``SAMPLE_DOCS`` per class (chosen by a
-hash of the id) and at most ``SAMPLE_WINDOWS`` windows of each for the dictionaries; copies
-count once, and a word counts once per label in a group of near copies. Scoring reads every text whole.
+hash of the id), whole, and about ``ORDINARY_WINDOWS`` of the ordinary ones' windows, chosen
+by a hash among all of them. Copies count once (of a toxic and an ordinary copy the toxic one),
+and a word counts once per label in a group of near copies. Scoring reads every text whole.
 
 Defined cases: null and empty texts have no window and get the score of a text without any
 margin; without labels of both classes the score is the share of toxic labels (0 if there
@@ -39,11 +43,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
 from .base import filter_rows, over_texts, ship
+from .samples import turn
 
 ship(__name__)
 
-SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 128
-WINDOW, ORDINARY_BYTES = 48, 32768
+SAMPLE_DOCS, ORDINARY_WINDOWS = 2000, 40_000
+WINDOW, ORDINARY_BYTES, TOXIC_BYTES = 48, 32768, 8192
+#: Lengths of the segments and of the strings by which training picks the toxic dictionary's content.
+SEGMENT_BYTES, STRING_BYTES = 48, 8
 #: A word is taken as toxic from this log-likelihood ratio on, if chance gives less than so many such words among all that are tested.
 LEAST_RATIO, FALSE_WORDS = 15.0, 0.01
 #: Near copies are found by least hashes of their five-word runs: those that share all values of a band.
@@ -90,43 +97,42 @@ class Margins:
         return [*counts, float(max(0, *seen, 0)), math.log1p(seen.total())]
 
 
-def toxic_words(excerpts: list[tuple[int, int, list[bytes]]]) -> list[str]:
-    """Words that speak clearly for the toxic class, from (label, group, parts) of documents;
-    a group's documents count as one per label."""
-    groups: dict[tuple[int, int], set] = {}
-    for label, group, parts in excerpts:
-        groups.setdefault((label, group), set()).update(w for part in parts for w in WORD.findall(part.decode()))
-    within: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    size = {0: 0, 1: 0}
-    for (label, _), words in groups.items():
-        size[label] += 1
-        within[label].update(words)
-    if not size[0] or not size[1]:
+def words_of(text: str) -> list[str]:
+    """The words of all windows, in the order in which the text first has them."""
+    return list(dict.fromkeys(w for window in windows(text) for w in WORD.findall(window.decode())))
+
+
+def toxic_words(words: DataFrame) -> list[str]:
+    """Words that speak clearly for the toxic class, from rows (label, near_group, word) of
+    documents; a group's documents count as one per label."""
+    once = words.distinct()
+    sizes = {r["label"]: r["n"] for r in once.groupBy("label").agg(F.count_distinct("near_group").alias("n")).collect()}
+    ordinary, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    if not ordinary or not toxic:
         return []
-    share = size[1] / (size[0] + size[1])
-    ratios = {}
-    for word, a in within[1].items():
-        b = within[0][word]
-        if a * size[0] > 2 * b * size[1]:
-            ratios[word] = 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0))
-    chance = FALSE_WORDS / max(1, len(within[1]))
-    found = [w for w, r in ratios.items() if r >= LEAST_RATIO and math.erfc(math.sqrt(r / 2)) <= chance]
-    return sorted(found, key=lambda w: (ratios[w], w))
-
-
-def trained(samples: list[bytes], size: int) -> bytes:
+    share, a, b = toxic / (ordinary + toxic), F.col("a"), F.col("b")
+    counts = once.groupBy("word").agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("label") == 0, 1).otherwise(0)).alias("b")).where("a > 0")
+    of_ordinary = F.when(b > 0, b * F.log(b / ((a + b) * (1 - share)))).otherwise(0.0)
+    counts = cut_lineage(counts.withColumn("ratio", 2 * (a * F.log(a / ((a + b) * share)) + of_ordinary)))
+    chance = FALSE_WORDS / max(1, counts.count())
+    likely = counts.where((a * ordinary > 2 * b * toxic) & (F.col("ratio") >= LEAST_RATIO)).select("word", "ratio").collect()
+    return sorted(r["word"] for r in likely if math.erfc(math.sqrt(r["ratio"] / 2)) <= chance)
+
+
+def trained(samples: list[bytes], size: int, **how: int) -> bytes:
     """The content of a dictionary trained on the samples; with too few of them for
     training, the distinct samples themselves."""
     try:
-        learned = zstandard.train_dictionary(size, samples).as_bytes()
+        learned = zstandard.train_dictionary(size, samples, **how).as_bytes()
     except zstandard.ZstdError:
         learned = b""
     return learned or b"".join(dict.fromkeys(samples))[-size:]
 
 
-def dictionaries(excerpts: list[tuple[int, int, list[bytes]]]) -> tuple[bytes, bytes]:
-    ordinary = trained([part for label, _, parts in excerpts if label == 0 for part in parts], ORDINARY_BYTES)
-    return ordinary, b"".join(f" {w} ".encode() for w in toxic_words(excerpts)) + ordinary
+def dictionaries(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary, from ordinary windows and toxic excerpts."""
+    base = trained(ordinary, ORDINARY_BYTES)
+    return base, trained(toxic, TOXIC_BYTES, k=SEGMENT_BYTES, d=STRING_BYTES) + base
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -184,24 +190,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = {"share": toxic / max(1, ordinary + toxic), "weights": None}
     if not ordinary or not toxic:
         return model
-    turn = F.pmod(F.xxhash64("key"), F.lit(1_000_000))
-    chosen = usable.where(turn < F.when(F.col("label") == 1, 1e6 * sample_docs / toxic).otherwise(1e6 * sample_docs / ordinary))
+    chosen = usable.where(turn(F.col("key")) < F.when(F.col("label") == 1, sample_docs / toxic).otherwise(sample_docs / ordinary))
     narrow = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     sample = cut_lineage(narrow.join(F.broadcast(chosen), "key").withColumn("third", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(3))))
 
-    def excerpts() -> Callable[[list, list, list], dict]:
-        def take(texts: list, *_: list) -> dict:
-            parts = [sorted(windows(text, WINDOW), key=crc32)[:SAMPLE_WINDOWS] for text in texts]
-            return {"near": [near_copy_key(text) for text in texts], "bands": [bands(text) for text in texts], "parts": parts}
+    def signatures() -> Callable[[list, list], dict]:
+        return lambda texts, _: {"near": [near_copy_key(t) for t in texts], "bands": [bands(t) for t in texts], "words": [words_of(t) for t in texts], "body": texts}
+
+    first = over_texts(sample.where("third > 0"), "label", "text", signatures, "near long, bands array<string>, words array<string>, body string", "key")
+    # of copies the toxic one, and of those one that does not depend on the order of rows
+    one = F.min_by(F.struct("label", "bands", "words", "body"), F.struct(-F.col("label"), F.md5("body")))
+    taken = cut_lineage(first.groupBy("near").agg(one.alias("d")).select("near", "d.*"))
+    rows = taken.select("near", "bands").orderBy("near").collect()
+    groups = taken.sparkSession.createDataFrame(list(zip([r["near"] for r in rows], copy_groups([r["bands"] for r in rows]))), "near long, near_group long")
+    chosen_words = toxic_words(taken.join(F.broadcast(groups), "near").select("label", "near_group", F.explode("words").alias("word")))
+    known = set(chosen_words)
+
+    def excerpts() -> Callable[[list], dict]:
+        return lambda texts: {"excerpt": [f" {' '.join(w for w in words_of(t) if w in known)} ".encode() for t in texts]}
+
+    said = over_texts(taken.where("label = 1"), "near", "body", excerpts, "excerpt binary").where(F.length("excerpt") > 2).orderBy("excerpt")
 
-        return take
+    def cut() -> Callable[[list], dict]:
+        return lambda texts: {"windows": [list(windows(t, WINDOW)) for t in texts]}
 
-    first = sample.where("third > 0").select("label", "text")
-    taken = over_texts(first, "label", "text", excerpts, "near long, bands array<string>, parts array<binary>").dropDuplicates(["near"])
-    rows = taken.orderBy("near").collect()
-    picked = [(r["label"], group, [bytes(p) for p in r["parts"]]) for r, group in zip(rows, copy_groups([r["bands"] for r in rows]))]
-    model["ordinary"], model["toxic"] = dictionaries(picked)
-    measured = features(sample.where("third = 0"), model, "label", "text").collect()
+    plain = cut_lineage(over_texts(taken.where("label = 0"), "near", "body", cut, "windows array<binary>").select("near", F.posexplode("windows").alias("at", "window")))
+    some = plain.where(turn(F.col("near"), F.col("at")) < ORDINARY_WINDOWS / max(1, plain.count())).orderBy("near", "at")
+    model["ordinary"], model["toxic"] = dictionaries([bytes(r["window"]) for r in some.select("window").collect()], [bytes(r["excerpt"]) for r in said.collect()])
+    measured = sorted(features(sample.where("third = 0"), model, "label", "text").collect(), key=lambda r: (r["label"], r["features"]))
     y = np.array([r["label"] for r in measured], float)
     if 0 < y.sum() < len(y):
         weights = logistic(np.array([r["features"] for r in measured]), y)

@@ -1,5 +1,6 @@
 """Toxicity, quality and language: held-out accuracy; fertility rules against brute force."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -20,17 +21,40 @@ def tables():
 
 
 def test_toxicity_held_out(spark, tables):
+    """On labels that the fit has not seen. About a third of the few toxic labels here mark
+    documents without any toxic word, which nothing in the text tells."""
     documents, labels = tables
     rows = queries.QUERIES["op9_toxicity"](spark, SF).collect()
     assert len(rows) == len(documents)
+    held = [(r["score"], r["predicted"], labels[r["doc_id"]][2]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = [s for s, _, y in held if y], [s for s, _, y in held if not y]
+    auc = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean) / (len(toxic) * len(clean))
+    assert auc >= 0.75 and sum(p and not y for _, p, y in held) <= 0.02 * len(held)
+    assert sum(p for _, p, y in held if y) >= 0.6 * len(toxic)
     insults = re.compile(r"\b(idiot|stupid|moron|loser|pathetic|clown|trash|scum|worthless|disgusting)\b")
-    toxic = {name for name, row in documents.items() if insults.search(row[1].lower())}
+    said = {name for name, row in documents.items() if insults.search(row[1].lower())}
     predicted = {r["doc_id"] for r in rows if r["predicted"]}
-    assert len(predicted & toxic) >= 0.8 * len(toxic) and len(predicted - toxic) <= 0.03 * len(documents)
+    assert len(predicted & said) >= 0.8 * len(said) and len(predicted - said) <= 0.03 * len(documents)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
-def test_toxicity_words_of_uneven_frequency():
+def test_toxicity_scores_by_hand(spark, make, tables):
+    """The score of each text from compressed lengths of each of its windows; two fits agree."""
+    documents, labels = tables
+    texts = [row[1] for row in list(documents.values())[:400]]
+    labelled = spark.createDataFrame([(k, labels[name][2]) for k, name in enumerate(list(documents)[:400], 1) if name in labels], "doc_id long, toxic int")
+    docs = make(texts)
+    model = toxicity.fit(docs, labelled)
+    assert model == toxicity.fit(docs.repartition(5), labelled.repartition(3))
+    pack = [toxicity.compressor(model[k]) for k in ("ordinary", "toxic")]
+    *weights, intercept = model["weights"]
+    for r in toxicity.score_toxicity(docs, model).collect():
+        margins = [len(pack[0].compress(w)) - len(pack[1].compress(w)) for w in toxicity.windows(texts[r["doc_id"] - 1])]
+        values = [math.log1p(sum(m >= least for m in margins)) for least in toxicity.MARGINS] + [max([0, *margins]), math.log1p(len(margins))]
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-sum(w * v for w, v in zip(weights, values)) - intercept)), abs=1e-9)
+
+
+def test_toxicity_words_of_uneven_frequency(spark):
     dealt = random.Random(4)
     plain = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
     name = lambda k: "bad" + "".join(chr(97 + k // 26 ** j % 26) for j in range(8))
@@ -39,21 +63,37 @@ def test_toxicity_words_of_uneven_frequency():
     for word in rare:
         for k in dealt.sample(range(300), 14):
             has[k].add(word)
-    excerpts = [(int(k < 300), k, [f" {' '.join([*dealt.sample(plain, 20), *sorted(words)])} ".encode()]) for k, words in enumerate(has)]
-    ordinary, toxic = toxicity.dictionaries(excerpts)
-    assert set(toxicity.toxic_words(excerpts)) == {"hot", *rare}
-    assert all(f" {w} ".encode() in toxic for w in ("hot", *rare)) and toxic.endswith(ordinary)
+    rows = [(int(k < 300), k, w) for k, words in enumerate(has) for w in {*dealt.sample(plain, 20), *words}]
+    assert toxicity.toxic_words(spark.createDataFrame(rows, "label int, near_group long, word string")) == sorted(["hot", *rare])
+
+
+def test_toxicity_dictionaries_are_trained_on_text():
+    dealt = random.Random(7)
+    bad, plain = [f"bad{k}word" for k in range(30)], [f"plain{k}" for k in range(200)]
+    excerpts = [f" {' '.join(dealt.sample(bad, 4))} ".encode() for _ in range(300)]
+    ordinary, toxic = toxicity.dictionaries([f" {' '.join(dealt.sample(plain, 5))} ".encode() for _ in range(500)], excerpts)
+    assert toxic.endswith(ordinary) and sum(w.encode() in toxic for w in bad) >= 27 and not any(w.encode() in ordinary for w in bad)
 
 
-def test_toxicity_near_copies_count_once():
+def test_toxicity_near_copies_count_once(spark):
     dealt = random.Random(5)
     base = [f"w{dealt.randrange(10**6)}" for _ in range(200)]
     copies = [" ".join(w if dealt.random() > 0.01 else f"x{dealt.randrange(10**6)}" for w in base) for _ in range(40)]
     others = [" ".join(f"w{dealt.randrange(10**6)}" for _ in range(200)) for _ in range(40)]
     groups = toxicity.copy_groups([toxicity.bands(text) for text in copies + others])
     assert len(set(groups[:40])) == 1 and len(set(groups[40:])) == 40
-    excerpts = [(1, g, [b" copied word "]) for g in groups[:40]] + [(0, 1000 + k, [b" other word "]) for k in range(200)]
-    assert toxicity.toxic_words(excerpts) == []
+    rows = [(1, g, w) for g in groups[:40] for w in ("copied", "word")] + [(0, 1000 + k, w) for k in range(200) for w in ("other", "word")]
+    assert toxicity.toxic_words(spark.createDataFrame(rows, "label int, near_group long, word string")) == []
+
+
+def test_toxicity_reads_long_documents_whole(spark):
+    """A toxic word behind 5,000 words of each toxic document is learnt."""
+    dealt = random.Random(6)
+    text = lambda n: " ".join(f"word{dealt.randrange(300)}" for _ in range(n))
+    rows = [(k, f"{text(5000)} vileword {text(50)}" if k % 2 else text(5050)) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(120)], "doc_id long, toxic int"))
+    assert b"vileword" in model["toxic"] and b"vileword" not in model["ordinary"]
 
 
 def test_windows_cover_all_words():
