@@ -8,27 +8,40 @@ words in a row (all of the item's words, if it has fewer) agree in at least ``AG
 their places. Substituted words are thus tolerated wherever they fall; the masks differ so
 that one of them meets unchanged words.
 
+Any overlap that agrees in so many places is found: among 13 words in a row with at most two
+others, or 7 to 12 with as many others as the share allows, one of the masks picks none of
+them (a test goes through all cases).
+
+Where words repeat, the same alignment comes from many common hashes: alignments are made
+distinct in bounded steps, so a text and an item have no more of them than words together,
+and each is compared once.
+
 The benchmark side is cut into blocks of about ``BLOCK_WORDS`` words. A block's seeds go to
 the tasks and all documents are read against them, so what is broadcast is bounded however
 large the benchmark; documents are not shuffled. Items with the same words are looked up
-once and named by their smallest id.
+once; the ids of all of them are joined to what is found, so the result does not depend on
+the blocks.
 
 Defined cases: null and empty texts leak nothing; items of fewer than ``LEAST_WORDS`` words
 (null and empty ones too) are no evidence and match nothing; items of up to 7 words must
-agree in all places; repeated items count as one, repeated documents give their rows again;
+agree in all places; items with the same words are each named, rows of the same item once;
+items without an id are left out; repeated documents give their rows again;
 an empty benchmark gives no rows; texts of any length are handled in overlapping pieces.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..session import cut_lineage
 from .base import filter_rows, pieces, ship
 
 ship(__name__)
@@ -39,6 +52,8 @@ SPAN, AGREE, LEAST_WORDS = 13, 0.8, 5
 BLOCK_WORDS = 200_000
 #: Longer items and documents are handled in parts of this many words that overlap by a span.
 PART_WORDS, TEXT_WORDS = 512, 200_000
+#: Pairs of places with a common hash that are looked at together.
+STEP_HITS = 1_000_000
 WORD = re.compile(r"\w+")
 
 
@@ -94,17 +109,26 @@ class SeedIndex:
 
     def _aligned(self, ids: np.ndarray) -> np.ndarray:
         """Distinct (item, document place minus item place) of all common hashes."""
-        found = []
+        found, shift_by = np.empty(0, np.int64), PART_WORDS
         for places, (hashes, of_item, at) in zip(self.places, self.seeds):
             starts, own = seed_hashes(ids, places)
             if not len(own) or not len(hashes):
                 continue
             low, high = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
             hit = np.flatnonzero(high > low)
-            counts = (high - low)[hit]
-            which = np.repeat(low[hit] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum()) if len(hit) else np.empty(0, np.int64)
-            found.append(np.stack([of_item[which], np.repeat(starts[hit], counts) - at[which]], axis=1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+            ends = np.cumsum((high - low)[hit])
+            begin = 0
+            while begin < len(hit):  # some hits at a time, about ``STEP_HITS`` pairs
+                before = int(ends[begin - 1]) if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, before + STEP_HITS, "right")))
+                step = hit[begin:end]
+                counts = (high - low)[step]
+                which = np.repeat(low[step] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+                pairs = (of_item[which].astype(np.int64) << 32) + np.repeat(starts[step], counts) - at[which] + shift_by
+                found = pd.unique(np.concatenate([found, pd.unique(pairs)]))
+                begin = end
+        found.sort()
+        return np.stack([found >> 32, (found & 0xFFFFFFFF) - shift_by], axis=1)
 
     def _overlap(self, ids: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
         """First word in the document, length and agreeing words of the leaked part, if any."""
@@ -137,23 +161,32 @@ class SeedIndex:
         return best
 
 
-def blocks(items: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[str]]]]:
-    """The distinct items of at least ``LEAST_WORDS`` words, block by block; each block is
-    bounded by ``block_words`` on average, one item apart."""
-    as_words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"([\p{L}\p{N}_\p{M}]+)"), 1)
-    plain = items.select(F.col(id_col).alias("name"), F.col(text_col).alias("text"), F.size(as_words).alias("n")).where("n > 0 AND name IS NOT NULL")
-    plain = plain.groupBy("text").agg(F.min("name").alias("name"), F.first("n").alias("n"))
+def keyed_items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """name, words (joined), n and a digest of the words, of the items with an id and at least
+    ``LEAST_WORDS`` words."""
+    kind = items.schema[id_col].dataType.simpleString()
+    narrow = items.select(F.col(id_col).alias("name"), F.col(text_col).cast("string").alias("text")).where("name IS NOT NULL")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            own = [words(text) for text in piece.column(1).to_pylist()]
+            joined = [" ".join(w) for w in own]
+            columns = [piece.column(0), pa.array(joined, pa.string()), pa.array(map(len, own), pa.int64()), pa.array([hashlib.md5(j.encode()).digest() for j in joined], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "words", "n", "key"])
+
+    return narrow.mapInArrow(run, f"name {kind}, words string, n long, key binary").where(F.col("n") >= LEAST_WORDS)
+
+
+def blocks(keyed: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[str]]]]:
+    """The items with different words, block by block, under the smallest of their ids; each
+    block is bounded by ``block_words`` on average, one item apart."""
+    plain = keyed.groupBy("key").agg(F.min("name").alias("name"), F.first("words").alias("words"), F.first("n").alias("n"))
     total = plain.agg(F.sum("n")).first()[0] or 0
-    count = max(1, -(-total // block_words))
+    count = -(-total // block_words)
     for k in range(count):
-        rows = plain.where(F.pmod(F.xxhash64("text"), F.lit(count)) == k).select("name", "text").collect()
-        named: dict[tuple, int] = {}
-        for row in rows:
-            key = tuple(words(row["text"]))
-            if len(key) >= LEAST_WORDS:
-                named[key] = min(row["name"], named.get(key, row["name"]))
-        if named:
-            yield sorted((name, list(key)) for key, name in named.items())
+        rows = plain.where(F.pmod(F.xxhash64("key"), F.lit(count)) == k).select("name", "words").collect()
+        if rows:
+            yield sorted((row["name"], row["words"].split(" ")) for row in rows)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -162,8 +195,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     schema = f"id {kind.simpleString()}, item {item_kind.simpleString()}, start_word int, n_words int, n_equal int"
     types = [to_arrow_type(kind), to_arrow_type(item_kind), pa.int32(), pa.int32(), pa.int32()]
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    result = None
-    for block in blocks(items, item_id, item_text, block_words):
+    result, keyed = None, cut_lineage(keyed_items(items, item_id, item_text))
+    for block in blocks(keyed, block_words):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -179,12 +212,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         result = part if result is None else result.union(part)
     if result is None:
         result = docs.sparkSession.createDataFrame([], schema)
+    names = keyed.groupBy("key").agg(F.min("name").alias("item")).join(keyed, "key").select("item", "name").distinct().where("item != name")
+    if not names.isEmpty():  # other items with the same words
+        others = result.join(names, "item").select("id", F.col("name").alias("item"), "start_word", "n_words", "n_equal")
+        result = result.union(others)
     return result.withColumnsRenamed({"id": id_col, "item": item_id})
 
 
 def drop_leaking(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents, with all columns, that leak no item."""
-    for block in blocks(items, item_id, item_text, block_words):
+    for block in blocks(cut_lineage(keyed_items(items, item_id, item_text)), block_words):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def make(sent=sent) -> Callable[[list], list]:
