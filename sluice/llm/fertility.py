@@ -40,7 +40,8 @@ MEASURES = ("chars_per_token", "fallback_share", "entropy")
 WIDTH, LEAST_DOCS = 3.0, 30
 #: Bands are at least this far to either side of the middle half.
 LEAST_BREADTH = {"chars_per_token": 0.25, "fallback_share": 0.02, "entropy": 0.25}
-MEMO_WORDS = 300_000
+#: Words that are remembered, and the longest of them.
+MEMO_WORDS, MEMO_BYTES = 300_000, 64
 #: Bands (a row per language and length class) are broadcast up to this many rows.
 BROADCAST_BANDS = 20_000
 
@@ -70,7 +71,7 @@ class WordTokens:
             learned = {w: np.array(e, np.uint16).tobytes() for w, e in zip(unknown, encoded)}
             if len(self.memo) + len(learned) > self.limit:
                 self.memo = {}
-            self.memo.update(learned)
+            self.memo.update((w, value) for w, value in learned.items() if len(w) <= MEMO_BYTES)
             found = [learned[w] if value is None else value for w, value in zip(words, found)]
         return np.frombuffer(b"".join(found), np.uint16)
 

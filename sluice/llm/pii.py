@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .base import change_text, over_texts, ship
+from .samples import turn
 
 ship(__name__)
 
@@ -243,8 +244,8 @@ def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
     """Trees and a threshold per kind; None where the sample has nothing to learn from."""
     texts = docs.select(F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     total = texts.count()
-    turn = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    sample = texts.where(turn < F.lit(1e6 * sample_docs / max(1, total))).select(F.lit(0).alias("id"), "text")
+    # copies share a hash, so they are chosen together; they collapse before anything is taken from them
+    sample = texts.where(turn(F.col("text")) < F.lit(sample_docs / max(1, total))).distinct().select(F.lit(0).alias("id"), "text")
 
     def make() -> Callable[[list], dict]:
         def take(texts: list) -> dict:
@@ -260,7 +261,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
         return take
 
     taken = over_texts(sample, "id", "text", make, "places array<string>").select(F.explode("places").alias("place"))
-    taken = taken.select(F.from_json("place", "around string, start int, length int, kind string").alias("p")).select("p.*")
+    taken = taken.select(F.from_json("place", "around string, start int, length int, kind string").alias("p")).select("p.*").distinct()
     places = sorted({(r["around"], r["start"], r["start"] + r["length"], r["kind"]) for r in taken.collect()})
     x, y, half = examples(places)
     if not len(y) or not 0 < y[half == 0].sum() < (half == 0).sum():

@@ -33,6 +33,8 @@ ship(__name__)
 
 #: Units that a task remembers before it starts again from the proven tokens.
 MEMO_UNITS = 150_000
+#: Longer units are merged each time they occur, so that the memo's bytes are bounded too.
+MEMO_CHARS = 64
 #: A text above this many characters is handled in segments of about this length.
 SEGMENT_CHARS = 1_000_000
 LIMIT = 1024
@@ -154,7 +156,7 @@ class UnitEncoder:
             values = [self._one(self._ids(" " + unit)) for unit in units]
         if len(self.memo) + len(units) > self.limit:
             self.memo = dict(self.shortcut)
-        self.memo.update(zip(units, values))
+        self.memo.update((unit, value) for unit, value in zip(units, values) if len(unit) <= MEMO_CHARS)
         return values
 
     def _segments(self, text: str) -> Iterator[tuple[bool, str]]:

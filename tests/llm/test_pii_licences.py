@@ -3,11 +3,12 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from sluice.llm import licences, pii
+from sluice.llm import licence_texts, licences, pii
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -98,13 +99,46 @@ def test_licences(spark, odd, none, make):
     other = "MIT Licence\n\nCopyright (c) 2020 Ann\n(c) 2021 Bo\nAll rights reserved.\n\n" + mit.upper().replace(",", " ,").replace("\n", "\r\n")
     docs = make([other, mit + " and more", "text\nreleased under the mit licence!\n", "Copyright 2020 x", "licensed under CC-BY 4.0"])
     got = sorted((r["doc_id"], r["unit"], r["line"], r["licence"]) for r in licences.find_licences(docs, known).collect())
-    assert got == [(1, "text", 0, "MIT"), (3, "line", 2, "MIT"), (5, "line", 1, "CC-BY-4.0"), (5, "text", 0, "CC-BY-4.0")]
+    assert got == [(1, "block", 3, "MIT"), (1, "block", 4, "MIT"), (1, "block", 5, "MIT"), (1, "text", 0, "MIT"), (2, "block", 1, "MIT"), (2, "block", 2, "MIT"), (3, "line", 2, "MIT"), (5, "line", 1, "CC-BY-4.0"), (5, "text", 0, "CC-BY-4.0")]
     assert licences.find_licences(odd, known).count() == 0 and licences.find_licences(none, known).count() == 0
     assert licences.find_licences(docs, known.limit(0)).count() == 0
 
 
+PUBLISHED = {
+    "Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0", "GFDL-1.3": "GFDL-1.3", "Artistic": "Artistic-1.0-Perl",
+}
+
+
+def test_full_published_texts(spark, make):
+    files = {name: Path("/usr/share/common-licenses", file) for file, name in PUBLISHED.items()}
+    found = [(name, path.read_text()) for name, path in files.items() if path.exists()]
+    if not found:
+        pytest.skip("no published texts on this machine")
+    docs = make([text.upper().replace("LICENSE", "LICENCE") for _, text in found] + [text + " more" for _, text in found])
+    got = {r["doc_id"]: r["licence"] for r in licences.find_licences(docs, licences.known_licences(spark)).where("unit = 'text'").collect()}
+    assert got == {k: name for k, (name, _) in enumerate(found, 1)}
+
+
+def test_notices_inside_other_files(spark, make):
+    apache = next(text for name, text in licences.LICENCES if name == "Apache-2.0" and "\n\n" in text)
+    commented = "\n".join("# " + line for line in apache.split("\n"))
+    code = f"#!/bin/sh\n#\n# Copyright 2020 Ann\n#\n{commented}\n\necho done\n"
+    got = [(r["unit"], r["licence"]) for r in licences.find_licences(make([code, "two lines\nof other text\n\n\n\nend"]), licences.known_licences(spark)).collect()]
+    assert got and set(got) == {("block", "Apache-2.0")}
+
+
+def test_shared_blocks_name_no_licence(spark):
+    names: dict = {}
+    for r in licences.known_digests(licences.known_licences(spark)).where("unit = 'block'").collect():
+        names.setdefault(r["digest"], []).append(r["licence"])
+    bsd = licences.canonical(licences.F.lit(licence_texts.BSD_DISCLAIMER))
+    shared = spark.range(1).select(licences.F.sha2(bsd, 256).alias("d")).first()["d"]
+    assert shared not in names and all(len(n) == 1 for n in names.values())
+
+
 def test_every_known_text_has_its_own_digest(spark):
-    rows = licences.known_licences(spark).withColumn("digest", licences.digest(licences.F.col("text"))).collect()
+    rows = licences.known_licences(spark).withColumn("digest", licences.F.coalesce("digest", licences.digest(licences.F.col("text")))).collect()
     names: dict = {}
     for r in rows:
         names.setdefault(r["digest"], set()).add(r["licence"])
@@ -118,3 +152,15 @@ def test_every_disguise_alone_is_proposed():
     for text in texts:
         assert [kind for kind, *_ in pii.proposals(text)] == ["email"], text
     assert pii.proposals("we met at noon. then home") == [] and pii.proposals("see you at example.org") == []
+
+
+def test_copies_collapse_before_places_are_taken(spark, monkeypatch):
+    """20,000 copies of a page with an address: what reaches the driver is that of one of them."""
+    collected = []
+    plain = pii.examples
+    monkeypatch.setattr(pii, "examples", lambda places: collected.append(len(places)) or plain(places))
+    page = "write to ann@example.org or call +1 555 123 4567, invoice 12345678"
+    docs = spark.range(20_000).select(pii.F.lit(page).alias("text"))
+    pii.fit(docs, sample_docs=10**6)
+    pii.fit(docs.limit(1), sample_docs=10**6)
+    assert collected[0] == collected[1] <= 10

@@ -91,3 +91,10 @@ def test_packings_are_whole_and_near_the_bound(low, high):
     assert sorted(p for b in bins for p in b) == list(range(400))
     assert all(lengths[b].sum() <= 2048 for b in bins)
     assert packing.least_bins(lengths, 2048) <= len(bins) <= len(packing.best_fit(lengths, 2048))
+
+
+def test_memos_hold_no_long_units(library):
+    encoder = tokens.UnitEncoder(tokens.tokenizer_path(), tokens.as_counts)
+    text = " ".join(random.Random(k).choice("漢字仮名") * (50 + k) for k in range(60))
+    assert sum(encoder.values(text)) == len(library.encode(text, add_special_tokens=False).ids)
+    assert max(map(len, encoder.memo)) <= max(tokens.MEMO_CHARS, max(map(len, encoder.shortcut)))
