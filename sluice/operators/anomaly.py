@@ -14,12 +14,14 @@ from ..functions.numbers import as_double, field_or_null
 from ..session import cut_lineage
 from .dedup import with_position
 from .ordered import CHUNK, HOT_ROWS, Split, before_chunk, hot_only, split_hot_keys
+from .rolling import STATS, rolling_stats
 from .verdict import ANOMALY, FAILURES, LIVE, POSITION, append_failure, failure, with_verdict
 
 DETECTOR = "AnomalyDetector"
 MINIMUM_SAMPLES = 5
 KEY = "_anomaly_key"
-_VALUE, _N, _MEAN, _SD, _FLAG, _HALO = "_value", "_n", "_mean", "_sd", "_flag", "_halo"
+_N = STATS[0]
+_VALUE, _MEAN, _SD, _FLAG, _HALO = "_value", "_mean", "_sd", "_flag", "_halo"
 _QUARTILES = "_quartiles"
 
 
@@ -135,17 +137,13 @@ def _with_halo(split: Split, rows_before: int) -> DataFrame:
 
 
 def _rolling(split: Split, rule: AnomalyRule) -> Split:
-    """Statistics of the last ``rule.rows`` earlier samples. Rows without a value
-    go to a group of their own, so they take no place in the frame."""
+    """Statistics of the last ``rule.rows`` earlier samples; rows without a value are none."""
     rows = _with_halo(split, rule.rows) if split.hot else split.rows
-    frame = split.window(F.col(_VALUE).isNull()).rowsBetween(-rule.rows, -1)
-    value = F.col(_VALUE)
-    stats = {_N: F.count(value).over(frame)}
-    if rule.method == "IQR_EXACT":
-        stats[_QUARTILES] = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).over(frame)
-    else:
-        stats |= {_MEAN: F.avg(value).over(frame), _SD: F.stddev_samp(value).over(frame)}
-    rows = rows.withColumns(stats)
+    exact = rule.method == "IQR_EXACT"
+    rows = rolling_stats(rows, split.groups, list(split.order), _VALUE, rule.rows, exact)
+    n, a, b = (F.col(name) for name in STATS)
+    stats = {_QUARTILES: F.array(a, b)} if exact else {_MEAN: a, _SD: F.when(n > 1, F.sqrt(b / (n - 1)))}
+    rows = rows.withColumns(stats).drop(*STATS[1:])
     return split.with_rows(rows.where(~F.col(_HALO)).drop(_HALO) if split.hot else rows)
 
 

@@ -60,9 +60,10 @@ def dedup_stream(df: DataFrame, keys: list[str], ttl_hours: float = 24, time: st
 
 def detect_anomalies_stream(
     df: DataFrame, rules: list[AnomalyRule], stream_key: str = "", key: str | None = None,
-    time: str = "eventTime", position: str | None = None,
+    time: str = "eventTime", position: str | None = None, expire_ms: int | None = None,
 ) -> DataFrame:
-    """As ``operators.anomaly.detect_anomalies``."""
+    """As ``operators.anomaly.detect_anomalies``. With ``expire_ms`` a key's state goes so long
+    after its newest row, in event time; the input then needs a watermark."""
     df = with_verdict(df)
     if not rules:
         return df
@@ -75,10 +76,10 @@ def detect_anomalies_stream(
         for r in rules
     ]
     rows = df.groupBy("_anomaly_key").transformWithState(
-        statefulProcessor=AnomalyProcessor(time, position, LIVE, "_values", plain),
+        statefulProcessor=AnomalyProcessor(time, position, LIVE, "_values", plain, expire_ms),
         outputStructType=_plus(df, "_flags", T.ArrayType(T.BooleanType())),
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime" if expire_ms else "None",
     )
     for i, rule in enumerate(rules):
         flagged = F.get(F.col("_flags"), i)

@@ -1,6 +1,7 @@
 """Stateful processors for ``transformWithState``.
 
-State per key is a few numbers (dedup, anomaly) or one open snapshot. Within a
+State per key is a few numbers (dedup, anomaly), the last values of windowed rules, or one
+open snapshot. Within a
 micro-batch a key's rows are put in (time, position) order here, because a
 shuffle does not keep order; how many rows that can be is bounded by the
 source's per-trigger limit (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
@@ -10,15 +11,16 @@ are equal for input that arrives in order.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.anomaly import MINIMUM_SAMPLES
+from ..operators.rolling import merged, quartiles, running, window_moments
 from ..session import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -73,75 +75,87 @@ class DedupProcessor(StatefulProcessor):
 
 
 class AnomalyProcessor(StatefulProcessor):
-    """Adds one flag per rule. Holds count, mean and squared deviations per
-    rule, and the last values where a rule looks at a window of them."""
+    """Adds one flag per rule. Holds count, mean and squared deviations per rule without a
+    window, and for rules with one their last values: a list per rule to which a micro-batch
+    only adds, until it is twice as long as the window and is cut. The rows of a micro-batch
+    go through the kernel that tables use, rule by rule. ``expire_ms`` after a key's newest row,
+    in event time, its state goes; without it state stays."""
 
-    def __init__(self, time: str, position: str, live: str, values: str, rules: list[dict[str, Any]]) -> None:
+    def __init__(self, time: str, position: str, live: str, values: str, rules: list[dict[str, Any]], expire_ms: int | None = None) -> None:
         self.time, self.position, self.live, self.values, self.rules = time, position, live, values, rules
+        self.expire_ms = expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.moments = handle.getValueState("moments", "m array<double>")
-        self.recent = handle.getValueState("recent", "r array<array<double>>")
+        self.handle = handle
+        self.moments = handle.getMapState("moments_of_rule", "rule int", "n double, mean double, squares double")
+        self.recent = [handle.getListState(f"recent_{i}", "value double") if rule["rows"] else None for i, rule in enumerate(self.rules)]
+        self.due = handle.getValueState("expires", "at bigint") if self.expire_ms else None
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        count = len(self.rules)
-        windowed = any(rule["rows"] for rule in self.rules)
-        stored, kept = self.moments.get(), self.recent.get() if windowed else None
-        moments = list(stored[0]) if stored else [0.0] * (3 * count)
-        recent = [list(r) for r in kept[0]] if kept else [[] for _ in self.rules]
-        for row in in_order(rows, self.time, self.position):
-            flags, live = [False] * count, row[self.live]
-            for i, rule in enumerate(self.rules):
-                value = row[self.values][i]
-                if not live or value is None:
-                    continue
-                flags[i] = self._outside(rule, value, moments[3 * i : 3 * i + 3], recent[i])
-                self._learn(rule, value, moments, recent, i)
-                if flags[i] and rule["suppress"]:
-                    live = False
-            yield extended(row, "_flags", flags)
-        self.moments.update((moments,))
-        if windowed:
-            self.recent.update((recent,))
-
-    @staticmethod
-    def _outside(rule: dict[str, Any], value: float, moments: list[float], recent: list[float]) -> bool:
-        n, mean, squares = moments
-        if rule["rows"]:
-            n = len(recent)
-            mean = sum(recent) / n if n else 0.0
-            squares = sum((x - mean) ** 2 for x in recent)
-        if n < MINIMUM_SAMPLES or math.isnan(value):
-            return False
-        if rule["method"] == "THRESHOLD":
-            return value < rule["threshold"]
-        if rule["method"] == "IQR_EXACT":
-            low, high = _quantile(recent, 0.25), _quantile(recent, 0.75)
-            margin = rule["threshold"] * (high - low)
-            return value < low - margin or value > high + margin
-        deviation = math.sqrt(squares / (n - 1))
-        return deviation > 0 and abs(value - mean) > rule["threshold"] * deviation
-
-    @staticmethod
-    def _learn(rule: dict[str, Any], value: float, moments: list[float], recent: list[list[float]], i: int) -> None:
-        n, mean, squares = moments[3 * i : 3 * i + 3]
-        n += 1
-        gap = value - mean
-        mean += gap / n
-        moments[3 * i : 3 * i + 3] = [n, mean, squares + gap * (value - mean)]
-        if rule["rows"]:
-            recent[i] = [*recent[i], value][-rule["rows"] :]
+        ordered = in_order(rows, self.time, self.position)
+        flags = np.zeros((len(ordered), len(self.rules)), bool)
+        live = np.array([bool(row[self.live]) for row in ordered])
+        for i, rule in enumerate(self.rules):
+            found = [(k, row[self.values][i]) for k, row in enumerate(ordered) if live[k] and row[self.values][i] is not None]
+            if not found:
+                continue
+            at, values = np.array([k for k, _ in found]), np.array([v for _, v in found], float)
+            outside = self._windowed(i, rule, values) if rule["rows"] else self._cumulative(i, rule, values)
+            flags[at, i] = outside
+            if rule["suppress"]:
+                live[at[outside]] = False
+        if self.due is not None:
+            self._postpone(max((row[self.time] or 0) for row in ordered))
+        for row, own in zip(ordered, flags.tolist()):
+            yield extended(row, "_flags", own)
+
+    def _windowed(self, i: int, rule: dict[str, Any], values: np.ndarray) -> np.ndarray:
+        width, exact = rule["rows"], rule["method"] == "IQR_EXACT"
+        before = np.array([r[0] for r in self.recent[i].get()], float)
+        stats = (quartiles if exact else window_moments)(before, values, width)
+        if len(before) + len(values) > 2 * width:
+            self.recent[i].put([(float(v),) for v in np.concatenate([before, values])[-width:]])
+        else:
+            self.recent[i].appendList([(float(v),) for v in values])
+        return is_outside(rule, values, *stats)
+
+    def _cumulative(self, i: int, rule: dict[str, Any], values: np.ndarray) -> np.ndarray:
+        stored = self.moments.getValue((i,)) if self.moments.containsKey((i,)) else (0.0, 0.0, 0.0)
+        own = [np.append(0.0, part[0]) for part in running(values[None, :])]
+        n, mean, squares = merged(tuple(np.full(len(values) + 1, x) for x in stored), tuple(own))
+        self.moments.updateValue((i,), (float(n[-1]), float(mean[-1]), float(squares[-1])))
+        return is_outside(rule, values, n[:-1], mean[:-1], squares[:-1])
+
+    def _postpone(self, newest: int) -> None:
+        stored = self.due.get()
+        at = newest + self.expire_ms
+        if stored is None or at > stored[0]:
+            if stored is not None:
+                self.handle.deleteTimer(stored[0])
+            self.due.update((at,))
+            self.handle.registerTimer(at)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        for state in (self.moments, self.due, *filter(None, self.recent)):
+            state.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _quantile(values: list[float], share: float) -> float:
-    ordered = sorted(values)
-    at = share * (len(ordered) - 1)
-    low = int(at)
-    high = min(low + 1, len(ordered) - 1)
-    return ordered[low] + (ordered[high] - ordered[low]) * (at - low)
+def is_outside(rule: dict[str, Any], value: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The verdicts from the statistics before each value: moments, or both quartiles."""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        if rule["method"] == "THRESHOLD":
+            hit = value < rule["threshold"]
+        elif rule["method"] == "IQR_EXACT":
+            margin = rule["threshold"] * (b - a)
+            hit = (value < a - margin) | (value > b + margin)
+        else:
+            deviation = np.sqrt(b / np.maximum(n - 1, 1))
+            hit = (deviation > 0) & (np.abs(value - a) > rule["threshold"] * deviation)
+    return (n >= MINIMUM_SAMPLES) & ~np.isnan(value) & hit
 
 
 class SnapshotProcessor(StatefulProcessor):
