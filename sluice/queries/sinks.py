@@ -9,7 +9,8 @@ from ..plans.adapters import ORDERS_SQL, TELEMETRY_SQL, orders_evt, table
 from ..session import scratch_path
 from ..sinks.deadletter import replay, write_dlq
 from ..sinks.fanout import fan_out
-from ..sinks.lake import current_version, erase, upsert_version, write_lake
+from ..sinks.buckets import read_upserts, upsert_version
+from ..sinks.lake import erase, write_lake
 from ..sinks.rows import jdbc_rows
 from . import query
 from .quality import CHAIN, CHAIN_SQL, chain, numbered
@@ -78,7 +79,7 @@ def sink_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys, order = ["customerId"], ["eventTime", "order_no"]
     upsert_version(orders.where(F.col("eventTime") >= UPDATES_FROM_MS), keys, order, path)
     upsert_version(orders.where(F.col("eventTime") < UPDATES_FROM_MS), keys, order, path)
-    return spark.read.parquet(current_version(spark, path)).select(
+    return read_upserts(spark, path).select(
         F.col("customerId").cast("bigint").alias("customer_no"), "order_no", F.col("eventTime").alias("event_time"),
         F.round("totalAmount", 6).alias("amount"),
     )

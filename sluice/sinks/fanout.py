@@ -9,7 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..config import SinkConfig, StreamDefinition
-from .lake import ROW_FORMATS, table_path, upsert, upsert_version, write_lake
+from .buckets import upsert_version
+from .lake import ROW_FORMATS, added_partitions, ensure_table, qualified_name, table_path, upsert, write_lake
 from .rows import jdbc_rows, write_jdbc
 
 log = logging.getLogger(__name__)
@@ -17,21 +18,37 @@ Writer = Callable[[DataFrame], None]
 
 
 def sink_writer(definition: StreamDefinition, sink: SinkConfig, root: str, env: str, prefix: str = "",
-                batch_id: int | None = None, fmt: str = "parquet", jdbc_properties: dict[str, str] | None = None) -> Writer:
+                batch_id: int | None = None, fmt: str = "parquet", jdbc_properties: dict[str, str] | None = None,
+                create: bool = True) -> Writer:
     """The write for one target. With a ``batch_id`` file targets write into a
-    folder of that batch and replace it, so a repeated batch leaves no copies."""
+    folder of that batch and replace it, so a repeated batch leaves no copies. Without one,
+    ``create`` makes database and table in the catalogue at the first write."""
     path = table_path(root, sink, env, prefix)
     if sink.type == "ICEBERG" and sink.write_mode == "UPSERT" and sink.upsert_fields:
         if fmt in ROW_FORMATS:
-            return lambda df: upsert(df, sink.upsert_fields, ["eventTime"], path, table=path, fmt=fmt)
+            def merge(df: DataFrame) -> None:
+                upsert(df, sink.upsert_fields, ["eventTime"], ensure_table(df.sparkSession, sink, df.schema, root, env, prefix, fmt))
+
+            return merge
         return lambda df: upsert_version(df, sink.upsert_fields, ["eventTime"], path, batch_id)
     if sink.type == "ICEBERG" or (sink.type == "DATABRICKS_DELTA" and sink.mode == "DELTA"):
-        target = sink.delta_path or path
-        if batch_id is None:
-            return lambda df: write_lake(df, target, sink.partition_columns, fmt=fmt)
-        if fmt in ROW_FORMATS:
+        if batch_id is not None and fmt in ROW_FORMATS:
             raise ValueError(f"appends of micro-batches to {fmt} tables are not repeatable here; use parquet or an upsert sink")
-        return lambda df: write_lake(df, f"{target}/batch_id={batch_id}", sink.partition_columns, fmt=fmt, mode="overwrite")
+        target = sink.delta_path or path
+
+        def append(df: DataFrame) -> None:
+            """The first write creates the table; micro-batches are folders of a Parquet table of
+            their own, which ``read_lake`` reads."""
+            if batch_id is not None:
+                write_lake(df, f"{target}/batch_id={batch_id}", sink.partition_columns, fmt=fmt, mode="overwrite")
+                return
+            if create and not sink.delta_path:
+                ensure_table(df.sparkSession, sink, df.schema, root, env, prefix, fmt)
+            write_lake(df, target, sink.partition_columns, fmt=fmt)
+            if create and not sink.delta_path and fmt not in ROW_FORMATS:
+                added_partitions(df.sparkSession, qualified_name(sink, env, prefix), sink.partition_columns)
+
+        return append
     if sink.type == "DATABRICKS_DELTA":
         if not sink.jdbc_url or not sink.target_table:
             raise ValueError(f"the JDBC sink of {definition.key!r} needs jdbcUrl and targetTable")
@@ -57,6 +74,6 @@ def fan_out(df: DataFrame, writers: list[Writer], label: str = "") -> None:
 
 
 def write_sinks(df: DataFrame, definition: StreamDefinition, root: str, env: str, prefix: str = "",
-                batch_id: int | None = None, fmt: str = "parquet") -> None:
-    writers = [sink_writer(definition, sink, root, env, prefix, batch_id, fmt) for sink in definition.sinks]
+                batch_id: int | None = None, fmt: str = "parquet", create: bool = True) -> None:
+    writers = [sink_writer(definition, sink, root, env, prefix, batch_id, fmt, create=create) for sink in definition.sinks]
     fan_out(df, writers, definition.key)

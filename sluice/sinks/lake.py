@@ -7,13 +7,13 @@ the class path, and then upsert and erasure use the format's own row changes.
 from __future__ import annotations
 
 import logging
-import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..config import SinkConfig
 from ..operators.verdict import ANOMALY, ENVELOPE
 from ..session import cut_lineage
+from .buckets import newest_per_key
 
 log = logging.getLogger(__name__)
 
@@ -22,7 +22,6 @@ CODEC = "zstd"
 TARGET_FILE_BYTES = 134_217_728
 EVENT_DATE = "eventDate"
 ROW_FORMATS = ("iceberg", "delta")
-_UPDATE, _CONTENT = "_is_update", "_content"
 
 
 def database_name(sink: SinkConfig, env: str, prefix: str = "") -> str:
@@ -67,12 +66,23 @@ def write_lake(
     (writer.partitionBy(*present) if present else writer).save(path)
 
 
+def qualified_name(sink: SinkConfig, env: str, prefix: str = "") -> str:
+    return f"`{database_name(sink, env, prefix)}`.`{sink.table}`"
+
+
+def added_partitions(spark: SparkSession, name: str, columns: list[str]) -> None:
+    """Tell the catalogue of partitions that a write to the table's folder has added."""
+    if any(c.name in columns and c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def ensure_table(
     spark: SparkSession, sink: SinkConfig, schema: T.StructType, root: str, env: str, prefix: str = "", fmt: str = "parquet"
 ) -> str:
     """Create database and table on first use; returns the qualified name."""
     database = database_name(sink, env, prefix)
-    name = f"`{database}`.`{sink.table}`"
+    name = qualified_name(sink, env, prefix)
     fields = [f for f in schema.fields if f.name not in ENVELOPE]
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
     known = {f.name for f in fields}
@@ -88,85 +98,11 @@ def ensure_table(
     return name
 
 
-def newest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key by ``order``. Combines before the shuffle, so a
-    key with most of the rows costs no more than any other."""
-    rest = [c for c in df.columns if c not in keys]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*df.columns)
-
-
-def merged(current: DataFrame | None, updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The table after the upsert: per key (null is a key as well) the newest row of
-    table and updates. Of equal order the update wins, and of updates the one that
-    is last by its content, so that a repeat gives the same table."""
-    rows = updates.withColumn(_UPDATE, F.lit(1))
-    if current is not None:
-        rows = current.withColumn(_UPDATE, F.lit(0)).unionByName(rows, allowMissingColumns=True)
-    content = F.xxhash64(F.to_json(F.struct(*[c for c in rows.columns if c != _UPDATE])))
-    ordered = rows.withColumn(_CONTENT, content)
-    return newest_per_key(ordered, keys, [*order, _UPDATE, _CONTENT]).drop(_UPDATE, _CONTENT)
-
-
-def _versions(spark: SparkSession, table: str) -> tuple:
-    """The file system, and number and batch of each complete version of a Parquet table."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = {}
-    if files.exists(root):
-        for entry in files.listStatus(root):
-            name = re.fullmatch(r"version=(\d+)(?:\.batch=(\d+))?", entry.getPath().getName())
-            if name and files.exists(jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
-                found[int(name[1])] = (entry.getPath().getName(), int(name[2]) if name[2] else None)
-    return files, found
-
-
-def current_version(spark: SparkSession, table: str) -> str | None:
-    """The path of the newest complete version of a Parquet upsert table."""
-    found = _versions(spark, table)[1]
-    return f"{table}/{found[max(found)][0]}" if found else None
-
-
-def upsert_version(updates: DataFrame, keys: list[str], order: list[str], table: str, batch_id: int | None = None) -> str:
-    """Merge into the newest complete version and write the next one; a repeated micro-batch
-    writes its own version again. Readers take the newest complete version, and the one
-    before it stays for readers at work; older ones are removed."""
-    spark = updates.sparkSession
-    files, found = _versions(spark, table)
-    newest = max(found, default=-1)
-    number = newest if batch_id is not None and found.get(newest, ("", None))[1] == batch_id else newest + 1
-    before = [n for n in found if n < number]
-    current = f"{table}/{found[max(before)][0]}" if before else None
-    target = f"{table}/version={number}" + (f".batch={batch_id}" if batch_id is not None else "")
-    upsert(updates, keys, order, target, current)
-    for old in before:
-        if old < number - 1:
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{found[old][0]}"), True)
-    return target
-
-
-def upsert(
-    updates: DataFrame,
-    keys: list[str],
-    order: list[str],
-    new_path: str,
-    current_path: str | None = None,
-    table: str | None = None,
-    fmt: str = "parquet",
-) -> None:
-    """Merge into a row-level table format, or write the next version of a
-    Parquet table beside the current one (readers switch when it is complete)."""
-    spark = updates.sparkSession
-    updates = updates.drop(*ENVELOPE, ANOMALY)
-    if fmt in ROW_FORMATS:
-        source = newest_per_key(updates, keys, order).alias("source")
-        matches = " AND ".join(f"{table}.{k} = source.{k}" for k in keys)
-        source.mergeInto(table, F.expr(matches)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-        return
-    current = spark.read.parquet(current_path) if current_path else None
-    result = merged(current, updates, keys, order)
-    result.hint("rebalance").write.mode("overwrite").option("compression", CODEC).parquet(new_path)
+def upsert(updates: DataFrame, keys: list[str], order: list[str], table: str) -> None:
+    """Merge into a table of a row-level format."""
+    source = newest_per_key(updates.drop(*ENVELOPE, ANOMALY), keys, order).alias("source")
+    matches = " AND ".join(f"{table}.{k} = source.{k}" for k in keys)
+    source.mergeInto(table, F.expr(matches)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
 def without(df: DataFrame, ids: DataFrame, column: str = "customerId") -> DataFrame:

@@ -17,7 +17,8 @@ from sluice.schemas import read_schema
 from sluice.session import scratch_path
 from sluice.sinks.deadletter import dlq_path, erase_dead_letters, failed_records, replay, write_dlq
 from sluice.sinks.fanout import fan_out, sink_writer, write_sinks
-from sluice.sinks.lake import _versions, current_version, ensure_table, table_path, write_lake
+from sluice.sinks.buckets import read_upserts, upsert_version, versions
+from sluice.sinks.lake import ensure_table, table_path, write_lake
 from sluice.sinks.rows import bus_rows, jdbc_rows
 
 KEY = bytes(range(32))
@@ -91,7 +92,7 @@ def test_upsert_sink_versions_by_batch(spark):
     write_sinks(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y"), ("a", 2, "z")], ddl), definition, root, "dev", batch_id=0)
     for _ in range(2):  # a repeated batch changes nothing
         write_sinks(spark.createDataFrame([("b", 5, "new"), ("c", 5, "c")], ddl), definition, root, "dev", batch_id=1)
-    rows = spark.read.parquet(current_version(spark, f"{root}/d_dev/t")).collect()
+    rows = read_upserts(spark, f"{root}/d_dev/t").collect()
     assert {(r.id, r.v) for r in rows} == {("a", "z"), ("b", "new"), ("c", "c")} and len(rows) == 3
 
 
@@ -104,11 +105,46 @@ def test_batch_upserts_keep_what_is_there(spark):
     waves = [[("a", 1, "x"), ("b", 9, "y"), (None, 1, "n")], [("c", 5, "c"), (None, 2, "m")], [("b", 3, "older"), ("a", 1, "x2")], [("b", 3, "older")]]
     for wave in waves:
         write_sinks(spark.createDataFrame([(*r, "k", False) for r in wave], ddl), definition, root, "dev")
-    table = spark.read.parquet(current_version(spark, f"{root}/d_dev/t"))
+    table = read_upserts(spark, f"{root}/d_dev/t")
     assert {tuple(r) for r in table.collect()} == {("a", 1, "x2"), ("b", 9, "y"), ("c", 5, "c"), (None, 2, "m")}
     assert table.columns == ["id", "eventTime", "v"]
-    kept = {p.getPath().getName() for p in _versions(spark, f"{root}/d_dev/t")[0].listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/d_dev/t"))}
-    assert kept == {"version=2", "version=3"}
+    assert {name for name, _ in versions(spark, f"{root}/d_dev/t").values()} == {"version=2", "version=3"}
+
+
+def data_files(spark, table):
+    return {r[0] for r in read_upserts(spark, table).select(F.input_file_name()).distinct().collect()}
+
+
+def test_an_update_leaves_other_buckets_alone(spark):
+    table = scratch_path(spark, "buckets")
+    rows = spark.range(400).select(F.concat(F.lit("k"), F.col("id")).alias("id"), F.lit(1).cast("bigint").alias("eventTime"), F.lit("old").alias("v"))
+    upsert_version(rows, ["id"], ["eventTime"], table, buckets=16)
+    before = data_files(spark, table)
+    new = spark.createDataFrame([("k7", 2, "new", 5)], "id string, eventTime bigint, v string, extra int")
+    upsert_version(new, ["id"], ["eventTime"], table)
+    after = data_files(spark, table)
+    assert len(before - after) == 1 and len(after - before) == 1 and len(after & before) >= 14
+    found = {r["id"]: (r["v"], r["extra"]) for r in read_upserts(spark, table).collect()}
+    assert len(found) == 400 and found["k7"] == ("new", 5) and found["k8"] == ("old", None)
+    upsert_version(new.limit(0), ["id"], ["eventTime"], table)  # nothing to do
+    assert max(versions(spark, table)) == 1
+    upsert_version(rows.limit(3), ["id"], ["eventTime"], table)  # columns of other buckets stay
+    assert "extra" in read_upserts(spark, table).columns and read_upserts(spark, table).count() == 400
+    parts = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/data")
+    folders = [e.getPath().getName() for e in parts.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(parts)]
+    assert len(folders) <= 3  # the first, and those of the last two upserts
+
+
+def test_a_failed_upsert_leaves_the_table_and_is_cleaned(spark):
+    table = scratch_path(spark, "buckets")
+    rows = spark.createDataFrame([("a", 1), ("b", 1)], "id string, eventTime bigint")
+    upsert_version(rows, ["id"], ["eventTime"], table, batch_id=0)
+    rows.write.parquet(f"{table}/data/left-by-a-lost-driver/_bucket=3")
+    rows.write.parquet(f"{table}/manifests/version=1.batch=1")
+    spark._jvm.org.apache.hadoop.fs.Path(table).getFileSystem(spark._jsc.hadoopConfiguration()).delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table}/manifests/version=1.batch=1/_SUCCESS"), False)
+    assert read_upserts(spark, table).count() == 2
+    upsert_version(spark.createDataFrame([("c", 1)], "id string, eventTime bigint"), ["id"], ["eventTime"], table, batch_id=1)
+    assert {r["id"] for r in read_upserts(spark, table).collect()} == {"a", "b", "c"}
 
 
 def test_micro_batches_are_not_appended_to_row_level_tables(spark):
