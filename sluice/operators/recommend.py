@@ -35,6 +35,8 @@ MIN_SCORE_CHANGE = 3.0
 SCAN_TTL_DAYS = 90
 PURCHASE_LOOKBACK_DAYS = 365
 DAY_MS = 86_400_000
+# Products of a basket that meet in one group.
+BLOCK_ITEMS = 1000
 
 
 def concern_weights(scores: Column, higher_is_worse: tuple[str, ...] = ()) -> Column:
@@ -85,9 +87,8 @@ def next_purchases(
     orders: DataFrame, time: str = "eventTime", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """How many customers bought ``nextProductId`` right after ``productId``,
-    going by each product's first purchase. A collaborative signal that grows
-    with the purchases: counting all pairs a customer bought would grow with
-    their square."""
+    going by each product's first purchase. It grows with the purchases, where
+    ``copurchases`` grows with the squares of baskets."""
     first = orders.groupBy("customerId", "productId").agg(F.min(time).alias("_first"))
     keyed = first.where(F.col("customerId").isNotNull() & F.col("productId").isNotNull())
     sizing = orders.select("customerId", F.col(time).alias("_first"), "productId").where(F.col("customerId").isNotNull())
@@ -99,6 +100,29 @@ def next_purchases(
     )
 
 
+def copurchases(
+    orders: DataFrame, min_baskets: int, basket: str = "customerId", block_items: int = BLOCK_ITEMS
+) -> DataFrame:
+    """(productId, otherId, baskets) for every two products that at least ``min_baskets`` baskets
+    (customers, or orders) have in common, the smaller id first; exact counts.
+
+    A pair is in no more baskets than either product, so products in fewer go first. A basket
+    of more than ``block_items`` products is cut into blocks, and every two of its blocks meet
+    in a group of their own, so its pairs come from as many groups as it has pairs of blocks.
+    Counts combine before their shuffle."""
+    rows = orders.select(F.col(basket).alias("_basket"), "productId").where("_basket IS NOT NULL AND productId IS NOT NULL").distinct()
+    frequent = rows.groupBy("productId").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_baskets)
+    rows = rows.join(frequent.select("productId"), "productId", "left_semi")
+    # A basket's size needs no window over it; the join splits large baskets.
+    sizes = rows.groupBy("_basket").agg(F.ceil(F.count(F.lit(1)) / block_items).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_items"))
+    dealt = rows.join(sizes.where("_items > 1"), "_basket").withColumn("_own", F.pmod(F.xxhash64("productId"), F.col("_blocks")).cast("int"))
+    left = dealt.select("_basket", F.col("_own").alias("_i"), F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("_j"), F.col("productId").alias("_a"))
+    right = dealt.select("_basket", F.explode(F.sequence(F.lit(0), "_own")).alias("_i"), F.col("_own").alias("_j"), F.col("productId").alias("_b"))
+    pairs = left.join(right, ["_basket", "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("_a") < F.col("_b")))
+    counted = pairs.groupBy(F.least("_a", "_b").alias("productId"), F.greatest("_a", "_b").alias("otherId")).agg(F.count(F.lit(1)).alias("baskets"))
+    return counted.where(F.col("baskets") >= min_baskets)
+
+
 def latest_skin_type(preferences: DataFrame, time: str = "eventTime") -> DataFrame:
     """The newest stated skin type per customer; of equal times the last by name."""
     return preferences.groupBy("customerId").agg(F.max_by("skinType", F.struct(F.col(time), F.col("skinType"))).alias("skinType"))

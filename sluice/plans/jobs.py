@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..config import DeadLetterConfig, StreamDefinition
 from ..functions.crypto import encrypt_fields
 from ..operators import recommend as rec
-from ..operators.scans import baselines, snapshots
+from ..operators.scans import baselines, closing_time, snapshots
 from ..sinks.deadletter import dlq_path, seal, write_dlq
 from ..sinks.fanout import write_sinks
 from ..sources.catalog import catalog_latest
@@ -43,10 +43,13 @@ def ingest(
 
 
 def scan_analytics(streams: dict[str, DataFrame], position: str | None = None, timeout_ms: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Snapshots and 30-minute baselines from the scan streams by key."""
+    """Snapshots and 30-minute baselines from the scan streams by key. With a timeout a
+    snapshot counts in the window in which it closed, as in the continuous job."""
     united = union_streams(*[with_envelope(df, key) for key, df in streams.items()])
     snaps = snapshots(united, position=position, timeout_ms=timeout_ms)
-    return snaps, baselines(snaps)
+    if timeout_ms is None:
+        return snaps, baselines(snaps)
+    return snaps, baselines(snaps.withColumn("_closed", closing_time(timeout_ms)), time="_closed")
 
 
 def recommendations(

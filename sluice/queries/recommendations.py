@@ -210,3 +210,20 @@ def rec_copurchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.next_purchases(order_items(spark, sf_dir)).select(
         F.col("productId").alias("product_id"), F.col("nextProductId").alias("next_product_id"), "customers"
     )
+
+
+def _together_sql(basket: str, least: int) -> str:
+    return f"""WITH {ITEMS_SQL}, i AS (SELECT DISTINCT {basket} AS basket, productId FROM order_items)
+    SELECT a.productId AS product_id, b.productId AS other_id, count(*) AS baskets FROM i a JOIN i b ON a.basket = b.basket AND a.productId < b.productId
+    GROUP BY 1, 2 HAVING count(*) >= {least}"""
+
+
+def _together(spark: SparkSession, sf_dir: str, basket: str, least: int) -> DataFrame:
+    return rec.copurchases(order_items(spark, sf_dir), least, basket).select(
+        F.col("productId").alias("product_id"), F.col("otherId").alias("other_id"), "baskets"
+    )
+
+
+@query("rec_bought_together", _together_sql("customerId", 4))
+def rec_bought_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _together(spark, sf_dir, "customerId", 4)

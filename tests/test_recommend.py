@@ -141,3 +141,26 @@ def test_next_purchases(spark, hot_rows):
     found = rec.next_purchases(spark.createDataFrame(rows, "customerId string, productId string, eventTime bigint"), hot_rows=hot_rows)
     counts = {(r.productId, r.nextProductId): r.customers for r in found.collect()}
     assert counts[("a", "b")] == 2 and counts[("b", "d")] == 1 and counts[("p07", "p08")] == 1 and len(counts) == 2 + 29
+
+
+@pytest.mark.parametrize("block_items", [1000, 4])
+def test_copurchases_are_exact_and_heavy_customers_split(spark, block_items):
+    rng = random.Random(5)
+    rows = [(f"c{rng.randrange(30)}", f"p{rng.randrange(25):02d}", f"o{rng.randrange(90)}") for _ in range(500)]
+    rows += [("heavy", f"p{k:02d}", "o0") for k in range(40)] + [(None, "p01", "o1"), ("c1", None, "o2")]
+    df = spark.createDataFrame(rows, "customerId string, productId string, orderId string")
+    for basket, at in (("customerId", 0), ("orderId", 2)):
+        baskets = {}
+        for row in rows:
+            if row[at] is not None and row[1] is not None:
+                baskets.setdefault(row[at], set()).add(row[1])
+        counts = {}
+        for own in baskets.values():
+            for a in own:
+                for b in own:
+                    if a < b:
+                        counts[(a, b)] = counts.get((a, b), 0) + 1
+        for least in (1, 3):
+            got = {(r.productId, r.otherId): r.baskets for r in rec.copurchases(df, least, basket, block_items).collect()}
+            assert got == {pair: n for pair, n in counts.items() if n >= least}
+    assert rec.copurchases(df.limit(0), 1).count() == 0

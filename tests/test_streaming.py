@@ -13,6 +13,7 @@ from sluice.operators.verdict import ANOMALY, LIVE
 from sluice.plans.quality import quality_verdicts
 from sluice.session import scratch_path
 from sluice.sources.readers import decode_json, read_batch, read_stream, stream_table, with_event_time
+from sluice.plans.jobs import scan_analytics
 from sluice.streaming.jobs import baselines_stream, ingest_stream, run_available, scan_analytics_stream
 from sluice.streaming.operators import dedup_stream, detect_anomalies_stream, snapshots_stream, stream_verdicts
 
@@ -114,7 +115,7 @@ def test_streamed_means_equal_batch_means(spark):
 def test_scan_analytics_job_writes_both_tables(spark):
     path, root = scratch_path(spark, "scan-input"), scratch_path(spark, "scan-tables")
     ddl = "customerId string, scanId string, eventTime bigint, overallHydrationScore float, overallSkinScore float"
-    spark.createDataFrame([("c", "s", 1000, 40.0, None), ("c", "s", 2000, 60.0, None), ("d", "t", 3000, 10.0, None)], ddl).write.parquet(f"{path}/scan-hydration")
+    spark.createDataFrame([("c", "s", 1000, 40.0, None), ("c", "s", 2000, 60.0, None), ("d", "t", 3000, 10.0, None), ("e", "u", 1_790_000, 20.0, None)], ddl).write.parquet(f"{path}/scan-hydration")
     spark.createDataFrame([("c", "s", 4000, None, 50.0), ("z", "end", 90_000_000, None, 1.0)], ddl).write.parquet(f"{path}/scan-overall")
     read = lambda key: spark.readStream.schema(spark.createDataFrame([], ddl).schema).parquet(f"{path}/{key}")
     for _ in range(2):  # the second run finds nothing new
@@ -122,9 +123,14 @@ def test_scan_analytics_job_writes_both_tables(spark):
         for running in scan_analytics_stream(streams, root, f"{root}-state", timeout_ms=60_000, available_now=True):
             running.awaitTermination()
     snaps = {(r.scanId, r.complete, r.events) for r in spark.read.parquet(f"{root}/snapshots").collect()}
-    assert snaps == {("s", True, 3), ("t", False, 1), ("end", True, 1)}
+    assert snaps == {("s", True, 3), ("t", False, 1), ("u", False, 1), ("end", True, 1)}
     means = {(r.customerId, r.dimension, r["mean"]) for r in spark.read.parquet(f"{root}/baselines").collect()}
-    assert means == {("c", "hydration", 60.0), ("c", "overall", 50.0), ("d", "hydration", 10.0)}
+    assert means == {("c", "hydration", 60.0), ("c", "overall", 50.0), ("d", "hydration", 10.0), ("e", "hydration", 20.0)}
+    # the batch job counts a snapshot in the same window: "u" closed when its minute was up, after half past
+    windows = lambda df: {(r.customerId, r.dimension, r.windowStartMs) for r in df.collect()}
+    batch = scan_analytics({key: spark.read.parquet(f"{path}/{key}") for key in ("scan-hydration", "scan-overall")}, timeout_ms=60_000)[1]
+    assert windows(batch) - {("z", "overall", 90_000_000)} == windows(spark.read.parquet(f"{root}/baselines"))
+    assert ("e", "hydration", 1_800_000) in windows(batch)
 
 
 def test_null_keys_and_positions_do_not_stop_a_stream(spark):
