@@ -6,12 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from ..config import StreamDefinition
+from ..config import SourceConfig, StreamDefinition
 from ..functions.numbers import field_or_null
 from ..operators.verdict import INGEST_TIME, STREAM_KEY
 from ..schemas import align_to_schema, read_schema, schema_defaults
 
 EVENT_TS = "_event_ts"
+_BEAT = "_heartbeat"
 # Declared source type to Spark format, file formats excepted.
 CONNECTORS = {"KAFKA": "kafka", "KINESIS": "kinesis"}
 PAYLOADS = {"KAFKA": "value", "KINESIS": "data"}
@@ -135,10 +136,32 @@ def with_event_time(df: DataFrame, time: str = "eventTime", arrival: Column | No
     return df if lag_seconds is None else df.withWatermark(EVENT_TS, f"{lag_seconds} seconds")
 
 
+def with_idle_timeout(df: DataFrame, lag_seconds: int, idle_seconds: int) -> DataFrame:
+    """The watermark of one stream of a union: ``lag_seconds`` behind its newest event, but no
+    further behind the clock than ``idle_seconds`` besides, so a silent stream does not hold
+    the others back. A heartbeat a second passes the watermark with the stream's events and is
+    taken out behind it. A stream that is more than both behind the clock counts as idle: its
+    windows have closed. For live streams; history has no use for it."""
+    beats = df.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    beats = beats.select((F.col("timestamp") - F.make_dt_interval(secs=F.lit(idle_seconds))).alias(EVENT_TS), F.lit(True).alias(_BEAT))
+    both = df.unionByName(beats, allowMissingColumns=True).withWatermark(EVENT_TS, f"{lag_seconds} seconds")
+    # The condition names the event time, or the optimizer would move it below the watermark.
+    return both.where(F.col(_BEAT).isNull() | F.col(EVENT_TS).isNull()).drop(_BEAT)
+
+
+def union_live(streams: dict[str, tuple[DataFrame, SourceConfig]], time: str = "eventTime") -> DataFrame:
+    """Union of live streams, each with its own lag and idle timeout; the slowest stream that
+    is not idle sets the watermark."""
+    return union_streams(*[
+        with_idle_timeout(with_event_time(with_envelope(df, key), time), source.lag_seconds, source.idle_timeout_seconds)
+        for key, (df, source) in streams.items()
+    ])
+
+
 def union_streams(*frames: DataFrame) -> DataFrame:
-    """Bag union by name; fields a stream lacks are null. One silent input holds
-    back the watermark of a streaming union, so ingestion runs one query per
-    stream and only the scan analytics unite theirs."""
+    """Bag union by name; fields a stream lacks are null. A watermark set behind
+    the union goes by the newest event of all; with watermarks before it, one silent input
+    holds all back unless ``union_live`` sets them."""
     if not frames:
         raise ValueError("no streams to unite")
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)

@@ -8,14 +8,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import DeadLetterConfig, StreamDefinition
+from ..config import DeadLetterConfig, SourceConfig, StreamDefinition
 from ..functions.crypto import encrypt_fields
 from ..operators import recommend as rec
 from ..plans.quality import split_verdicts
 from ..session import scratch_path
 from ..sinks.deadletter import dlq_path, seal, write_dlq
 from ..sinks.fanout import write_sinks
-from ..sources.readers import union_streams, with_envelope, with_event_time
+from ..sources.readers import union_live, union_streams, with_envelope, with_event_time
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS
 from .operators import snapshots_stream, stream_verdicts
 
@@ -112,11 +112,16 @@ def scan_analytics_stream(
     lag_seconds: int = 30,
     position: str | None = None,
     available_now: bool = False,
+    sources: dict[str, SourceConfig] | None = None,
 ) -> list[StreamingQuery]:
     """Snapshots and 30-minute means of the scan streams by key, each as a Parquet table
-    under ``root``. Two queries with a checkpoint each, so either can be restarted alone."""
-    united = union_streams(*[with_envelope(df, key) for key, df in streams.items()])
-    events = with_event_time(united, lag_seconds=lag_seconds)
+    under ``root``. Two queries with a checkpoint each, so either can be restarted alone.
+    With ``sources`` each stream has its own lag and idle timeout."""
+    if sources:
+        events = union_live({key: (df, sources[key]) for key, df in streams.items()})
+    else:
+        united = union_streams(*[with_envelope(df, key) for key, df in streams.items()])
+        events = with_event_time(united, lag_seconds=lag_seconds)
     found = {
         "snapshots": snapshots_stream(events, position=position, timeout_ms=timeout_ms),
         "baselines": baselines_stream(events, timeout_ms=timeout_ms, position=position),

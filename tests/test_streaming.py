@@ -1,18 +1,19 @@
 """Streams in several micro-batches: equal to batch, restartable, late data."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.config import AnomalyRule, load_topology, topology_from_dict
+from sluice.config import AnomalyRule, SourceConfig, load_topology, topology_from_dict
 from sluice.operators.anomaly import detect_anomalies
 from sluice.operators.dedup import dedup
 from sluice.operators.scans import baselines, closing_time, snapshots
 from sluice.operators.verdict import ANOMALY, LIVE
 from sluice.plans.quality import quality_verdicts
 from sluice.session import scratch_path
-from sluice.sources.readers import decode_json, read_batch, read_stream, stream_table, with_event_time
+from sluice.sources.readers import EVENT_TS, decode_json, read_batch, read_stream, stream_table, union_live, with_event_time
 from sluice.plans.jobs import scan_analytics
 from sluice.streaming.jobs import baselines_stream, ingest_stream, run_available, scan_analytics_stream
 from sluice.streaming.operators import dedup_stream, detect_anomalies_stream, snapshots_stream, stream_verdicts
@@ -190,3 +191,25 @@ def test_read_batch_fills_missing_fields(spark):
     assert (row.customerId, row.eventTime, row.pointsDelta) == ("c", 5, None)
     live = stream_table(spark, path, spark.read.parquet(path).schema)
     assert run_available(live, "copy").count() == 1
+
+
+def test_a_silent_stream_does_not_hold_back_the_others(spark):
+    """A live and a silent stream, each with a watermark of its own: the window of the live
+    one closes after the idle time."""
+    path = scratch_path(spark, "idle")
+    old = int(time.time() * 1000) - 120_000
+    ddl = "customerId string, eventTime bigint"
+    spark.createDataFrame([("a", old), ("b", old + 1)], ddl).write.parquet(f"{path}/live")
+    spark.createDataFrame([], ddl).write.parquet(f"{path}/silent")
+    source = SourceConfig(type="FILE", watermark_lag_seconds=1, idle_timeout_seconds=3)
+    read = lambda key: spark.readStream.schema(ddl).parquet(f"{path}/{key}")
+    united = union_live({key: (read(key), source) for key in ("live", "silent")})
+    counts = united.groupBy(F.window(EVENT_TS, "10 seconds")).agg(F.count(F.lit(1)).alias("n"))
+    query = counts.writeStream.format("memory").queryName("idle_counts").outputMode("append").option("checkpointLocation", f"{path}/state").trigger(processingTime="1 second").start()
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and not spark.table("idle_counts").count():
+            time.sleep(1)
+        assert sum(r.n for r in spark.table("idle_counts").collect()) == 2
+    finally:
+        query.stop()
