@@ -17,6 +17,7 @@ from sluice.schemas import read_schema
 from sluice.session import scratch_path
 from sluice.sinks.deadletter import dlq_path, erase_dead_letters, failed_records, replay, write_dlq
 from sluice.sinks.fanout import fan_out, sink_writer, write_sinks
+from sluice.sinks.compact import compact, read_lake
 from sluice.sinks.buckets import read_upserts, upsert_version, versions
 from sluice.sinks.lake import ensure_table, table_path, write_lake
 from sluice.sinks.rows import bus_rows, jdbc_rows
@@ -211,3 +212,31 @@ def test_scan_analytics_job(spark):
     snaps, base = scan_analytics({"scan-hydration": hydration, "scan-overall": overall}, position="seq")
     assert snaps.first().scores == {"hydration": 40.0, "overall": 60.0}
     assert {(r.dimension, r["mean"]) for r in base.collect()} == {("hydration", 40.0), ("overall", 60.0)}
+
+
+def file_sizes(spark, path):
+    files = {r[0] for r in read_lake(spark, path).select(F.input_file_name()).distinct().collect()}
+    system = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f: system.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f)).getLen() for f in files}
+
+
+@pytest.mark.parametrize("columns", [[], ["day"]])
+def test_small_batches_become_files_of_the_right_size(spark, columns):
+    path, target = scratch_path(spark, "lake"), 60_000
+    batch = lambda k: spark.range(k * 1000, k * 1000 + 1000).select(F.col("id"), F.when(F.col("id") % 10 < 7, "hot").otherwise(F.lit("cold")).alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    for k in range(8):
+        write_lake(batch(k), f"{path}/batch_id={k}", columns, mode="overwrite")
+    batch(99).write.parquet(f"{path}/batch_id=99/left-by-a-failed-write")
+    before = read_lake(spark, path)
+    assert before.count() == 8000
+    assert compact(spark, path, columns, target) == 8 and compact(spark, path, columns, target) == 0
+    sizes = file_sizes(spark, path)
+    assert all("_compacted" in f for f in sizes) and all(0.5 * target <= n <= 1.5 * target for n in sizes.values()), sizes
+    assert before.count() == 8000  # a reader that began before has its files
+    write_lake(batch(8), f"{path}/batch_id=8", columns, mode="overwrite")
+    assert read_lake(spark, path).count() == 9000
+    assert compact(spark, path, columns, target) == 1
+    rows = read_lake(spark, path)
+    assert rows.count() == 9000 and rows.select("id").distinct().count() == 9000 and set(rows.columns) == {"id", "day", "x"}
+    system = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    assert not system.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=3"))
