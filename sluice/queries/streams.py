@@ -8,8 +8,9 @@ from ..config import AnomalyRule
 from ..operators.verdict import ANOMALY, FAILURES, LIVE
 from ..plans.adapters import SCAN_SQL, TELEMETRY_SQL, scan_events_of, table, telemetry_of
 from ..session import scratch_path
-from ..sources.readers import EVENT_TS, stream_table, with_event_time
+from ..sources.readers import stream_table, with_event_time
 from ..streaming.jobs import baselines_stream, recommend_stream, run_available, snapshots_stream
+from ..streaming.late import window_sums_stream
 from ..streaming.operators import dedup_stream, detect_anomalies_stream
 from . import query
 from .quality import chain_cte
@@ -90,39 +91,50 @@ def scan_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "late_data_stream",
-    f"""WITH {SCAN_SQL}, first_wave AS (SELECT max(eventTime) AS newest FROM scan_dim WHERE streamKey <> 'scan-overall'),
-    kept AS (
-      SELECT customerId, eventTime, score FROM scan_dim WHERE streamKey <> 'scan-overall'
-      UNION ALL
-      SELECT customerId, eventTime, score FROM scan_dim WHERE streamKey = 'scan-overall'
-             AND eventTime // 1800000 * 1800000 + 1800000 > (SELECT newest FROM first_wave) - {LAG_SECONDS * 1000})
+_LATE = f"""WITH {SCAN_SQL}, first_wave AS (SELECT max(eventTime) AS newest FROM scan_dim WHERE streamKey <> 'scan-overall'),
+    arrived AS (
+      SELECT customerId, eventTime, score, streamKey = 'scan-overall'
+             AND eventTime // 1800000 * 1800000 + 1800000 <= (SELECT newest FROM first_wave) - {LAG_SECONDS * 1000} AS late FROM scan_dim)"""
+LATE_SQL = f"""{_LATE}
     SELECT CAST(customerId AS BIGINT) AS customer_no, eventTime // 1800000 * 1800000 AS window_start_ms, count(*) AS events,
-           round(sum(score), 4) AS total FROM kept GROUP BY 1, 2
-    HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",
-)
-def late_data_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Completion events arrive only after all others were processed; those whose
-    window has closed by then are dropped, the rest count."""
+           round(sum(score), 4) AS total FROM arrived WHERE NOT late GROUP BY 1, 2
+    HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}"""
+LATE_LETTERS_SQL = f"{_LATE} SELECT 'LATE_EVENT' AS reason, eventTime // 86400000 AS day_no, count(*) AS events FROM arrived WHERE late GROUP BY 2"
+
+
+def late_waves(spark: SparkSession, sf_dir: str) -> str:
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "late")
 
-    def run_wave(number: int, arrived: Column) -> DataFrame:
+    def run_wave(number: int, arrived: Column) -> None:
         events.where(arrived).write.parquet(f"{path}/input/wave={number}")
         live = spark.readStream.schema(events.schema).parquet(f"{path}/input")
-        score = F.least("value", F.lit(100.0)).alias("score")
-        rows = live.select(F.col("user_id").alias("customer_no"), F.col("ts").cast("timestamp").alias(EVENT_TS), score)
-        windows = (
-            rows.withWatermark(EVENT_TS, f"{LAG_SECONDS} seconds")
-            .groupBy("customer_no", F.window(EVENT_TS, "30 minutes").alias("_w"))
-            .agg(F.count(F.lit(1)).alias("events"), F.sum("score").alias("total"))
-            .select("customer_no", F.unix_millis(F.col("_w.start")).alias("window_start_ms"), "events", "total")
+        rows = live.select(
+            F.col("user_id").alias("customer_no"), F.unix_millis(F.col("ts").cast("timestamp")).alias("eventTime"), F.least("value", F.lit(100.0)).alias("score")
         )
-        return run_available(windows, "late", f"{path}/output", f"{path}/checkpoint")
+        window_sums_stream(
+            rows, ["customer_no"], "score", 1_800_000, LAG_SECONDS, f"{path}/output", f"{path}/checkpoint", "scan-overall", available_now=True
+        ).awaitTermination()
 
     run_wave(1, F.col("event_type") != "purchase")
-    return run_wave(2, F.col("event_type") == "purchase").withColumn("total", F.round("total", 4))
+    run_wave(2, F.col("event_type") == "purchase")
+    return path
+
+
+@query("late_data_stream", LATE_SQL)
+def late_data_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion events arrive only after all others were processed; those whose
+    window has closed by then are dead letters, the rest count."""
+    found = spark.read.parquet(f"{late_waves(spark, sf_dir)}/output/windows")
+    return found.select("customer_no", F.col("windowStartMs").alias("window_start_ms"), "events", F.round("total", 4).alias("total"))
+
+
+@query("late_dead_letters_stream", LATE_LETTERS_SQL)
+def late_dead_letters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came too late, by day of the event."""
+    dead = spark.read.parquet(f"{late_waves(spark, sf_dir)}/output/late")
+    at = F.get_json_object("original_json", "$.eventTime").cast("bigint")
+    return dead.groupBy(F.col("failure_reason").alias("reason"), F.floor(at / 86_400_000).cast("bigint").alias("day_no")).agg(F.count(F.lit(1)).alias("events"))
 
 
 @query(

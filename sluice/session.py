@@ -55,12 +55,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}"
 
 
+def path_files(spark: SparkSession, path: str) -> tuple:
+    """The path's file system and the path as its class has it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a path of ``scratch_path`` that no plan reads any more."""
     if "/sluice/" not in path:
         raise ValueError(f"not a scratch path: {path}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = path_files(spark, path)
+    files.delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.verdict import ANOMALY, ENVELOPE
+from ..session import path_files
 
 BUCKETS = 64
 _BUCKET, _UPDATE, _CONTENT = "_bucket", "_is_update", "_content"
@@ -43,19 +44,13 @@ def merged(current: DataFrame | None, updates: DataFrame, keys: list[str], order
     return newest_per_key(ordered, keys, [*order, _UPDATE, _CONTENT]).drop(_UPDATE, _CONTENT)
 
 
-def _files(spark: SparkSession, path: str) -> tuple:
-    """The path's file system and the path as its class has it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
 def versions(spark: SparkSession, table: str) -> dict[int, tuple[str, int | None]]:
     """Name and batch of each complete version by number."""
-    files, root = _files(spark, f"{table}/manifests")
+    files, root = path_files(spark, f"{table}/manifests")
     found = {}
     for entry in files.listStatus(root) if files.exists(root) else ():
         name = re.fullmatch(r"version=(\d+)(?:\.batch=(\d+))?", entry.getPath().getName())
-        if name and files.exists(_files(spark, f"{table}/manifests/{name[0]}/_SUCCESS")[1]):
+        if name and files.exists(path_files(spark, f"{table}/manifests/{name[0]}/_SUCCESS")[1]):
             found[int(name[1])] = (name[0], int(name[2]) if name[2] else None)
     return found
 
@@ -116,9 +111,9 @@ def _clean(spark: SparkSession, table: str, now: list, before: list, old: dict[i
     writes that never became a version."""
     kept = {(folder, bucket) for bucket, folder, *_ in now} | {(r["folder"], r["bucket"]) for r in before}
     for name in old.values():
-        files, place = _files(spark, f"{table}/manifests/{name}")
+        files, place = path_files(spark, f"{table}/manifests/{name}")
         files.delete(place, True)
-    files, root = _files(spark, f"{table}/data")
+    files, root = path_files(spark, f"{table}/data")
     for entry in files.listStatus(root):
         folder = entry.getPath().getName()
         if folder not in {f for f, _ in kept}:

@@ -16,7 +16,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .buckets import _files
+from ..session import path_files
 from .lake import CODEC, TARGET_FILE_BYTES
 
 MANIFEST = "folder string, last_batch bigint"
@@ -25,11 +25,11 @@ _SLICE, _FILE = "_slice", "_file"
 
 def _complete(spark: SparkSession, path: str, pattern: str) -> dict[int, str]:
     """Number and name of each folder that a write has finished."""
-    files, root = _files(spark, path)
+    files, root = path_files(spark, path)
     found = {}
     for entry in files.listStatus(root) if files.exists(root) else ():
         name = re.fullmatch(pattern, entry.getPath().getName())
-        if name and files.exists(_files(spark, f"{path}/{name[0]}/_SUCCESS")[1]):
+        if name and files.exists(path_files(spark, f"{path}/{name[0]}/_SUCCESS")[1]):
             found[int(name[1])] = name[0]
     return found
 
@@ -61,7 +61,7 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
 
 def _bytes_by_partition(spark: SparkSession, folder: str) -> dict[tuple, int]:
     """Bytes of the data files below a folder, by their partition folders."""
-    files, root = _files(spark, folder)
+    files, root = path_files(spark, folder)
     found: dict[tuple, int] = {}
     walk, base = files.listFiles(root, True), files.makeQualified(root).toString()
     while walk.hasNext():
@@ -113,6 +113,6 @@ def compact(spark: SparkSession, path: str, partition_columns: list[str] | None
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifests/version={number + 1}")
     for old, name in _complete(spark, path, r"batch_id=(\d+)").items():
         if old <= last:  # in the manifest before this one already
-            files, place = _files(spark, f"{path}/{name}")
+            files, place = path_files(spark, f"{path}/{name}")
             files.delete(place, True)
     return len(batches)

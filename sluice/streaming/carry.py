@@ -25,7 +25,7 @@ from ..operators.ordered import HOT_ROWS
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS, merge_runs, run_rows
 from ..operators.ttl import FOLD_ROWS, accepted_rows
 from ..operators.verdict import FAILURES, LIVE, append_failure, failure, with_verdict
-from ..session import cut_lineage
+from ..session import cut_lineage, path_files
 from .jobs import start
 
 LAST_DDL = "_dedup_key string, last bigint"
@@ -43,7 +43,11 @@ class CarriedTable:
         return spark.read.schema(self.ddl).parquet(f"{self.path}/version={batch_id - 1}")
 
     def after(self, df: DataFrame, batch_id: int) -> None:
+        """A repeated batch reads the version before its own, so older ones can go."""
         df.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+        if batch_id > 1:
+            files, old = path_files(df.sparkSession, f"{self.path}/version={batch_id - 2}")
+            files.delete(old, True)
 
 
 def dedup_batch(

@@ -2,6 +2,7 @@
 
 import random
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from sluice.session import scratch_path
 from sluice.sources.readers import EVENT_TS, decode_json, read_batch, read_stream, stream_table, union_live, with_event_time
 from sluice.plans.jobs import scan_analytics
 from sluice.streaming.jobs import baselines_stream, ingest_stream, run_available, scan_analytics_stream
+from sluice.streaming.late import window_sums_stream
 from sluice.streaming.operators import dedup_stream, detect_anomalies_stream, snapshots_stream, stream_verdicts
 
 DDL = "seq bigint, customerId string, eventTime bigint, v double"
@@ -213,3 +215,20 @@ def test_a_silent_stream_does_not_hold_back_the_others(spark):
         assert sum(r.n for r in spark.table("idle_counts").collect()) == 2
     finally:
         query.stop()
+
+
+def test_late_rows_are_counted_and_kept_as_dead_letters(spark):
+    ddl, width = "customerId string, eventTime bigint, v double", 10_000
+    parts = [[("a", 1_000, 1.0), ("a", 12_000, 2.0), ("b", 50_000, 4.0)], [("a", 2_000, 8.0), ("b", 49_000, 16.0), ("a", None, 99.0)], [("z", 200_000, 0.0), ("b", 45_000, 32.0)]]
+    path, root = scratch_path(spark, "late-input"), scratch_path(spark, "late-out")
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, ddl).coalesce(1).write.parquet(f"{path}/wave={n}")
+        live = spark.readStream.schema(ddl).parquet(path).drop("wave")
+        window_sums_stream(live, ["customerId"], "v", width, 5, root, f"{root}/state", "k", available_now=True).awaitTermination()
+    windows = {(r.customerId, r.windowStartMs): (r.events, r.total) for r in spark.read.parquet(f"{root}/windows").collect()}
+    # the watermark is 45 s behind the first wave: the second's row of 2 s is late, that of 49 s is not
+    assert windows == {("a", 0): (1, 1.0), ("a", 10_000): (1, 2.0), ("b", 40_000): (2, 48.0), ("b", 50_000): (1, 4.0)}
+    dead = spark.read.parquet(f"{root}/late").collect()
+    assert [(r.failure_reason, r.original_customer_id, r.original_event_time_ms) for r in dead] == [("LATE_EVENT", "a", 2_000)]
+    versions = sorted(p.name for p in Path(root.removeprefix("file:"), "clock").iterdir() if p.name.startswith("version"))
+    assert versions == ["version=1", "version=2"]
