@@ -192,7 +192,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return model
     chosen = usable.where(turn(F.col("key")) < F.when(F.col("label") == 1, sample_docs / toxic).otherwise(sample_docs / ordinary))
     narrow = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    sample = cut_lineage(narrow.join(F.broadcast(chosen), "key").withColumn("third", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(3))))
+    # The sample is small, so as many parts as there are cores do: every task with Python beyond
+    # them is one more worker process beside the others on its executor.
+    parts = docs.sparkSession.sparkContext.defaultParallelism
+    sample = cut_lineage(narrow.join(F.broadcast(chosen), "key").withColumn("third", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(3))).repartition(parts))
 
     def signatures() -> Callable[[list, list], dict]:
         return lambda texts, _: {"near": [near_copy_key(t) for t in texts], "bands": [bands(t) for t in texts], "words": [words_of(t) for t in texts], "body": texts}
@@ -200,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     first = over_texts(sample.where("third > 0"), "label", "text", signatures, "near long, bands array<string>, words array<string>, body string", "key")
     # of copies the toxic one, and of those one that does not depend on the order of rows
     one = F.min_by(F.struct("label", "bands", "words", "body"), F.struct(-F.col("label"), F.md5("body")))
-    taken = cut_lineage(first.groupBy("near").agg(one.alias("d")).select("near", "d.*"))
+    taken = cut_lineage(first.groupBy("near").agg(one.alias("d")).select("near", "d.*").repartition(parts))
     rows = taken.select("near", "bands").orderBy("near").collect()
     groups = taken.sparkSession.createDataFrame(list(zip([r["near"] for r in rows], copy_groups([r["bands"] for r in rows]))), "near long, near_group long")
     chosen_words = toxic_words(taken.join(F.broadcast(groups), "near").select("label", "near_group", F.explode("words").alias("word")))
