@@ -23,6 +23,7 @@ KEY = "_anomaly_key"
 _N = STATS[0]
 _VALUE, _MEAN, _SD, _FLAG, _HALO = "_value", "_mean", "_sd", "_flag", "_halo"
 _QUARTILES = "_quartiles"
+_AT = "_at_sample"
 
 
 def anomaly_key(df: DataFrame, key: str | None, stream_key: str) -> Column:
@@ -136,8 +137,24 @@ def _with_halo(split: Split, rows_before: int) -> DataFrame:
     return split.rows.withColumn(_HALO, F.lit(False)).unionByName(copies)
 
 
-def _rolling(split: Split, rule: AnomalyRule) -> Split:
-    """Statistics of the last ``rule.rows`` earlier samples; rows without a value are none."""
+def _after_samples(split: Split, earlier: DataFrame) -> Split:
+    """The samples of earlier runs (key, at, value) as rows in front of their keys' rows, in
+    the first chunk of a key that is cut; ``_AT`` is below zero for them."""
+    chunk = F.max(CHUNK) if split.hot else F.lit(None).cast("int")
+    present = split.rows.groupBy(split.key).agg(chunk.alias("_cut"))
+    ahead = earlier.select(F.col("key").alias(split.key), F.col("at").alias(_AT), F.col("value").alias(_VALUE)).join(present, split.key)
+    if split.hot:
+        ahead = ahead.withColumn(CHUNK, F.when(F.col("_cut").isNotNull(), 0))
+    rows = split.rows.withColumn(_AT, F.lit(0).cast("bigint")).unionByName(ahead.drop("_cut"), allowMissingColumns=True)
+    return Split(rows, split.key, (_AT, *split.order), split.hot)
+
+
+def _rolling(split: Split, rule: AnomalyRule, earlier: DataFrame | None = None) -> Split:
+    """Statistics of the last ``rule.rows`` earlier samples, those of earlier runs included;
+    rows without a value are none."""
+    if earlier is not None:
+        found = _rolling(_after_samples(split, earlier), rule).rows
+        return split.with_rows(found.where(F.col(_AT) == 0).drop(_AT))
     rows = _with_halo(split, rule.rows) if split.hot else split.rows
     exact = rule.method == "IQR_EXACT"
     rows = rolling_stats(rows, split.groups, list(split.order), _VALUE, rule.rows, exact)
@@ -158,13 +175,15 @@ def detect_anomalies(
     sizing: DataFrame | None = None,
     initial: DataFrame | None = None,
     keep_values: bool = False,
+    samples: DataFrame | None = None,
 ) -> DataFrame:
     """Flag, dead-letter or drop outliers. Rows of a key count in (time,
     position) order; ``position`` must be unique per row. Key sizes are taken
     from ``sizing`` where given: the rows before dedup serve, at less cost.
     ``initial`` holds (key, rule number, count, mean, squared deviations) of
-    earlier runs; ``keep_values`` keeps what to add to them, see
-    ``moments_after``."""
+    earlier runs, ``samples`` (key, rule number, place below zero, value) the last
+    samples of rules with a window; ``keep_values`` keeps what to add to them, see
+    ``moments_after`` and ``samples_after``."""
     df = with_verdict(df)
     if not rules:
         return df
@@ -184,20 +203,45 @@ def detect_anomalies(
         if keep_values:
             split = split.with_rows(split.rows.withColumn(f"{_VALUE}_{number}", F.col(_VALUE)))
         before = None if initial is None else initial.where(F.col("rule") == number).select("key", "n", "mean", "squares")
-        split = _rolling(split, rule) if rule.rows else _cumulative(split, before)
+        earlier = None if samples is None else samples.where(F.col("rule") == number)
+        split = _rolling(split, rule, earlier) if rule.rows else _cumulative(split, before)
         split = split.with_rows(_apply_verdict(split.rows.withColumn(_FLAG, _outside(rule)), rule))
-    return split.rows.drop(CHUNK, *own, *([] if keep_values else [KEY]))
+    return split.rows.drop(*own, *([] if keep_values else [KEY, CHUNK]))
 
 
 MOMENTS_DDL = "key string, rule int, n bigint, mean double, squares double"
+SAMPLES_DDL = "key string, rule int, at bigint, value double"
+
+
+def kept_columns(rules: list[AnomalyRule]) -> list[str]:
+    """What ``detect_anomalies`` adds to its rows with ``keep_values``."""
+    return [KEY, CHUNK, *[f"{_VALUE}_{i}" for i in range(len(rules))]]
+
+
+def samples_after(checked: DataFrame, rules: list[AnomalyRule], initial: DataFrame, order: list[str]) -> DataFrame:
+    """The last samples per key and windowed rule after a run that kept its values. A key that
+    was cut gives the last ones of each chunk first, so no task sorts all of its rows."""
+    found = checked.sparkSession.createDataFrame([], SAMPLES_DDL)
+    groups = [KEY, *([CHUNK] if CHUNK in checked.columns else [])]
+    last = [F.desc(c) for c in order]
+    for number, rule in enumerate(rules):
+        if not rule.rows:
+            continue
+        own = checked.select(*groups, *order, F.col(f"{_VALUE}_{number}").alias("value")).where(F.col("value").isNotNull())
+        own = own.withColumn("_n", F.row_number().over(Window.partitionBy(*groups).orderBy(*last))).where(F.col("_n") <= rule.rows)
+        own = own.select(F.col(KEY).alias("key"), F.lit(0).cast("bigint").alias("at"), *order, "value")
+        before = initial.where(F.col("rule") == number).select("key", "at", "value")
+        both = own.unionByName(before, allowMissingColumns=True)
+        both = both.withColumn("_n", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("at"), *last))).where(F.col("_n") <= rule.rows)
+        found = found.unionByName(both.select("key", F.lit(number).alias("rule"), (-F.col("_n")).cast("bigint").alias("at"), "value"))
+    return found
 
 
-def moments_after(checked: DataFrame, rules: int, initial: DataFrame) -> DataFrame:
-    """Moments per key and rule after a run of ``detect_anomalies`` that kept
+def moments_after(checked: DataFrame, rules: list[AnomalyRule], initial: DataFrame) -> DataFrame:
+    """Moments per key and cumulative rule after a run of ``detect_anomalies`` that kept
     its values. Totals combine before the shuffle."""
-    long = checked.select(
-        F.col(KEY).alias("key"), F.posexplode(F.array(*[F.col(f"{_VALUE}_{i}") for i in range(rules)])).alias("rule", "value")
-    ).where(F.col("value").isNotNull())
+    values = [F.when(F.lit(not rule.rows), F.col(f"{_VALUE}_{i}")) for i, rule in enumerate(rules)]
+    long = checked.select(F.col(KEY).alias("key"), F.posexplode(F.array(*values)).alias("rule", "value")).where(F.col("value").isNotNull())
     totals = long.groupBy("key", "rule").agg(
         F.count("value").alias("n1"), F.avg("value").alias("mean1"), (F.var_pop("value") * F.count("value")).alias("squares1")
     )

@@ -3,8 +3,8 @@
 A keyed processor handles one key in one task. Where single keys are very large,
 these steps run the batch operators inside ``foreachBatch`` instead, so a hot key
 is split as in batch, and carry between micro-batches a Parquet table with little
-per key: the last accepted time, three moments per rule, or the events of scans
-that are still open. Version N of a table is written by batch N and read by batch
+per key: the last accepted time, three moments or the last samples per rule, or the
+events of scans that are still open. Version N of a table is written by batch N and read by batch
 N + 1; a repeated batch reads the same version and writes the same result. Each
 batch rewrites its table, so triggers should be minutes rather than seconds.
 """
@@ -19,14 +19,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import AnomalyRule, StreamDefinition
 from ..functions.numbers import field_or_null
-from ..operators.anomaly import KEY as ANOMALY_KEY, MOMENTS_DDL, detect_anomalies, moments_after
+from ..operators.anomaly import MOMENTS_DDL, SAMPLES_DDL, detect_anomalies, kept_columns, moments_after, samples_after
 from ..operators.dedup import DEDUP, key_text, limit_ms
 from ..operators.ordered import HOT_ROWS
 from ..operators.scans import SNAPSHOT_TIMEOUT_MS, merge_runs, run_rows
 from ..operators.ttl import FOLD_ROWS, accepted_rows
-from ..operators.verdict import FAILURES, LIVE, append_failure, failure, with_verdict
+from ..operators.verdict import FAILURES, LIVE, POSITION, append_failure, failure, with_verdict
 from ..session import cut_lineage, path_files
 from .jobs import start
+from .operators import row_hash
 
 LAST_DDL = "_dedup_key string, last bigint"
 CLOCK_DDL = "newest bigint"
@@ -80,16 +81,15 @@ def dedup_batch(
 
 
 def anomaly_batch(
-    rows: DataFrame, moments: DataFrame, rules: list[AnomalyRule], stream_key: str, key: str | None, time: str, position: str,
-    hot_rows: int = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Verdicts on a micro-batch and the moments after it; cumulative rules only."""
-    if any(rule.rows for rule in rules):
-        raise NotImplementedError("rules on a window of samples run in detect_anomalies_stream")
-    checked = detect_anomalies(rows, rules, stream_key, key, time, position, hot_rows, initial=moments, keep_values=True)
+    rows: DataFrame, moments: DataFrame, samples: DataFrame, rules: list[AnomalyRule], stream_key: str, key: str | None,
+    time: str, position: str, hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verdicts on a micro-batch, and after it the moments of cumulative rules and the last
+    samples of rules with a window."""
+    checked = detect_anomalies(rows, rules, stream_key, key, time, position, hot_rows, initial=moments, keep_values=True, samples=samples)
     checked = cut_lineage(checked)
-    after = moments_after(checked, len(rules), moments)
-    return checked.drop(ANOMALY_KEY, *[f"_value_{i}" for i in range(len(rules))]), after
+    after = moments_after(checked, rules, moments), samples_after(checked, rules, samples, [time, position])
+    return checked.drop(*kept_columns(rules)), *after
 
 
 def snapshot_batch(
@@ -122,34 +122,40 @@ def newest_time(batch: DataFrame, clock: DataFrame, time: str) -> int:
 
 def quality_carried(
     df: DataFrame, definition: StreamDefinition, write: Callable[[DataFrame, int], None], root: str, checkpoint: str,
-    time: str = "eventTime", position: str = "eventId", available_now: bool = False,
+    time: str = "eventTime", position: str | None = None, available_now: bool = False,
     fold_rows: int = FOLD_ROWS, hot_rows: int = HOT_ROWS,
 ) -> StreamingQuery:
     """The chain of one stream; ``write`` gets the verdict frame of each batch.
-    Keys last accepted longer than the limit before the watermark are let go."""
+    Keys last accepted longer than the limit before the watermark are let go. Without
+    a ``position`` column, rows of equal time count in the order of their hashes; equal
+    rows are told apart by a number within the batch."""
     from ..plans.quality import stateless_verdicts
 
     quality = definition.quality
     spark = df.sparkSession
-    last, moments, clock = (
-        CarriedTable(f"{root}/{name}", ddl) for name, ddl in (("last", LAST_DDL), ("moments", MOMENTS_DDL), ("clock", CLOCK_DDL))
+    last, moments, samples, clock = (
+        CarriedTable(f"{root}/{name}", ddl)
+        for name, ddl in (("last", LAST_DDL), ("moments", MOMENTS_DDL), ("samples", SAMPLES_DDL), ("clock", CLOCK_DDL))
     )
+    place = position or POSITION
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = cut_lineage(batch)
+        rows = cut_lineage(batch if position else batch.withColumn(POSITION, F.format_string("%016x-%d", row_hash(batch), F.monotonically_increasing_id())))
         newest = newest_time(rows, clock.before(spark, batch_id), time)
         if quality and quality.dedup_fields:
             rows, after = dedup_batch(
-                rows, last.before(spark, batch_id), quality.dedup_fields, quality.dedup_ttl_hours, time, position, fold_rows
+                rows, last.before(spark, batch_id), quality.dedup_fields, quality.dedup_ttl_hours, time, place, fold_rows
             )
             horizon = newest - definition.watermark_lag_seconds * 1000 - int(quality.dedup_ttl_hours * 3_600_000)
             last.after(after.where(F.col("last") > horizon), batch_id)
         if quality and quality.anomaly_detection:
-            rows, after = anomaly_batch(
-                rows, moments.before(spark, batch_id), quality.anomaly_detection, definition.key, quality.anomaly_key, time, position, hot_rows
+            rows, sums, newest_samples = anomaly_batch(
+                rows, moments.before(spark, batch_id), samples.before(spark, batch_id),
+                quality.anomaly_detection, definition.key, quality.anomaly_key, time, place, hot_rows,
             )
-            moments.after(after, batch_id)
-        write(rows, batch_id)
+            moments.after(sums, batch_id)
+            samples.after(newest_samples, batch_id)
+        write(rows.drop(POSITION), batch_id)
         clock.after(spark.createDataFrame([(newest,)], CLOCK_DDL), batch_id)
 
     verdicts = stateless_verdicts(df, definition)

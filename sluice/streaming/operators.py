@@ -23,12 +23,16 @@ def _plus(df: DataFrame, name: str, dtype: T.DataType) -> T.StructType:
     return T.StructType([*fields, T.StructField(name, dtype)])
 
 
+def row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
 def with_order(df: DataFrame, position: str | None) -> tuple[DataFrame, str, list[str]]:
     """A column that orders rows of equal time, and what to drop afterwards. Streams
     without a position of their own take a hash of the row: only equal rows tie."""
     if position is not None:
         return df, position, []
-    return df.withColumn(ORDER, F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))), ORDER, [ORDER]
+    return df.withColumn(ORDER, row_hash(df)), ORDER, [ORDER]
 
 
 def state_key(key: Column, position: str) -> Column:
