@@ -58,7 +58,7 @@ def append_failure(condition: Column, entry: Column) -> Column:
     return F.when(condition, grown).otherwise(F.col(FAILURES))
 
 
-def fail_rows(df: DataFrame, operator: str, reason: str, message: Column) -> DataFrame:
+def fail_rows(df: DataFrame, operator: str, reason: str | Column, message: Column) -> DataFrame:
     """Dead-letter and suppress the live rows for which ``message`` is not null."""
     failed = F.col(LIVE) & message.isNotNull()
     return df.withColumns(

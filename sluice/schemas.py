@@ -6,10 +6,10 @@ the record layout producers write. Times are epoch milliseconds.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cache
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Every stream's record as Spark DDL.
 STREAM_DDL: dict[str, str] = {
@@ -411,17 +411,24 @@ def _default_column(value: object, dtype: T.DataType):
     return F.lit(value).cast(dtype)
 
 
-def align_to_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """Backward-compatible read: absent fields appear with their default, fields
-    of another type are cast (null where that fails), extra fields stay."""
+def aligned(schema: T.StructType, present: T.StructType, pick: Callable[[str], Column], defaults: Mapping[str, object] | None = None) -> list[Column]:
+    """The fields of ``schema`` from a record with the fields ``present``: absent ones have
+    their default, those of another type are cast (null where that fails)."""
     defaults = defaults or {}
     columns = []
     for field in schema.fields:
-        if field.name not in df.columns:
-            columns.append(_default_column(defaults.get(field.name), field.dataType).alias(field.name))
-        elif df.schema[field.name].dataType == field.dataType:
-            columns.append(F.col(f"`{field.name}`"))
+        if field.name not in present.names:
+            column = _default_column(defaults.get(field.name), field.dataType)
+        elif present[field.name].dataType == field.dataType:
+            column = pick(field.name)
         else:
-            columns.append(F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name))
+            column = pick(field.name).try_cast(field.dataType)
+        columns.append(column.alias(field.name))
+    return columns
+
+
+def align_to_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """Backward-compatible read, see ``aligned``; extra fields stay."""
+    columns = aligned(schema, df.schema, lambda name: F.col(f"`{name}`"), defaults)
     extra = [F.col(f"`{name}`") for name in df.columns if name not in schema.names]
     return df.select(*columns, *extra)

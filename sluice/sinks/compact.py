@@ -43,9 +43,21 @@ def _newest(spark: SparkSession, path: str) -> tuple[int, list[str], int]:
     return max(known), sorted(r["folder"] for r in rows if r["folder"]), max(r["last_batch"] for r in rows)
 
 
+def _has_data(spark: SparkSession, folder: str) -> bool:
+    """A micro-batch without rows leaves a folder without files when it is partitioned."""
+    files, root = path_files(spark, folder)
+    walk = files.listFiles(root, True)
+    while walk.hasNext():
+        if not walk.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def _read(spark: SparkSession, folders: list[str]) -> DataFrame:
     """The folders' rows; each has partition columns below it, so each is a table of its own."""
-    frames = [spark.read.option("basePath", folder).parquet(folder) for folder in folders]
+    frames = [spark.read.option("basePath", folder).parquet(folder) for folder in folders if _has_data(spark, folder)]
+    if not frames:
+        raise FileNotFoundError(f"no rows in {', '.join(folders) or 'a table without batches'}")
     first, *others = frames
     for frame in others:
         first = first.unionByName(frame, allowMissingColumns=True)
@@ -100,6 +112,8 @@ def compact(spark: SparkSession, path: str, partition_columns: list[str] | None
     if not batches:
         return 0
     names = [f"{path}/{name}" for _, name in sorted(batches.items())]
+    if not any(_has_data(spark, name) for name in names):
+        return 0
     sizes: dict[tuple, int] = {}
     for name in names:
         for place, size in _bytes_by_partition(spark, name).items():

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..config import SourceConfig, StreamDefinition
 from ..functions.numbers import field_or_null
-from ..operators.verdict import INGEST_TIME, STREAM_KEY
-from ..schemas import align_to_schema, read_schema, schema_defaults
+from ..operators.verdict import INGEST_TIME, STREAM_KEY, dead_letters, fail_rows, with_verdict
+from ..schemas import align_to_schema, aligned, read_schema, schema_defaults
 
 EVENT_TS = "_event_ts"
 _BEAT = "_heartbeat"
@@ -42,7 +44,9 @@ def _format_and_options(definition: StreamDefinition) -> tuple[str, dict[str, st
 
 def decode(df: DataFrame, definition: StreamDefinition) -> DataFrame:
     """The payload of a bus source, as its declared format says: JSON (the default), or
-    Avro with the writer's schema in the option ``avroSchema``."""
+    Avro with the writer's schema in the option ``avroSchema``. Avro with an
+    ``avroSchemas`` option, writers' schemas by registry id as JSON, is routed by the id in
+    front of each payload and resolved to ``avroSchema``."""
     source, payload = definition.source, PAYLOADS[definition.source.type]
     declared = (source.format or "json").lower()
     if declared == "json":
@@ -50,6 +54,10 @@ def decode(df: DataFrame, definition: StreamDefinition) -> DataFrame:
     if declared == "avro":
         if "avroSchema" not in source.options:
             raise ValueError(f"the Avro source of {definition.key!r} needs the option avroSchema")
+        if "avroSchemas" in source.options:
+            decoders = avro_decoders(json.loads(source.options["avroSchemas"]), source.options["avroSchema"])
+            routed = decode_by_id(df, decoders, payload)
+            return routed.where(F.col(DECODE_ERROR).isNull()).drop(DECODE_ERROR)
         return decode_avro(df, source.options["avroSchema"], payload=payload)
     raise ValueError(f"payload format {source.format!r} is not json or avro")
 
@@ -118,6 +126,82 @@ def decode_avro(df: DataFrame, schema_json: str, payload: str = "value") -> Data
     return df.select(*others, record.alias("_record")).where(F.col("_record").isNotNull()).select(*others, "_record.*")
 
 
+# What stands in front of a payload whose schema is in a registry.
+MAGIC_BYTE, ID_BYTES = 0, 4
+DECODE_ERROR, DECODER = "_decode_error", "SchemaIdDecoder"
+BAD_HEADER, UNKNOWN_SCHEMA, BAD_PAYLOAD = "BAD_HEADER", "UNKNOWN_SCHEMA_ID", "BAD_PAYLOAD"
+Decoder = Callable[[Column], Column]
+
+
+def avro_decoders(writers: Mapping[str | int, str | dict], reader: str) -> dict[int, Decoder]:
+    """A decoder per registry id, from the writer's schema of that id to the reader's: fields
+    that the writer lacks get the reader's default, others are left out. Needs the external
+    Avro module on the class path."""
+    from pyspark.sql.avro.functions import from_avro
+
+    def decoder(writer: str | dict) -> Decoder:
+        text = writer if isinstance(writer, str) else json.dumps(writer)
+        return lambda body: from_avro(body, text, {"mode": "PERMISSIVE", "avroSchema": reader})
+
+    return {int(number): decoder(writer) for number, writer in writers.items()}
+
+
+def json_decoders(writers: Mapping[int, T.StructType], reader: T.StructType, defaults: Mapping[str, object] | None = None) -> dict[int, Decoder]:
+    """The same for JSON bodies, with the casts and defaults of ``align_to_schema``."""
+
+    def decoder(writer: T.StructType) -> Decoder:
+        def read(body: Column) -> Column:
+            record = F.from_json(body.cast("string"), T.StructType([*writer.fields, T.StructField(_CORRUPT, T.StringType())]),
+                                 {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+            fields = F.struct(*aligned(reader, writer, lambda name: record[name], defaults))
+            return F.when(record.isNotNull() & record[_CORRUPT].isNull(), fields)
+
+        return read
+
+    return {number: decoder(writer) for number, writer in writers.items()}
+
+
+def decode_by_id(df: DataFrame, decoders: Mapping[int, Decoder], payload: str = "value") -> DataFrame:
+    """Payloads that start with a zero byte and the id of their writer's schema (four bytes,
+    high first), each decoded once, by its id's decoder; all decoders give one record type.
+
+    Every row stays. ``_decode_error`` is null for decoded rows, else the reason: no header
+    (empty, too short, another first byte), an id without decoder, a body that does not
+    decode. Fields of such rows are null and the payload stays in ``_payload``, so they can
+    go to the dead letters; ``undecoded_letters`` turns them into such."""
+    if not decoders:
+        raise ValueError("no schema id has a decoder")
+    raw = F.col(f"`{payload}`").cast("binary")
+    header = F.length(raw) >= 1 + ID_BYTES
+    first = F.conv(F.hex(F.substring(raw, 1, 1)), 16, 10).cast("int")
+    number = F.conv(F.hex(F.substring(raw, 2, ID_BYTES)), 16, 10).cast("bigint")
+    framed = df.withColumn("_schema_id", F.when(header & (first == MAGIC_BYTE), number))
+    body = F.expr(f"substring(cast(`{payload}` as binary), {2 + ID_BYTES})")
+    record = None
+    for known, read in sorted(decoders.items()):
+        hit = F.col("_schema_id") == F.lit(known).cast("bigint")
+        record = F.when(hit, read(body)) if record is None else record.when(hit, read(body))
+    decoded = framed.withColumn("_record", record)
+    error = (
+        F.when(F.col("_schema_id").isNull(), BAD_HEADER)
+        .when(~F.col("_schema_id").isin([int(known) for known in decoders]), UNKNOWN_SCHEMA)
+        .when(F.col("_record").isNull(), BAD_PAYLOAD)
+    )
+    others = [F.col(f"`{name}`") for name in df.columns if name != payload]
+    names = decoded.schema["_record"].dataType.names
+    fields = [F.col(f"_record.`{name}`").alias(name) for name in names]
+    return decoded.select(*others, *fields, F.when(error.isNotNull(), raw).alias("_payload"), error.alias(DECODE_ERROR))
+
+
+def undecoded_letters(routed: DataFrame, stream_key: str) -> DataFrame:
+    """Rows of ``decode_by_id`` that did not decode as dead letters; their record is the
+    payload in base64 with what the bus says about it."""
+    bad = routed.where(F.col(DECODE_ERROR).isNotNull())
+    bad = bad.withColumn("_payload", F.base64("_payload"))
+    failed = fail_rows(with_verdict(bad), DECODER, F.col(DECODE_ERROR), F.lit("Payload does not decode"))
+    return dead_letters(failed.drop(DECODE_ERROR), stream_key)
+
+
 def with_envelope(df: DataFrame, stream_key: str, ingest_time: Column | None = None) -> DataFrame:
     """Every row carries its stream's key and the wall clock of its arrival."""
     return df.withColumns({STREAM_KEY: F.lit(stream_key), INGEST_TIME: ingest_time if ingest_time is not None else F.current_timestamp()})
