@@ -155,7 +155,8 @@ def test_limits_below_a_millisecond_are_refused(spark):
             dedup(frame, ["customerId"], hours, position="seq")
 
 
-def test_ingest_stream_and_repeat(spark):
+@pytest.mark.parametrize("carried", [False, True])
+def test_ingest_stream_and_repeat(spark, carried):
     topology = load_topology()
     definition = topology.stream("customer-loyalty")
     root, source, state = (scratch_path(spark, n) for n in ("ingest", "ingest-in", "ingest-state"))
@@ -164,7 +165,8 @@ def test_ingest_stream_and_repeat(spark):
     def arrive(number, rows):
         spark.createDataFrame(rows, ddl).write.parquet(f"{source}/wave={number}")
         stream = read_stream(spark, definition, source).withColumn("eventId", F.concat_ws("-", "customerId", "eventTime", "pointsDelta"))
-        ingest_stream(stream, definition, topology.dlq, root, state, available_now=True).awaitTermination()
+        tables = f"{root}/carried" if carried else None
+        ingest_stream(stream, definition, topology.dlq, root, state, available_now=True, carried=tables).awaitTermination()
 
     arrive(1, [("c1", 1000, "ENROLLED", 5, 5, "1"), ("c2", 1000, "ENROLLED", 500_000, 5, "2")])
     arrive(2, [("c1", 1000, "ENROLLED", 5, 5, "3"), ("c3", 2000, "ENROLLED", 1, 1, "4")])
