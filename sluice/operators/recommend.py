@@ -7,6 +7,7 @@ with no product-by-snapshot pairs and no shuffle for the top N.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,8 +36,9 @@ MIN_SCORE_CHANGE = 3.0
 SCAN_TTL_DAYS = 90
 PURCHASE_LOOKBACK_DAYS = 365
 DAY_MS = 86_400_000
-# Products of a basket that meet in one group.
-BLOCK_ITEMS = 1000
+# Products of a basket that meet in one group; pairs that a task counts; baskets of a product
+# from which its pairs with others like it combine before the shuffle.
+BLOCK_ITEMS, TASK_PAIRS, HOT_BASKETS = 1000, 4_000_000, 1_000_000
 
 
 def concern_weights(scores: Column, higher_is_worse: tuple[str, ...] = ()) -> Column:
@@ -101,7 +103,8 @@ def next_purchases(
 
 
 def copurchases(
-    orders: DataFrame, min_baskets: int, basket: str = "customerId", block_items: int = BLOCK_ITEMS
+    orders: DataFrame, min_baskets: int, basket: str = "customerId", block_items: int = BLOCK_ITEMS,
+    task_pairs: int = TASK_PAIRS, hot_baskets: int = HOT_BASKETS,
 ) -> DataFrame:
     """(productId, otherId, baskets) for every two products that at least ``min_baskets`` baskets
     (customers, or orders) have in common, the smaller id first; exact counts.
@@ -109,18 +112,39 @@ def copurchases(
     A pair is in no more baskets than either product, so products in fewer go first. A basket
     of more than ``block_items`` products is cut into blocks, and every two of its blocks meet
     in a group of their own, so its pairs come from as many groups as it has pairs of blocks.
-    Counts combine before their shuffle."""
+    Products go by number, and pairs are dealt by pair to as many tasks as there are
+    ``task_pairs`` of them, so what a task counts does not grow with the input. Pairs of two
+    products that are both in more than ``hot_baskets`` baskets, which are few, combine before
+    their shuffle instead."""
     rows = orders.select(F.col(basket).alias("_basket"), "productId").where("_basket IS NOT NULL AND productId IS NOT NULL").distinct()
     frequent = rows.groupBy("productId").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_baskets)
-    rows = rows.join(frequent.select("productId"), "productId", "left_semi")
+    numbered = cut_lineage(frequent.select("productId", F.monotonically_increasing_id().alias("_p"), (F.col("_n") > hot_baskets).alias("_hot")))
+    rows = rows.join(numbered, "productId").select("_basket", "_p", "_hot")
     # A basket's size needs no window over it; the join splits large baskets.
     sizes = rows.groupBy("_basket").agg(F.ceil(F.count(F.lit(1)) / block_items).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_items"))
-    dealt = rows.join(sizes.where("_items > 1"), "_basket").withColumn("_own", F.pmod(F.xxhash64("productId"), F.col("_blocks")).cast("int"))
-    left = dealt.select("_basket", F.col("_own").alias("_i"), F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("_j"), F.col("productId").alias("_a"))
-    right = dealt.select("_basket", F.explode(F.sequence(F.lit(0), "_own")).alias("_i"), F.col("_own").alias("_j"), F.col("productId").alias("_b"))
-    pairs = left.join(right, ["_basket", "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col("_a") < F.col("_b")))
-    counted = pairs.groupBy(F.least("_a", "_b").alias("productId"), F.greatest("_a", "_b").alias("otherId")).agg(F.count(F.lit(1)).alias("baskets"))
-    return counted.where(F.col("baskets") >= min_baskets)
+    dealt = rows.join(sizes.where("_items > 1"), "_basket").withColumn("_own", F.pmod(F.xxhash64("_p"), F.col("_blocks")).cast("int"))
+    dealt = cut_lineage(dealt)
+    total, hot = dealt.agg(F.sum(F.col("_items") - 1) / 2, F.max("_hot")).first()
+    tasks = max(dealt.sparkSession.sparkContext.defaultParallelism, math.ceil((total or 0) / task_pairs))
+    pairs = _basket_pairs(dealt, tasks)
+    cold = pairs.where(~(F.col("_hot_a") & F.col("_hot_b"))) if hot else pairs
+    counted = cold.select("_a", "_b").repartition(tasks, "_a", "_b").groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("baskets"))
+    if hot:
+        own = _basket_pairs(dealt.where("_hot"), tasks)
+        counted = counted.unionByName(own.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("baskets")))
+    found = counted.where(F.col("baskets") >= min_baskets)
+    for end in ("_a", "_b"):
+        found = found.join(numbered.select(F.col("_p").alias(end), F.col("productId").alias(f"{end}_id")), end)
+    return found.select(F.least("_a_id", "_b_id").alias("productId"), F.greatest("_a_id", "_b_id").alias("otherId"), "baskets")
+
+
+def _basket_pairs(dealt: DataFrame, tasks: int) -> DataFrame:
+    """Every two products of a basket once, the smaller number first."""
+    left = dealt.select("_basket", F.col("_own").alias("_i"), F.explode(F.sequence("_own", F.col("_blocks") - 1)).alias("_j"), F.col("_p").alias("_x"), F.col("_hot").alias("_hot_a"))
+    right = dealt.select("_basket", F.explode(F.sequence(F.lit(0), "_own")).alias("_i"), F.col("_own").alias("_j"), F.col("_p").alias("_y"), F.col("_hot").alias("_hot_b"))
+    keys = ["_basket", "_i", "_j"]
+    pairs = left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys).where((F.col("_i") < F.col("_j")) | (F.col("_x") < F.col("_y")))
+    return pairs.select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b"), "_hot_a", "_hot_b")
 
 
 def latest_skin_type(preferences: DataFrame, time: str = "eventTime") -> DataFrame:

@@ -1,6 +1,8 @@
 """Scoring and top N against scoring every pair."""
 
+import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +166,20 @@ def test_copurchases_are_exact_and_heavy_customers_split(spark, block_items):
             got = {(r.productId, r.otherId): r.baskets for r in rec.copurchases(df, least, basket, block_items).collect()}
             assert got == {pair: n for pair, n in counts.items() if n >= least}
     assert rec.copurchases(df.limit(0), 1).count() == 0
+
+
+@pytest.mark.parametrize("hot_baskets", [1_000_000, 20])
+def test_copurchase_tasks_follow_the_pairs(spark, hot_baskets):
+    """Tasks that count pairs grow in number, not in size; pairs of two frequent products combine apart."""
+    rows = [(f"c{k}", f"p{(k * 7 + i * i) % 60:02d}") for k in range(120) for i in range(12)] + [(f"c{k}", p) for k in range(120) for p in ("x", "y")]
+    counts = {}
+    for k in range(120):
+        own = sorted({p for c, p in rows if c == f"c{k}"})
+        for a, b in itertools.combinations(own, 2):
+            counts[(a, b)] = counts.get((a, b), 0) + 1
+    df = spark.createDataFrame(rows, "customerId string, productId string")
+    few, many = (rec.copurchases(df, 2, task_pairs=n, hot_baskets=hot_baskets) for n in (1_000_000, 100))
+    for found in (few, many):
+        assert {(r.productId, r.otherId): r.baskets for r in found.collect()} == {pair: n for pair, n in counts.items() if n >= 2}
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(_a#\d+L, _b#\d+L, (\d+)\)", many._jdf.queryExecution().executedPlan().toString())]
+    assert dealt and max(dealt) >= sum(counts.values()) / 100
