@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..config import AnomalyRule
+from ..config import AnomalyRule, QualityConfig, StreamDefinition
 from ..operators.verdict import ANOMALY, FAILURES, LIVE
 from ..plans.adapters import SCAN_SQL, TELEMETRY_SQL, scan_events_of, table, telemetry_of
 from ..session import scratch_path
 from ..sources.readers import stream_table, with_event_time
+from ..streaming.carry import baselines_carried, quality_carried, recommend_carried, run_carried, snapshots_carried
 from ..streaming.jobs import baselines_stream, recommend_stream, run_available, snapshots_stream
 from ..streaming.late import window_sums_stream
 from ..streaming.operators import dedup_stream, detect_anomalies_stream
@@ -66,7 +67,7 @@ CLOSED_SQL = f"""closed AS (
 
 @query("scan_snapshots_stream", f"WITH RECURSIVE {TIMED_SQL}, {CLOSED_SQL} SELECT {FLAT_SQL} FROM closed")
 def scan_snapshots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(run_available(snapshots_stream(live_scans(spark, sf_dir), position="seq", timeout_ms=LONG_TIMEOUT_MS), "snapshots"))
+    return flat(run_carried(live_scans(spark, sf_dir), snapshots_carried, "snapshots", lag_seconds=LAG_SECONDS, timeout_ms=LONG_TIMEOUT_MS))
 
 
 _CLOSED_LONG_SQL = " UNION ALL ".join(

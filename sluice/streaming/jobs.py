@@ -71,18 +71,15 @@ def ingest_stream(
     return start(verdicts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
 
 
-def recommend_stream(
-    snaps: DataFrame,
+def recommender(
     catalog: Callable[[], DataFrame],
     write: Callable[[DataFrame, int], None],
-    checkpoint: str,
     preferences: Callable[[], DataFrame] | None = None,
     bought: Callable[[], DataFrame] | None = None,
     top_n: int = rec.TOP_N,
-    available_now: bool = False,
-) -> StreamingQuery:
-    """Recommendations per micro-batch of snapshots. The tables are read again
-    for every micro-batch, so catalogue changes take effect with the next one."""
+) -> Callable[[DataFrame, int], None]:
+    """What writes the recommendations of a micro-batch of snapshots. The tables are read
+    again for every micro-batch, so catalogue changes take effect with the next one."""
 
     def score(batch: DataFrame, batch_id: int) -> None:
         found = rec.recommend(
@@ -90,6 +87,21 @@ def recommend_stream(
         )
         write(found, batch_id)
 
+    return score
+
+
+def recommend_stream(
+    snaps: DataFrame,
+    catalog: Callable[[], DataFrame],
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    preferences: Callable[[], DataFrame] | None = None,
+    bought: Callable[[], DataFrame] | None = None,
+    top_n: int = rec.TOP_N,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Recommendations per micro-batch of snapshots, see ``recommender``."""
+    score = recommender(catalog, write, preferences, bought, top_n)
     return start(snaps.writeStream.option("checkpointLocation", checkpoint).foreachBatch(score), available_now)
 
 
