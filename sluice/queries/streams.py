@@ -85,8 +85,8 @@ _CLOSED_LONG_SQL = " UNION ALL ".join(
     HAVING window_start_ms + 1800000 <= (SELECT max(eventTime) FROM scan_dim) - {LAG_SECONDS * 1000}""",
 )
 def scan_baseline_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = baselines_stream(live_scans(spark, sf_dir), timeout_ms=LONG_TIMEOUT_MS, position="seq")
-    return run_available(found, "baselines").select(
+    found = run_carried(live_scans(spark, sf_dir), baselines_carried, "baselines", lag_seconds=LAG_SECONDS, timeout_ms=LONG_TIMEOUT_MS)
+    return found.select(
         F.col("customerId").cast("bigint").alias("customer_no"), F.col("windowStartMs").alias("window_start_ms"),
         "dimension", F.round("mean", 6).alias("mean"), "snapshots",
     )
