@@ -42,9 +42,10 @@ def live_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id AS seq, accepted AS live, CASE WHEN NOT accepted THEN 'DUPLICATE_EVENT' END AS reason FROM chain""",
 )
 def q_dedup_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = dedup_stream(live_telemetry(spark, sf_dir), ["customerId"], 24, position="seq")
+    definition = StreamDefinition("telemetry", quality=QualityConfig(dedup_key="customerId", dedup_ttl_hours=24))
+    marked = run_carried(live_telemetry(spark, sf_dir), quality_carried, "dedup", definition=definition, position="seq")
     reason = F.get(F.col(FAILURES), 0)["reason"].alias("reason")
-    return run_available(marked.select("seq", F.col(LIVE).alias("live"), reason), "dedup")
+    return marked.select("seq", F.col(LIVE).alias("live"), reason)
 
 
 @query(
