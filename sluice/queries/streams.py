@@ -56,8 +56,9 @@ def q_dedup_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_id AS seq, coalesce(n >= 5 AND sd > 0 AND abs(value - m) > 3.0 * sd, FALSE) AS anomaly FROM s""",
 )
 def q_anomaly_stddev_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = detect_anomalies_stream(live_telemetry(spark, sf_dir), [AnomalyRule("value", threshold=3.0)], "telemetry", position="seq")
-    return run_available(marked.select("seq", F.col(ANOMALY).alias("anomaly")), "anomaly")
+    definition = StreamDefinition("telemetry", quality=QualityConfig(anomaly_detection=[AnomalyRule("value", threshold=3.0)]))
+    marked = run_carried(live_telemetry(spark, sf_dir), quality_carried, "anomaly", definition=definition, position="seq")
+    return marked.select("seq", F.col(ANOMALY).alias("anomaly"))
 
 
 # A snapshot that only a timer closes is out once the watermark has passed it.
