@@ -10,9 +10,7 @@ from ..plans.adapters import SCAN_SQL, TELEMETRY_SQL, scan_events_of, table, tel
 from ..session import scratch_path
 from ..sources.readers import stream_table, with_event_time
 from ..streaming.carry import baselines_carried, quality_carried, recommend_carried, run_carried, snapshots_carried
-from ..streaming.jobs import baselines_stream, recommend_stream, run_available, snapshots_stream
 from ..streaming.late import window_sums_stream
-from ..streaming.operators import dedup_stream, detect_anomalies_stream
 from . import query
 from .quality import chain_cte
 from .recommendations import CATALOG_LATEST_SQL, TOP_SQL, _MATCHED, flat_top, products
@@ -148,14 +146,8 @@ def late_dead_letters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT *, row_number() OVER (PARTITION BY sid ORDER BY points DESC, productId) AS rank FROM scored QUALIFY rank <= 5) {TOP_SQL}""",
 )
 def rec_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "recommendations")
-    snaps = snapshots_stream(live_scans(spark, sf_dir), position="seq", timeout_ms=LONG_TIMEOUT_MS)
-    query_handle = recommend_stream(
-        snaps,
-        lambda: products(spark, sf_dir),
-        lambda found, batch_id: found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"),
-        scratch_path(spark, "recommendations-checkpoint"),
-        available_now=True,
+    found = run_carried(
+        live_scans(spark, sf_dir), recommend_carried, "recommendations", catalog=lambda: products(spark, sf_dir),
+        lag_seconds=LAG_SECONDS, timeout_ms=LONG_TIMEOUT_MS,
     )
-    query_handle.awaitTermination()
-    return flat_top(spark.read.parquet(path))
+    return flat_top(found)
