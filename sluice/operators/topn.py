@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
@@ -33,6 +34,8 @@ ship_with_tasks(__name__)
 
 #: Profiles that a task holds at once, and scores that it computes at once.
 PART_PROFILES, BLOCK_SCORES = 20_000, 2_000_000
+#: Profiles that are sorted for all snapshots of a block, more go snapshot by snapshot; snapshots of a block.
+SORTED_PROFILES, BLOCK_ROWS = 1000, 10_000
 PRODUCTS = "array<struct<productId:string,rank:int,score:double,targetConcerns:array<string>>>"
 LISTED = "array<struct<productId:string,concerns:array<string>>>"
 SEPARATOR = "\u0001"
@@ -96,6 +99,13 @@ class Profiles:
         for k, rows in enumerate(groups):
             self.places[k, :len(rows[0]["places"])] = [p - 1 for p in rows[0]["places"]]
         self.effects: dict[str | None, np.ndarray] = {}
+        # all products by id, and where each profile's are among them
+        listed = sorted((name, k, n) for k, own in enumerate(self.products) for n, (name, _) in enumerate(own))
+        self.names = pa.array([name for name, _, _ in listed], pa.string())
+        self.concerns = pa.array([self.products[k][n][1] for _, k, n in listed], pa.list_(pa.string()))
+        self.cells = np.full((len(groups), max((len(own) for own in self.products), default=0)), -1, np.int64)
+        for cell, (_, k, n) in enumerate(listed):
+            self.cells[k, n] = cell
 
     def _effect(self, skin: str | None) -> np.ndarray:
         if skin not in self.effects:
@@ -142,10 +152,58 @@ class Profiles:
         return sorted(found, key=lambda f: f[:2])[:top_n]
 
 
-def improve(rows: DataFrame, part: Profiles, top_n: int) -> DataFrame:
-    """``rows`` (row, weights, skin, own, products) with the products of one more part."""
+    def leading_many(self, points: np.ndarray, own: pa.Array, top_n: int, kind: pa.DataType) -> tuple[pa.Array, np.ndarray]:
+        """What ``leading`` finds for many snapshots at once, and the snapshots for which an
+        owned or free product of the customer's own lists may be among the first: they are
+        left to ``leading``."""
+        score = np.maximum(0.0, points)
+        order = np.where(np.isnan(score), -1.0, score)
+        parent, entries = pc.list_parent_indices(own).to_numpy(), pc.list_flatten(own)
+        profiles = entries.field("profile").dictionary_encode()
+        at = np.array([self.at.get(p, -1) for p in profiles.dictionary.to_pylist()], np.int64)[profiles.indices.to_numpy()]
+        known, changed = at >= 0, entries.field("changed").to_numpy(zero_copy_only=False).astype(bool)
+        parent, at, changed = parent[known], at[known], changed[known]
+        best = np.nan_to_num(np.maximum(0.0, points[parent, at] * self.factors.owned), nan=-1.0, posinf=np.inf)
+        best = np.where(changed, np.maximum(best, order[parent, at]), best)
+        order[parent[changed], at[changed]] = -2.0
+
+        first = np.argsort(-order, axis=1, kind="stable")[:, :top_n]
+        cells = self.cells[first]
+        value = np.broadcast_to(np.take_along_axis(order, first, 1)[:, :, None], cells.shape)
+        key = np.where((cells >= 0) & (value > -2.0), -value, np.inf).reshape(len(points), -1)
+        cells = cells.reshape(len(points), -1)
+        by_id = np.argsort(cells, axis=1)
+        cells, key = np.take_along_axis(cells, by_id, 1), np.take_along_axis(key, by_id, 1)
+        by_score = np.argsort(key, axis=1, kind="stable")[:, :top_n]
+        cells, key = np.take_along_axis(cells, by_score, 1), np.take_along_axis(key, by_score, 1)
+        there = key < np.inf
+        counts = there.sum(axis=1)
+        least = np.where(counts < top_n, -np.inf, -key[:, -1])  # with fewer products every listed one counts
+        left = np.zeros(len(points), bool)
+        left[parent[best >= least[parent]]] = True
+
+        taken, own_key = pa.array(cells[there]), key[there]
+        ranks = np.broadcast_to(np.arange(1, key.shape[1] + 1, dtype=np.int32), key.shape)[there]
+        scores = np.where(own_key > 0.5, np.nan, -own_key) + 0.0  # only a score that is no number sorts behind 0
+        columns = [self.names.take(taken), pa.array(ranks), pa.array(scores), self.concerns.take(taken)]
+        fields = [kind.value_type.field(i) for i in range(kind.value_type.num_fields)]
+        values = pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(columns, fields)], fields=fields)
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), values, type=kind), left
+
+
+def improve(rows: DataFrame, part: Profiles, top_n: int, sorted_profiles: int = SORTED_PROFILES) -> DataFrame:
+    """``rows`` (row, weights, skin, own, products) with the products of one more part. Parts of
+    up to ``sorted_profiles`` profiles are sorted for many snapshots at once."""
     kind = to_arrow_type(StructType.fromDDL(f"p {PRODUCTS}")["p"].dataType)
-    step = max(1, BLOCK_SCORES // max(1, len(part.products)))
+    step = min(BLOCK_ROWS, max(1, BLOCK_SCORES // max(1, len(part.products))))
+
+    def one_by_one(points: np.ndarray, lists: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for total, own, before in zip(points, lists.to_pylist(), found.to_pylist()):
+            kept = [(1.0 if p["score"] != p["score"] else -p["score"], p["productId"], p["score"], p["targetConcerns"]) for p in before or ()]
+            best = part.leading(total, own or (), kept, top_n)
+            out.append([{"productId": n, "rank": k, "score": s + 0.0, "targetConcerns": c} for k, (_, n, s, c) in enumerate(best, 1)])
+        return pa.array(out, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +211,15 @@ def improve(rows: DataFrame, part: Profiles, top_n: int) -> DataFrame:
                 own = batch.slice(start, step)
                 weights = own.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, part.n_concerns)
                 points = part.points(weights, own.column(2).to_pylist())
-                out = []
-                for total, lists, before in zip(points, own.column(3).to_pylist(), own.column(4).to_pylist()):
-                    kept = [(1.0 if p["score"] != p["score"] else -p["score"], p["productId"], p["score"], p["targetConcerns"]) for p in before or ()]
-                    best = part.leading(total, lists or (), kept, top_n)
-                    out.append([{"productId": n, "rank": k, "score": s + 0.0, "targetConcerns": c} for k, (_, n, s, c) in enumerate(best, 1)])
-                yield own.set_column(4, own.schema.field(4), pa.array(out, kind))
+                lists, before = own.column(3), own.column(4)
+                if len(part.products) > sorted_profiles or before.null_count < len(before):
+                    found = one_by_one(points, lists, before)
+                else:
+                    found, left = part.leading_many(points, lists, top_n, kind)
+                    if left.any():
+                        at, which = np.arange(len(points)), np.flatnonzero(left)
+                        at[which] = len(points) + np.arange(len(which))
+                        found = pa.concat_arrays([found, one_by_one(points[which], lists.take(pa.array(which)), before.take(pa.array(which)))]).take(pa.array(at))
+                yield own.set_column(4, own.schema.field(4), found)
 
     return rows.mapInArrow(run, rows.schema)

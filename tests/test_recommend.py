@@ -183,3 +183,28 @@ def test_copurchase_tasks_follow_the_pairs(spark, hot_baskets):
         assert {(r.productId, r.otherId): r.baskets for r in found.collect()} == {pair: n for pair, n in counts.items() if n >= 2}
     dealt = [int(n) for n in re.findall(r"hashpartitioning\(_a#\d+L, _b#\d+L, (\d+)\)", many._jdf.queryExecution().executedPlan().toString())]
     assert dealt and max(dealt) >= sum(counts.values()) / 100
+
+
+def test_blocks_of_snapshots_equal_snapshot_by_snapshot(spark, monkeypatch):
+    """Ties, scores that are no numbers, changed and owned products; few snapshots are left to the slow way."""
+    from sluice.operators import topn
+
+    rng = random.Random(8)
+    kinds = [(c, t) for c in ([1, 7], [4], [8, 8], []) for t in ("a", "b")]
+    heads = [
+        {"profile": f"{k}", "place": n + 1, "productId": f"p{rng.randrange(10**5)}", "concerns": [t], "places": c, "types": [t]}
+        for k, (c, t) in enumerate(kinds) for n in range(1 if k == 3 else 3)
+    ]
+    entry = lambda k: (f"{k}", rng.random() < 0.2, [("free", ["x"])], [(f"own{rng.randrange(99)}", ["y"])])
+    rows = [
+        (i, [float("nan") if i % 31 == 0 else round(rng.random(), 1) - 0.3 for _ in rec.CONCERNS], rng.choice(["a", "b", None]),
+         None if i % 3 == 0 else [entry(k) for k in rng.sample(range(10), 4)], None)
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, f"row int, weights array<double>, skin string, own array<struct<profile:string,changed:boolean,free:{topn.LISTED},owned:{topn.LISTED}>>, products {topn.PRODUCTS}")
+    part = topn.Profiles(heads, len(rec.CONCERNS), topn.Factors(rec.TYPE_BONUS, rec.TYPE_PENALTY, rec.OWNED_FACTOR))
+    pick = lambda found: sorted((r.row, repr(r.products)) for r in found.collect())
+    expected = pick(topn.improve(df, part, 4, sorted_profiles=0))
+    assert pick(topn.improve(df, part, 4)) == expected
+    monkeypatch.setattr(topn.Profiles, "leading", lambda *args: 1 / 0)
+    assert pick(topn.improve(df.where("own IS NULL"), part, 4)) == [e for e in expected if e[0] % 3 == 0]
