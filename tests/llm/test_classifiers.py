@@ -75,6 +75,18 @@ def test_toxicity_dictionaries_are_trained_on_text():
     assert toxic.endswith(ordinary) and sum(w.encode() in toxic for w in bad) >= 27 and not any(w.encode() in ordinary for w in bad)
 
 
+def test_toxicity_dictionaries_hold_the_last_excerpts():
+    """Excerpts come in order, so words of one beginning (another language's) can all be at the end."""
+    dealt = random.Random(8)
+    bad, late = [f"bad{k}word" for k in range(30)], [f"vequ{k}rie" for k in range(10)]
+    excerpts = sorted(f" {' '.join(dealt.sample(bad if k % 6 else late, 4))} ".encode() for k in range(300))
+    plain = [f" {' '.join(f'plain{dealt.randrange(200)}' for _ in range(5))} ".encode() for _ in range(500)]
+    ordinary, toxic = toxicity.dictionaries(plain, excerpts)
+    assert sum(w.encode() in toxic for w in late) >= 9 and not any(w.encode() in ordinary for w in late)
+    measure = toxicity.Margins(ordinary, toxic)
+    assert all(measure(f"plain1 plain2 {late[k]} {late[k - 1]} plain3")[0] > 0 for k in range(10))
+
+
 def test_toxicity_near_copies_count_once(spark):
     dealt = random.Random(5)
     base = [f"w{dealt.randrange(10**6)}" for _ in range(200)]
